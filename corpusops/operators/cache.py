@@ -1,0 +1,128 @@
+"""Attribution of response-cache hits from the request log.
+
+A lookup is a non-streaming generate request; the cache key is (prompt, max_tokens, temperature). A
+miss that succeeds stores its answer when it ends; the answer lives ``ttl`` seconds from then and a
+hit does not extend it. So a lookup is a hit iff some earlier successful miss of the key ended at
+``e`` with ``e <= start < e + ttl``.
+
+Keys with few lookups are folded inside Spark's ``aggregate`` over their sorted lookups. Keys with
+more than ``fold_limit`` lookups are never gathered: they are resolved time slice by time slice
+(one ttl each) with plain aggregates, which see each row of a slice once and combine before the
+shuffle.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from corpusops.plans.scale import broadcast_if_small, checkpointed, shared_folder
+
+CACHED_ENDPOINT = "/api/v1/generate"
+CACHE_KEY = ("prompt", "max_tokens", "temperature")
+TTL_SECONDS = 3600
+FOLD_LIMIT = 10_000
+
+
+def _lookups(log: DataFrame) -> DataFrame:
+    start = F.unix_micros("ts")
+    return log.where((F.col("endpoint") == CACHED_ENDPOINT) & ~F.col("stream")).select(
+        "request_id",
+        F.struct(*CACHE_KEY).alias("key"),
+        start.alias("start"),
+        (start + F.round(F.col("duration_s") * 1_000_000).cast("bigint")).alias("end"),
+        (F.col("status") == 200).alias("ok"),
+    )
+
+
+def _fold(lookups: DataFrame, ttl: int) -> DataFrame:
+    """``request_id`` of every miss, by one pass over the sorted lookups of each key."""
+    covered = lambda live, at: F.exists(live, lambda e: (e <= at) & (at < e + ttl))
+
+    def step(state: Column, x: Column) -> Column:
+        miss = ~covered(state["live"], x["start"])
+        alive = F.filter(state["live"], lambda e: e + ttl > x["start"])
+        return F.when(
+            miss,
+            F.struct(
+                F.when(x["ok"], F.concat(alive, F.array(x["end"]))).otherwise(alive).alias("live"),
+                F.concat(state["misses"], F.array(x["request_id"])).alias("misses"),
+            ),
+        ).otherwise(state)
+
+    empty = F.array().cast("array<bigint>")
+    start = F.struct(empty.alias("live"), empty.alias("misses"))
+    rows = F.array_sort(F.collect_list(F.struct("start", "request_id", "end", "ok")))
+    return (
+        lookups.groupBy("key").agg(rows.alias("rows"))
+        .select(F.explode(F.aggregate("rows", start, step, lambda s: s["misses"])).alias("request_id"))
+    )
+
+
+def _slices(hot: DataFrame, ttl: int) -> DataFrame:
+    """``request_id`` of every miss of keys too large to fold."""
+    spark = hot.sparkSession
+    folder = f"{shared_folder(spark)}/cache-slices-{uuid.uuid4().hex}"
+    hot.withColumn("slice", F.floor(F.col("start") / ttl)).write.partitionBy("slice").parquet(f"{folder}/lookups")
+    table = spark.read.schema(hot.schema.add("slice", "bigint")).parquet(f"{folder}/lookups")
+    spans = [r[0] for r in table.select("slice").distinct().orderBy("slice").collect()]  # one per ttl of log
+
+    # stored answers per key as cover intervals; at most a few per key reach into the next slice
+    cover = hot.limit(0).select("key", F.col("start").alias("low"), F.col("end").alias("high"))
+    for at in spans:
+        live = cover.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("cover"))
+        covered = F.exists(
+            F.coalesce("cover", F.array().cast("array<struct<low:bigint,high:bigint>>")),
+            lambda c: (c["low"] <= F.col("start")) & (F.col("start") < c["high"]),
+        )
+        open_rows = table.where(F.col("slice") == at).join(broadcast_if_small(live), "key", "left").where(~covered)
+        # the first answer stored in this slice covers the rest of it, since a slice is one ttl long
+        first = open_rows.where("ok").groupBy("key").agg(F.min(F.struct("end", "start", "request_id")).alias("first"))
+        instant = "first.start = first.end AND start = first.end AND request_id <= first.request_id"
+        missed = open_rows.join(broadcast_if_small(first), "key", "left").where(
+            f"first IS NULL OR start < first.end OR ({instant})"
+        )
+        path = f"{folder}/misses/slice={at}"
+        missed.select("key", "request_id", "end", "ok").write.parquet(path)
+        # within one ttl-wide bin of end times the intervals overlap, so min and max describe them all
+        stored = spark.read.parquet(path).where("ok").groupBy("key", F.floor(F.col("end") / ttl)).agg(
+            F.min("end").alias("low"), (F.max("end") + ttl).alias("high")
+        )
+        still = cover.where(F.col("high") > (at + 1) * ttl)
+        cover = checkpointed(still.union(stored.select("key", "low", "high")))
+    return spark.read.parquet(f"{folder}/misses").select("request_id")
+
+
+def cache_replay(log: DataFrame, ttl: int = TTL_SECONDS, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    """Add ``cache``: hit, miss or bypass for generate requests, null for other endpoints."""
+    micros = ttl * 1_000_000
+    lookups = _lookups(log)
+    sizes = lookups.groupBy("key").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > fold_limit).select("key")
+    if large.limit(1).count():
+        large = broadcast_if_small(large)
+        misses = _fold(lookups.join(large, "key", "left_anti"), micros).union(
+            _slices(lookups.join(large, "key", "left_semi"), micros)
+        )
+    else:
+        misses = _fold(lookups, micros)
+    generate = F.col("endpoint") == CACHED_ENDPOINT
+    outcome = (
+        F.when(generate & F.col("stream"), "bypass")
+        .when(generate & F.col("missed"), "miss")
+        .when(generate, "hit")
+    )
+    joined = log.join(misses.withColumn("missed", F.lit(True)), "request_id", "left")
+    return joined.withColumn("missed", F.coalesce("missed", F.lit(False))).withColumn("cache", outcome).drop("missed")
+
+
+def cache_hit_rate(replayed: DataFrame, by: Column | None = None) -> DataFrame:
+    """Share of lookups answered from the cache, overall or per ``by`` (for example the hour)."""
+    looked = replayed.where(F.col("cache").isin("hit", "miss"))
+    grouped = looked.groupBy(by) if by is not None else looked.groupBy()
+    return grouped.agg(
+        F.count("*").alias("lookups"), F.count_if(F.col("cache") == "hit").alias("hits"),
+        F.avg((F.col("cache") == "hit").cast("double")).alias("hit_rate"),
+    )
