@@ -290,7 +290,7 @@ def embedding_f1(vectors: DataFrame, on: str = "pair_id", block: int = VECTOR_BL
     def part(side: str, mine: str, other: str) -> DataFrame:
         return blocks.where(F.col("side") == side).select(
             on, F.col("block").alias(f"{mine}_block"),
-            F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).cast("bigint").alias(f"{other}_block"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"),
             F.transform("rows", lambda v: v["embedding"]).alias(f"{mine}_vectors"),
             F.transform("rows", lambda v: v["pos"]).alias(f"{mine}_pos"),
         )

@@ -77,14 +77,14 @@ def register(q: Registry) -> None:
     def rated(t):
         samples = t("container_samples")
         card = cost.rate_card(samples.sparkSession, {"cpu_hour": 0.06, "gpu_hour": 2.0})
-        return cost.container_costs(samples, card).select("sample_id", F.round("hourly_cost", 6).alias("hourly_cost"))
+        return cost.container_costs(samples, card).select("sample_id", F.round("hourly_cost", 9).alias("hourly_cost"))
 
     q.add(
         "s10_rate_override", lambda t: rated(lambda n: readings(t) if n == "container_samples" else t(n)),
         """SELECT sample_id, round(CASE WHEN system_total > system_before
                   THEN least((cpu_total - cpu_before)::DOUBLE / (system_total - system_before) * 100, 100) ELSE 0 END / 100 * 0.06::DOUBLE
                   + mem_usage::DOUBLE / 1073741824 * 0.0067::DOUBLE
-                  + CASE WHEN runtime = 'nvidia' THEN 2.0::DOUBLE ELSE 0 END, 6) AS hourly_cost
+                  + CASE WHEN runtime = 'nvidia' THEN 2.0::DOUBLE ELSE 0 END, 9) AS hourly_cost
            FROM container_readings""",
         ("container_readings",),
     )
