@@ -24,9 +24,11 @@ CACHED_ENDPOINT = "/api/v1/generate"
 CACHE_KEY = ("prompt", "max_tokens", "temperature")
 TTL_SECONDS = 3600
 FOLD_LIMIT = 10_000
+_INTERVALS = "array<struct<low:bigint,high:bigint>>"
 
 
-def _lookups(log: DataFrame) -> DataFrame:
+def lookups(log: DataFrame) -> DataFrame:
+    """``request_id, key, start, end, ok`` of the requests that ask the cache; times in microseconds."""
     start = F.unix_micros("ts")
     return log.where((F.col("endpoint") == CACHED_ENDPOINT) & ~F.col("stream")).select(
         "request_id",
@@ -37,47 +39,66 @@ def _lookups(log: DataFrame) -> DataFrame:
     )
 
 
-def _fold(lookups: DataFrame, ttl: int) -> DataFrame:
-    """``request_id`` of every miss, by one pass over the sorted lookups of each key."""
-    covered = lambda live, at: F.exists(live, lambda e: (e <= at) & (at < e + ttl))
+def _is_covered(intervals: Column, at: Column) -> Column:
+    return F.exists(intervals, lambda c: (c["low"] <= at) & (at < c["high"]))
+
+
+def _with_cover(rows: DataFrame, cover: DataFrame | None) -> DataFrame:
+    """Add the key's cover intervals (at most a few) as an array."""
+    if cover is None:
+        return rows.withColumn("cover", F.array().cast(_INTERVALS))
+    per_key = cover.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("cover"))
+    joined = rows.join(broadcast_if_small(per_key), "key", "left")
+    return joined.withColumn("cover", F.coalesce("cover", F.array().cast(_INTERVALS)))
+
+
+def _fold(asked: DataFrame, cover: DataFrame | None, ttl: int) -> DataFrame:
+    """The misses, by one pass over the sorted lookups of each key."""
 
     def step(state: Column, x: Column) -> Column:
-        miss = ~covered(state["live"], x["start"])
-        alive = F.filter(state["live"], lambda e: e + ttl > x["start"])
+        alive = F.filter(state["live"], lambda c: c["high"] > x["start"])
+        stored = F.struct(x["end"].alias("low"), (x["end"] + ttl).alias("high"))
         return F.when(
-            miss,
+            _is_covered(state["live"], x["start"]), state
+        ).otherwise(
             F.struct(
-                F.when(x["ok"], F.concat(alive, F.array(x["end"]))).otherwise(alive).alias("live"),
-                F.concat(state["misses"], F.array(x["request_id"])).alias("misses"),
-            ),
-        ).otherwise(state)
-
-    empty = F.array().cast("array<bigint>")
-    start = F.struct(empty.alias("live"), empty.alias("misses"))
-    rows = F.array_sort(F.collect_list(F.struct("start", "request_id", "end", "ok")))
+                F.when(x["ok"], F.concat(alive, F.array(stored))).otherwise(alive).alias("live"),
+                F.concat(state["misses"], F.array(x)).alias("misses"),
+            )
+        )
+
+    # the rows of a key are bounded by the fold limit
+    grouped = asked.groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("start", "request_id", "end", "ok"))).alias("rows")
+    )
+    none = F.array().cast("array<struct<start:bigint,request_id:bigint,end:bigint,ok:boolean>>")
+    first = F.struct(F.col("cover").alias("live"), none.alias("misses"))
+    missed = F.explode(F.aggregate("rows", first, step, lambda s: s["misses"])).alias("m")
+    return _with_cover(grouped, cover).select("key", missed).select("key", "m.request_id", "m.end", "m.ok")
+
+
+def _stored(misses: DataFrame, ttl: int) -> DataFrame:
+    """Cover intervals of the answers that misses store.
+
+    Intervals that begin in the same ttl-wide bin overlap, so the bin's first and last describe all.
+    """
     return (
-        lookups.groupBy("key").agg(rows.alias("rows"))
-        .select(F.explode(F.aggregate("rows", start, step, lambda s: s["misses"])).alias("request_id"))
+        misses.where("ok").groupBy("key", F.floor(F.col("end") / ttl))
+        .agg(F.min("end").alias("low"), (F.max("end") + ttl).alias("high"))
+        .select("key", "low", "high")
     )
 
 
-def _slices(hot: DataFrame, ttl: int) -> DataFrame:
-    """``request_id`` of every miss of keys too large to fold."""
-    spark = hot.sparkSession
+def _slices(asked: DataFrame, cover: DataFrame | None, ttl: int) -> DataFrame:
+    """The misses of keys too large to fold."""
+    spark = asked.sparkSession
     folder = f"{shared_folder(spark)}/cache-slices-{uuid.uuid4().hex}"
-    hot.withColumn("slice", F.floor(F.col("start") / ttl)).write.partitionBy("slice").parquet(f"{folder}/lookups")
-    table = spark.read.schema(hot.schema.add("slice", "bigint")).parquet(f"{folder}/lookups")
+    asked.withColumn("slice", F.floor(F.col("start") / ttl)).write.partitionBy("slice").parquet(f"{folder}/lookups")
+    table = spark.read.schema(asked.schema.add("slice", "bigint")).parquet(f"{folder}/lookups")
     spans = [r[0] for r in table.select("slice").distinct().orderBy("slice").collect()]  # one per ttl of log
-
-    # stored answers per key as cover intervals; at most a few per key reach into the next slice
-    cover = hot.limit(0).select("key", F.col("start").alias("low"), F.col("end").alias("high"))
     for at in spans:
-        live = cover.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("cover"))
-        covered = F.exists(
-            F.coalesce("cover", F.array().cast("array<struct<low:bigint,high:bigint>>")),
-            lambda c: (c["low"] <= F.col("start")) & (F.col("start") < c["high"]),
-        )
-        open_rows = table.where(F.col("slice") == at).join(broadcast_if_small(live), "key", "left").where(~covered)
+        rows = _with_cover(table.where(F.col("slice") == at), cover)
+        open_rows = rows.where(~_is_covered(F.col("cover"), F.col("start"))).drop("cover")
         # the first answer stored in this slice covers the rest of it, since a slice is one ttl long
         first = open_rows.where("ok").groupBy("key").agg(F.min(F.struct("end", "start", "request_id")).alias("first"))
         instant = "first.start = first.end AND start = first.end AND request_id <= first.request_id"
@@ -86,38 +107,50 @@ def _slices(hot: DataFrame, ttl: int) -> DataFrame:
         )
         path = f"{folder}/misses/slice={at}"
         missed.select("key", "request_id", "end", "ok").write.parquet(path)
-        # within one ttl-wide bin of end times the intervals overlap, so min and max describe them all
-        stored = spark.read.parquet(path).where("ok").groupBy("key", F.floor(F.col("end") / ttl)).agg(
-            F.min("end").alias("low"), (F.max("end") + ttl).alias("high")
-        )
-        still = cover.where(F.col("high") > (at + 1) * ttl)
-        cover = checkpointed(still.union(stored.select("key", "low", "high")))
-    return spark.read.parquet(f"{folder}/misses").select("request_id")
+        stored = _stored(spark.read.parquet(path), ttl)
+        if cover is not None:
+            stored = cover.where(F.col("high") > (at + 1) * ttl).union(stored)
+        cover = checkpointed(stored)
+    return spark.read.parquet(f"{folder}/misses").drop("slice")
 
 
-def cache_replay(log: DataFrame, ttl: int = TTL_SECONDS, fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """Add ``cache``: hit, miss or bypass for generate requests, null for other endpoints."""
+def find_misses(asked: DataFrame, cover: DataFrame | None = None, ttl: int = TTL_SECONDS,
+                fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    """``key, request_id, end, ok`` of the lookups that miss, given what is already covered."""
     micros = ttl * 1_000_000
-    lookups = _lookups(log)
-    sizes = lookups.groupBy("key").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > fold_limit).select("key")
-    if large.limit(1).count():
-        large = broadcast_if_small(large)
-        misses = _fold(lookups.join(large, "key", "left_anti"), micros).union(
-            _slices(lookups.join(large, "key", "left_semi"), micros)
-        )
-    else:
-        misses = _fold(lookups, micros)
+    large = asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > fold_limit).select("key")
+    if large.isEmpty():
+        return _fold(asked, cover, micros)
+    large = broadcast_if_small(large)
+    return _fold(asked.join(large, "key", "left_anti"), cover, micros).union(
+        _slices(asked.join(large, "key", "left_semi"), cover, micros)
+    )
+
+
+def next_cover(cover: DataFrame | None, misses: DataFrame, after: int, ttl: int = TTL_SECONDS) -> DataFrame:
+    """Cover intervals that still matter for lookups that start after ``after`` microseconds."""
+    stored = _stored(misses, ttl * 1_000_000)
+    both = stored if cover is None else cover.union(stored)
+    return both.where(F.col("high") > after)
+
+
+def outcomes(log: DataFrame, misses: DataFrame) -> DataFrame:
+    """Add ``cache``: hit, miss or bypass for generate requests, null for other endpoints."""
     generate = F.col("endpoint") == CACHED_ENDPOINT
     outcome = (
         F.when(generate & F.col("stream"), "bypass")
         .when(generate & F.col("missed"), "miss")
         .when(generate, "hit")
     )
-    joined = log.join(misses.withColumn("missed", F.lit(True)), "request_id", "left")
+    joined = log.join(misses.select("request_id", F.lit(True).alias("missed")), "request_id", "left")
     return joined.withColumn("missed", F.coalesce("missed", F.lit(False))).withColumn("cache", outcome).drop("missed")
 
 
+def cache_replay(log: DataFrame, ttl: int = TTL_SECONDS, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    """The log with the cache outcome of every request."""
+    return outcomes(log, find_misses(lookups(log), None, ttl, fold_limit))
+
+
 def cache_hit_rate(replayed: DataFrame, by: Column | None = None) -> DataFrame:
     """Share of lookups answered from the cache, overall or per ``by`` (for example the hour)."""
     looked = replayed.where(F.col("cache").isin("hit", "miss"))
