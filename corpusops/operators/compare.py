@@ -114,13 +114,12 @@ def compare_examples(examples: DataFrame, a: str, b: str, n: int = 3) -> DataFra
 def overview(runs: DataFrame, example_counts: DataFrame, as_of: str) -> DataFrame:
     """Models, total examples, mean of the per-run means, and runs at or after ``as_of``."""
     per_run = runs.groupBy("model_name", "run_ts").agg(F.avg("value").alias("mean"))
-    totals = example_counts.agg(F.coalesce(F.sum("n_examples"), F.lit(0)).alias("total_examples"))
-    # both sides are one row
+    total = example_counts.agg(F.coalesce(F.sum("n_examples"), F.lit(0))).scalar()
     return per_run.agg(
         F.count_distinct("model_name").alias("total_models"),
         F.avg("mean").alias("average_score"),
         F.count_if(F.col("run_ts") >= F.lit(as_of).cast("timestamp")).alias("todays_evaluations"),
-    ).crossJoin(F.broadcast(totals))
+    ).withColumn("total_examples", total)
 
 
 def recent_runs(runs: DataFrame, n: int = 10) -> DataFrame:

@@ -215,12 +215,12 @@ def cost_trend(costs: DataFrame, budget: float) -> DataFrame:
     )
     by_day = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("double")
-    line = daily.agg(
+    line = daily.agg(F.struct(
         F.regr_slope("daily_cost", x).alias("slope"), F.regr_intercept("daily_cost", x).alias("intercept")
-    )
-    summed = daily.withColumn("cumulative_cost", F.sum("daily_cost").over(by_day)).crossJoin(F.broadcast(line))  # one row
+    )).scalar()
+    summed = daily.withColumn("cumulative_cost", F.sum("daily_cost").over(by_day)).withColumn("line", line)
     return summed.select(
-        "day", "daily_cost", "cumulative_cost", (F.col("intercept") + F.col("slope") * x).alias("projected_cost"),
+        "day", "daily_cost", "cumulative_cost", (F.col("line.intercept") + F.col("line.slope") * x).alias("projected_cost"),
         (F.col("cumulative_cost") > budget).alias("over_budget"),
     )
 

@@ -39,6 +39,7 @@ FIELD_ALIASES = {
 REQUEST_LIMITS = {"max_tokens": (256, 1, 2048), "temperature": (0.7, 0.0, 2.0), "top_p": (0.9, 0.0, 1.0)}
 CHAT_PARTS = {"system": "System: ", "user": "User: ", "assistant": "Assistant: "}
 SEGMENT_TURNS = 10_000
+HEAD_LIMIT = 100_000
 
 
 def _text(name: str) -> Column:
@@ -178,8 +179,15 @@ def eval_prompt(df: DataFrame) -> DataFrame:
 
 
 def head(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
-    """First ``n`` rows in order; 0 or None keeps all."""
-    return df.orderBy(*order).limit(n) if n else df
+    """First ``n`` rows in order; 0 or None keeps all.
+
+    A limit gathers its rows in one task, so a large ``n`` filters on the distributed position.
+    """
+    if not n:
+        return df
+    if n <= HEAD_LIMIT:
+        return df.orderBy(*order).limit(n)
+    return dense_positions(df, order, "__position").where(F.col("__position") < n).drop("__position")
 
 
 def chat_prompt(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:

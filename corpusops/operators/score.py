@@ -370,8 +370,7 @@ def metric_rows(pairs: DataFrame) -> DataFrame:
     rows = _as_rows(exact_match(pairs))
     for part in (bleu(pairs), rouge(pairs), rouge_l(pairs), meteor(pairs)):
         rows = rows.union(_as_rows(part))
-    gate = is_sql_dataset(pairs)
-    return rows.union(_as_rows(sql_metrics(pairs)).join(F.broadcast(gate), F.col("is_sql")).drop("is_sql"))
+    return rows.union(_as_rows(sql_metrics(pairs)).where(is_sql_dataset(pairs).scalar()))
 
 
 def evaluate(pairs: DataFrame, model: str, dataset: str = "test_dataset", timestamp=None) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from corpusops.operators import cost, prepare, telemetry
 from corpusops.plans.registry import Registry, blank, words
 from corpusops.sources import files
+from corpusops.sources import telemetry as metrics
+from corpusops.streaming.telemetry import new_folder
 
 SYNONYMS = {"customer": "client", "orders": "purchases", "order": "purchase", "product": "article"}
 PERIODS = {"mean": "median"}
@@ -46,6 +48,28 @@ def _sql_augment() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _round_trip(t, csv=False):
+    """Write the alpaca form and read it back."""
+    rows = prepare.to_format(t("examples"), "alpaca", ["id"])
+    spark = rows.sparkSession
+    folder = new_folder(spark, "dataset")
+    files.write_dataset(rows, folder, "sql", "alpaca")
+    schema = "id bigint, " + files.ALPACA_SCHEMA
+    if csv:
+        return files.read_dataset_csv(spark, f"{folder}/sql_alpaca.csv", schema)
+    return files.read_examples(spark, f"{folder}/sql_alpaca.jsonl", schema).drop(files.CORRUPT)
+
+
+def _ingest(t):
+    """Write the log lines as text below a service folder and ingest them."""
+    lines = t("log_lines")
+    spark = lines.sparkSession
+    folder = new_folder(spark, "logs")
+    lines.select("value").write.text(f"{folder}/app/logs")
+    metrics.ingest_logs(spark, [f"{folder}/app/logs"], f"{folder}/index")
+    return spark.read.parquet(f"{folder}/index").select("service", "day", "message")
+
+
 def register(q: Registry) -> None:
     q.add(
         "s04_head_slice",
@@ -88,6 +112,23 @@ def register(q: Registry) -> None:
            FROM container_readings""",
         ("container_readings",),
     )
+    q.add("s07_s08_dataset_round_trip", _round_trip, "SELECT id, instruction, input, output FROM examples", ("examples",))
+    q.add(
+        "s08_csv_round_trip", lambda t: _round_trip(t, csv=True),
+        "SELECT id, instruction, nullif(input, '') AS input, nullif(output, '') AS output FROM examples", ("examples",),
+    )
+    q.add(
+        "s11_exposition",
+        lambda t: metrics.parse_exposition(t("exposition").select("ts", "line")).select(
+            "ts", "metric", F.col("labels")["method"].alias("method"), F.col("labels")["endpoint"].alias("endpoint"), "value"),
+        """SELECT ts, 'http_requests_total' AS metric, 'GET' AS method, regexp_extract(line, 'endpoint="([^"]*)"', 1) AS endpoint,
+                  sample_id::DOUBLE AS value FROM exposition WHERE NOT starts_with(line, '#')""",
+        ("exposition",),
+    )
+    q.add(
+        "s12_ingest_logs", _ingest,
+        "SELECT 'application' AS service, day, value AS message FROM log_lines", ("log_lines",),
+    )
     q.add(
         "s13_retain", lambda t: telemetry.retain(t("requests"), "ts", 7).select("request_id", "ts"),
         "SELECT request_id, ts FROM requests WHERE ts >= (SELECT max(ts) FROM requests) - INTERVAL 7 DAYS",

@@ -108,27 +108,39 @@ VIEWS = {
         SELECT concat('series-', user_id % 4) AS series, event_id AS sample_id, CAST(ts AS timestamp) AS ts,
                CAST(floor(value) AS bigint) + event_id % 500 AS value
         FROM {events}""",
-    "runs": """
+    "run_scores": """
         SELECT concat('model-', d.lang) AS model_name, 'test_dataset' AS dataset_name,
-               CAST(DATE '2024-01-01' + CAST(d.doc_id % 10 AS int) AS timestamp) AS run_ts, m.metric,
-               round(avg(CAST(CASE m.metric WHEN 'exact_match' THEN l.quality WHEN 'bleu' THEN 1 - l.toxic ELSE d.doc_id % 2 END AS double)), 6) AS value
+               CAST(DATE '2024-01-01' + CAST(d.doc_id % 10 AS int) AS timestamp) AS run_ts,
+               round(avg(CAST(l.quality AS double)), 6) AS exact_match, round(avg(CAST(1 - l.toxic AS double)), 6) AS bleu,
+               round(avg(CAST(d.doc_id % 2 AS double)), 6) AS rouge1,
+               round(avg(CAST(d.n_chars AS double)), 6) AS avg_response_time_ms, CAST(max(d.n_chars) AS double) AS max_response_time_ms,
+               round(avg(CAST(d.n_chars AS double) / 7), 6) AS avg_tokens_per_second
         FROM {documents} d JOIN {labels} l ON l.doc_id = d.doc_id
-        CROSS JOIN (SELECT 'exact_match' AS metric UNION ALL SELECT 'bleu' UNION ALL SELECT 'rouge1') m
-        GROUP BY d.lang, d.doc_id % 10, m.metric""",
+        GROUP BY d.lang, d.doc_id % 10""",
+    # one row per run and metric, and per run and statistic
+    "runs": """
+        SELECT model_name, dataset_name, run_ts, 'exact_match' AS metric, exact_match AS value FROM {run_scores}
+        UNION ALL SELECT model_name, dataset_name, run_ts, 'bleu', bleu FROM {run_scores}
+        UNION ALL SELECT model_name, dataset_name, run_ts, 'rouge1', rouge1 FROM {run_scores}""",
     "run_perf": """
-        SELECT concat('model-', lang) AS model_name, 'test_dataset' AS dataset_name,
-               CAST(DATE '2024-01-01' + CAST(doc_id % 10 AS int) AS timestamp) AS run_ts, m.metric,
-               round(CASE m.metric WHEN 'avg_response_time_ms' THEN avg(CAST(n_chars AS double))
-                     WHEN 'max_response_time_ms' THEN max(CAST(n_chars AS double)) ELSE avg(CAST(n_chars AS double) / 7) END, 6) AS value
-        FROM {documents}
-        CROSS JOIN (SELECT 'avg_response_time_ms' AS metric UNION ALL SELECT 'max_response_time_ms' UNION ALL SELECT 'avg_tokens_per_second') m
-        GROUP BY lang, doc_id % 10, m.metric""",
+        SELECT model_name, dataset_name, run_ts, 'avg_response_time_ms' AS metric, avg_response_time_ms AS value FROM {run_scores}
+        UNION ALL SELECT model_name, dataset_name, run_ts, 'max_response_time_ms', max_response_time_ms FROM {run_scores}
+        UNION ALL SELECT model_name, dataset_name, run_ts, 'avg_tokens_per_second', avg_tokens_per_second FROM {run_scores}""",
     # examples kept by two models' runs
     "run_outputs": """
         SELECT concat('model-', CASE WHEN id % 2 = 0 THEN 'en' ELSE 'fr' END) AS model_name,
                CAST(DATE '2024-01-01' + CAST(id % 3 AS int) AS timestamp) AS run_ts,
                CAST(floor(id / 6) AS bigint) AS pos, instruction, input, reference AS expected_output, prediction AS predicted_output
         FROM {sql_pairs}""",
+    # request counters as text exposition, one scrape per row
+    "exposition": """
+        SELECT event_id AS sample_id, CAST(ts AS timestamp) AS ts,
+               CASE WHEN event_id % 10 = 0 THEN '# TYPE http_requests_total counter'
+                    ELSE concat('http_requests_total{{method="GET",endpoint="/api/', event_type, '"}} ', event_id) END AS line
+        FROM {events}""",
+    "log_lines": """
+        SELECT event_id AS line_id, concat(CAST(CAST(ts AS date) AS varchar(10)), ' 00:00:00 user ', user_id, ' ', event_type) AS value,
+               CAST(ts AS date) AS day FROM {events}""",
     "ratings": """
         SELECT concat('model-', d.lang) AS model_name, d.doc_id AS item_id,
                CASE d.doc_id % 5 WHEN 0 THEN 'accuracy' WHEN 1 THEN 'relevance' WHEN 2 THEN 'fluency' WHEN 3 THEN 'completeness' ELSE 'creativity' END AS criterion,

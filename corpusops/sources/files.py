@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusops.functions.text import present
+from corpusops.operators.prepare import head as first_rows
 
 REQUIRED_FIELDS = ("instruction", "input", "output")
 CORRUPT = "_corrupt_record"
@@ -32,9 +33,9 @@ def read_examples(
     spark: SparkSession, path: str, schema: str = ALPACA_SCHEMA, head: int | None = None,
     ordinal: str | None = None, file_format: str | None = None,
 ) -> DataFrame:
-    """Instruction rows from ``.json`` (one array), ``.jsonl`` or ``.parquet``.
+    """Instruction rows from ``.json`` (documents holding one array), ``.jsonl`` or ``.parquet``.
 
-    Rows that are not objects keep their text in ``_corrupt_record``. ``head`` keeps the first
+    A ``.json`` document is parsed by one task, so large sets belong in ``.jsonl``. Rows that are not objects keep their text in ``_corrupt_record``. ``head`` keeps the first
     rows by ``ordinal``; without an ordinal it is a plain limit.
     """
     kind = file_format or _suffix(path).lstrip(".")
@@ -48,7 +49,7 @@ def read_examples(
     else:
         raise ValueError(f"Unsupported file format: {kind or path}")
     if head:
-        df = (df.orderBy(ordinal) if ordinal else df).limit(head)
+        return first_rows(df, head, [ordinal]) if ordinal else df.limit(head)
     return df
 
 
@@ -91,14 +92,19 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def write_dataset(df: DataFrame, folder: str, name: str, fmt: str) -> None:
-    """Formatted rows as JSON, and as quoted CSV with a header for the flat ``alpaca`` format."""
-    df.write.mode("errorifexists").json(f"{folder}/{name}_{fmt}.json")
+    """Formatted rows as JSON Lines, and as quoted CSV with a header for the flat ``alpaca`` format."""
+    df.write.mode("errorifexists").json(f"{folder}/{name}_{fmt}.jsonl")
     if fmt == "alpaca":
         df.write.mode("errorifexists").option("header", True).option("quoteAll", True).option(
             "escape", '"'
         ).csv(f"{folder}/{name}_{fmt}.csv")
 
 
+def read_dataset_csv(spark: SparkSession, path: str, schema: str = ALPACA_SCHEMA) -> DataFrame:
+    """The CSV form of a dataset; quoted fields may span lines."""
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+
+
 def summary_row(stats: DataFrame, by: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
     """Wide summary: one row per run, a column per ``prefix_name`` of (kind, name, value) rows.
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from corpusops.operators import cache
 from corpusops.operators.telemetry import (
@@ -81,15 +81,23 @@ def stream_gauges(stream: DataFrame, by: Sequence[str], values: Sequence[str], s
 
 _ALERT_STATE = "since double, last double, firing boolean"
 _ALERT_ROWS = "label string, at double, state string"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _alert_changes(for_seconds: float, max_gap: float):
-    def changes(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Pending, firing and resolved changes of one label from its evaluations in time order."""
-        since, last, firing = state.get if state.exists else (None, None, False)
+class _AlertRuns(StatefulProcessor):
+    """Pending, firing and resolved changes of one label from its evaluations in time order."""
+
+    def __init__(self, for_seconds: float, max_gap: float):
+        self.for_seconds, self.max_gap = for_seconds, max_gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getValueState("run", _ALERT_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        since, last, firing = self.run.get() if self.run.exists() else (None, None, False)
         out = []
-        for at, holds in pd.concat(list(batches)).sort_values("at")[["at", "holds"]].itertuples(index=False):
-            if since is not None and (not holds or at - last > max_gap):
+        for at, holds in pd.concat(list(rows)).sort_values("at")[["at", "holds"]].itertuples(index=False):
+            if since is not None and (not holds or at - last > self.max_gap):
                 if firing:
                     out.append((key[0], at, "resolved"))
                 since, firing = None, False
@@ -97,28 +105,31 @@ def _alert_changes(for_seconds: float, max_gap: float):
                 if since is None:
                     since = at
                     out.append((key[0], at, "pending"))
-                if not firing and at - since >= for_seconds:
+                if not firing and at - since >= self.for_seconds:
                     firing = True
                     out.append((key[0], at, "firing"))
             last = at
-        state.update((since, last, firing))
+        self.run.update((since, last, firing))
         yield pd.DataFrame(out, columns=["label", "at", "state"])
 
-    return changes
+    def close(self) -> None:
+        pass
 
 
 def stream_alerts(evaluations: DataFrame, condition: Column, label: Column, for_seconds: float,
                   max_gap: float = float("inf")) -> DataFrame:
     """State changes of an alert that needs its condition to hold for ``for_seconds``.
 
-    Input rows are evaluations (one per label and step), so a key has few rows per batch. A gap
-    longer than ``max_gap`` seconds ends a run, and so does an evaluation that does not hold.
+    Input rows are evaluations (one per label and step, see ``stream_gauges``), so a label has few
+    rows per batch. A gap longer than ``max_gap`` seconds ends a run, and so does an evaluation that
+    does not hold. The state lives in RocksDB.
     """
+    evaluations.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     rows = evaluations.select(
         label.alias("label"), (F.unix_micros("ts") / F.lit(1e6)).alias("at"), condition.alias("holds")
     )
-    changed = rows.groupBy("label").applyInPandasWithState(
-        _alert_changes(for_seconds, max_gap), _ALERT_ROWS, _ALERT_STATE, "append", GroupStateTimeout.NoTimeout
+    changed = rows.groupBy("label").transformWithStateInPandas(
+        _AlertRuns(for_seconds, max_gap), _ALERT_ROWS, "Append", "None"
     )
     return changed.select("label", F.timestamp_micros(F.round(F.col("at") * 1e6).cast("bigint")).alias("ts"), "state")
 
