@@ -168,16 +168,16 @@ def register(q: Registry) -> None:
         "m13_alert_down", lambda t: rounded(m.alert_down(t("node_samples"), STEP)),
         f"WITH {_gauge_sql('up', 'up')} {_sustained_sql('ContainerDown', 'value = 0', m.ALERTS, 'instance', 'gauge')}", nodes,
     )
-    busy = {"Busy": {"above": 0.02, "for_seconds": 120, "severity": "info"}}
+    busy = {"Busy": {"for_seconds": 300, "severity": "info"}}
     q.add(
         "m14_sustained",
         lambda t: m.sustained(
-            m.rate(t("requests"), step=STEP, by=["endpoint"]).withColumnRenamed("rate", "value"), F.col("value") > 0.01,
+            m.rate(t("requests"), step=STEP, by=["endpoint"]).withColumnRenamed("rate", "value"), F.col("value") > 0.002,
             ["endpoint"], 300, STEP).select("endpoint", "ts", "since", "state"),
         f"""WITH value AS (SELECT endpoint, t, count(*) / 300.0::DOUBLE AS value FROM ({_panes('requests', 'endpoint')})
               WHERE t <= (SELECT max({SQL_STEP.format(ts='ts')}) FROM requests) GROUP BY endpoint, t)
             SELECT substr(labels, 10) AS endpoint, ts, since, state FROM
-            ({_sustained_sql('Busy', 'value > 0.01::DOUBLE', {'Busy': {**busy['Busy'], 'for_seconds': 300}}, 'endpoint')})""",
+            ({_sustained_sql('Busy', 'value > 0.002::DOUBLE', busy, 'endpoint')})""",
         LOG,
     )
     q.add(

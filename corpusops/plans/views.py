@@ -74,7 +74,7 @@ VIEWS = {
                     WHEN 'signup' THEN '/api/v1/chat' ELSE '/api/v1/generate' END AS endpoint,
                CASE WHEN event_type <> 'error' OR event_id % 5 = 0 THEN 200
                     ELSE CASE event_id % 4 WHEN 0 THEN 500 WHEN 1 THEN 503 WHEN 2 THEN 401 ELSE 429 END END AS status,
-               CAST(value AS double) / 100 AS duration_s,
+               CAST(value AS double) / 97 AS duration_s,
                concat('prompt ', user_id % 5) AS prompt,
                CASE WHEN event_id % 10 = 0 THEN event_id % 3000 ELSE 256 END AS max_tokens,
                CASE WHEN event_id % 10 = 1 THEN CAST(event_id % 30 AS double) / 10 ELSE CAST(0.7 AS double) END AS temperature,
@@ -147,7 +147,7 @@ VIEWS = {
                1 + l.quality * 3 + d.doc_id % 2 AS rating
         FROM {documents} d JOIN {labels} l ON l.doc_id = d.doc_id""",
     "train_log": """
-        SELECT user_id % 5 AS run_id, event_id AS step, CAST(value AS double) AS loss,
+        SELECT user_id % 5 AS run_id, event_id AS step, CAST(value AS double) / 97 AS loss,
                CASE WHEN event_id % 50 = 0 THEN CAST(value AS double) / 2 END AS eval_loss,
                event_id % 2048 AS tokens, CAST(value AS double) / 10 AS seconds
         FROM {events}""",
