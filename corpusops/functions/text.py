@@ -25,12 +25,17 @@ def is_blank(text: Column | str) -> Column:
     return ~F.coalesce(text.rlike(WORD), F.lit(False))
 
 
+def pieces(text: Column | str, separator: str) -> Column:
+    """Non-empty parts between separators. Splitting is about twice as fast as extracting matches."""
+    return F.array_remove(F.split(text, separator), "")
+
+
 def py_words(text: Column | str) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD}+)"), F.lit(1))
+    return pieces(text, f"{SPACE}+")
 
 
 def word_count(text: Column | str) -> Column:
-    return F.regexp_count(text, F.lit(f"{WORD}+"))
+    return F.size(py_words(text))
 
 
 def contains_any(text: Column, needles: Sequence[str], whole_word: bool = False) -> Column:

@@ -215,16 +215,16 @@ def chat_prompt(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> Dat
 
 def token_usage(df: DataFrame, prompt: str, completion: str) -> DataFrame:
     """Whitespace token counts of prompt, completion and both."""
-    counted = df.withColumn("prompt_tokens", F.coalesce(word_count(F.col(prompt)), F.lit(0))).withColumn(
-        "completion_tokens", F.coalesce(word_count(F.col(completion)), F.lit(0))
+    counted = df.withColumn("prompt_tokens", F.coalesce(word_count(prompt), F.lit(0))).withColumn(
+        "completion_tokens", F.coalesce(word_count(completion), F.lit(0))
     )
     return counted.withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
 
 
 def chat_token_usage(messages: DataFrame, replies: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Chat usage: prompt tokens summed over all messages of the conversation."""
-    asked = messages.groupBy(conv).agg(F.sum(word_count(F.col("text"))).alias("prompt_tokens"))
-    given = replies.groupBy(conv).agg(F.sum(word_count(F.col("text"))).alias("completion_tokens"))
+    asked = messages.groupBy(conv).agg(F.sum(word_count("text")).alias("prompt_tokens"))
+    given = replies.groupBy(conv).agg(F.sum(word_count("text")).alias("completion_tokens"))
     joined = asked.join(given, conv, "left").fillna(0, ["completion_tokens"])
     return joined.withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusops.functions.text import contains_any, present, py_strip, py_words
+from corpusops.functions.text import contains_any, pieces, present, py_strip, py_words
 from corpusops.operators.validate import is_valid_sql
 from corpusops.plans.scale import broadcast_if_small
 
@@ -58,8 +58,9 @@ def bleu_tokens(text: Column) -> Column:
         ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"),
     ):
         spaced = F.replace(spaced, F.lit(old), F.lit(new))
+    # the first class leaves out the blank, which it would only widen
     for pattern, new in (
-        (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+        (r"([\{-\~\[-\`!-\&\(-\+\:-\@\/])", " $1 "),
         (r"([^0-9])([\.,])", "$1 $2 "),
         (r"([\.,])([^0-9])", " $1 $2"),
         (r"([0-9])(-)", "$1 $2 "),
@@ -69,38 +70,44 @@ def bleu_tokens(text: Column) -> Column:
 
 
 def rouge_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), F.lit(1))
+    return pieces(F.lower(text), "[^a-z0-9]+")
+
+
+def meteor_tokens(text: Column) -> Column:
+    return pieces(F.lower(text), r"[^\p{L}\p{N}]+")
 
 
 def _tokenised(pairs: DataFrame, tokens) -> DataFrame:
-    return pairs.select(
-        "id", tokens(_prediction()).alias("p"), tokens(F.coalesce("reference", F.lit(""))).alias("r")
-    )
+    """Token arrays ``p`` and ``r`` per pair. The texts are shuffled, being smaller than their tokens."""
+    texts = pairs.select("id", _prediction().alias("p"), F.coalesce("reference", F.lit("")).alias("r"))
+    return texts.repartition("id").select("id", tokens(F.col("p")).alias("p"), tokens(F.col("r")).alias("r"))
 
 
-def _grams(words: Column, n: Column, side: str) -> Column:
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(
-        starts,
-        lambda at: F.struct(
-            n.alias("n"), F.array_join(F.slice(words, at, n), " ").alias("gram"),
-            F.lit(int(side == "p")).alias("p"), F.lit(int(side == "r")).alias("r"),
-        ),
-    )
+def _sides(tokens: DataFrame) -> DataFrame:
+    """One row per side: ``id, side, words`` with side 1 for the prediction and 0 for the reference."""
+    side = lambda flag, c: F.struct(F.lit(flag).alias("side"), F.col(c).alias("words"))
+    return tokens.select("id", F.inline(F.array(side(1, "p"), side(0, "r"))))
 
 
 def _gram_counts(tokens: DataFrame, orders: Sequence[int]) -> DataFrame:
-    """``id, n, gram, p, r``: how often each n-gram occurs on either side of a pair."""
-    empty = F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("p"), F.lit(0).alias("r"))
-    lists = [F.array(empty)]  # keeps pairs without any n-gram
-    lists += [_grams(F.col(side), F.lit(n), side) for n in orders for side in ("p", "r")]
+    """``id, n, gram, p, r``: how often each n-gram occurs on either side of a pair.
+
+    Words are exploded together with their followers, so no window or sort is needed. A side without
+    words leaves a row with n = 0.
+    """
+    followers = [F.slice("words", k + 1, F.size("words")).alias(f"w{k}") for k in range(1, max(orders))]
+    rows = _sides(tokens).select(
+        "id", "side", F.explode_outer(F.arrays_zip(F.col("words").alias("w0"), *followers)).alias("w")
+    )
+    word = lambda k: F.col(f"w.w{k}")
+    gram = lambda n: F.when(word(n - 1).isNotNull(), F.concat_ws(" ", *[word(k) for k in range(n)]))
+    cells = [F.struct(F.lit(0).alias("n"), F.when(word(0).isNull(), F.lit("")).alias("gram"))]
+    cells += [F.struct(F.lit(n).alias("n"), gram(n).alias("gram")) for n in orders]
     return (
-        tokens.repartition("id")
-        .select("id", F.explode(F.concat(*lists)).alias("g"))
-        .groupBy("id", "g.n", "g.gram")
-        .agg(F.sum("g.p").alias("p"), F.sum("g.r").alias("r"))
+        rows.select("id", "side", F.inline(F.array(*cells)))
+        .where("gram IS NOT NULL")
+        .groupBy("id", "n", "gram")
+        .agg(F.sum("side").alias("p"), F.sum(1 - F.col("side")).alias("r"))
     )
 
 
@@ -152,9 +159,9 @@ def rouge(pairs: DataFrame, orders: Sequence[int] = (1, 2)) -> DataFrame:
 
 @F.pandas_udf(T.IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Longest common subsequence of two token arrays, one bit per token of ``a``."""
+    """Longest common subsequence of two blank-separated token texts, one bit per token of ``a``."""
 
-    def one(x, y) -> int:
+    def one(x: list[str], y: list[str]) -> int:
         places: dict[str, int] = {}
         for i, word in enumerate(x):
             places[word] = places.get(word, 0) | (1 << i)
@@ -165,13 +172,14 @@ def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
             row = ((row + hit) | (row - hit)) & full
         return len(x) - row.bit_count()
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="int32")
+    return pd.Series([one(x.split(), y.split()) for x, y in zip(a, b)], dtype="int32")
 
 
 def rouge_l(pairs: DataFrame) -> DataFrame:
     """Mean LCS F1 over pairs."""
-    tokens = _tokenised(pairs, rouge_tokens).withColumn("hits", lcs_length("p", "r"))
-    return tokens.agg(F.avg(_f1(F.col("hits"), F.size("p"), F.size("r"))).alias("rougeL"))
+    hits = lcs_length(F.array_join("p", " "), F.array_join("r", " "))
+    tokens = _tokenised(pairs, rouge_tokens).select(F.size("p").alias("p"), F.size("r").alias("r"), hits.alias("hits"))
+    return tokens.agg(F.avg(_f1(F.col("hits"), F.col("p"), F.col("r"))).alias("rougeL"))
 
 
 # --- METEOR ----------------------------------------------------------------------------------
@@ -184,8 +192,8 @@ def _match_stage(tokens: DataFrame, key: str) -> DataFrame:
         .withColumn("k", F.row_number().over(nth))
         .groupBy("id", key, "k")
         .agg(
-            F.max(F.when(F.col("side") == "p", F.col("pos"))).alias("p_pos"),
-            F.max(F.when(F.col("side") == "r", F.col("pos"))).alias("r_pos"),
+            F.max(F.when(F.col("side") == 1, F.col("pos"))).alias("p_pos"),
+            F.max(F.when(F.col("side") == 0, F.col("pos"))).alias("r_pos"),
         )
         .where("p_pos IS NOT NULL AND r_pos IS NOT NULL")
         .select("id", "p_pos", "r_pos")
@@ -204,26 +212,17 @@ def meteor(pairs: DataFrame, stems: Mapping[str, str] | None = None,
     ``stems`` maps word -> stem and ``synonyms`` word -> class; both are small user tables.
     Alignment is by k-th occurrence, not by a search for the fewest crossings.
     """
-    words = lambda text: F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    sided = lambda side: F.transform(
-        F.col(side), lambda w, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), w.alias("word"))
-    )
-    tokens = (
-        _tokenised(pairs, words).repartition("id")
-        .select("id", F.explode_outer(F.concat(sided("p"), sided("r"))).alias("t")).select("id", "t.*")
-    )
-    sizes = tokens.groupBy("id").agg(
-        F.count_if(F.col("side") == "p").alias("p_size"), F.count_if(F.col("side") == "r").alias("r_size")
-    )
+    words = _tokenised(pairs, meteor_tokens)
+    sizes = words.select("id", F.size("p").alias("p_size"), F.size("r").alias("r_size"))
+    tokens = _sides(words).select("id", "side", F.posexplode("words").alias("pos", "word"))
     matched = _match_stage(tokens, "word")
-    left = tokens
     for mapping in (stems, synonyms):
         if mapping:
-            used = matched.select("id", F.lit("p").alias("side"), F.col("p_pos").alias("pos")).union(
-                matched.select("id", F.lit("r").alias("side"), F.col("r_pos").alias("pos"))
+            used = matched.select("id", F.lit(1).alias("side"), F.col("p_pos").alias("pos")).union(
+                matched.select("id", F.lit(0).alias("side"), F.col("r_pos").alias("pos"))
             )
-            left = tokens.join(used, ["id", "side", "pos"], "left_anti")
-            mapped = left.withColumn("mapped", _mapped(F.col("word"), mapping))
+            rest = tokens.join(used, ["id", "side", "pos"], "left_anti")
+            mapped = rest.withColumn("mapped", _mapped(F.col("word"), mapping))
             matched = matched.union(_match_stage(mapped, "mapped"))
     in_order = Window.partitionBy("id").orderBy("p_pos")
     follows = (F.col("p_pos") == F.lag("p_pos").over(in_order) + 1) & (
