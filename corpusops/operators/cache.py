@@ -94,7 +94,7 @@ def _slices(asked: DataFrame, cover: DataFrame | None, ttl: int) -> DataFrame:
     spark = asked.sparkSession
     folder = f"{shared_folder(spark)}/cache-slices-{uuid.uuid4().hex}"
     asked.withColumn("slice", F.floor(F.col("start") / ttl)).write.partitionBy("slice").parquet(f"{folder}/lookups")
-    table = spark.read.schema(asked.schema.add("slice", "bigint")).parquet(f"{folder}/lookups")
+    table = spark.read.parquet(f"{folder}/lookups")
     spans = [r[0] for r in table.select("slice").distinct().orderBy("slice").collect()]  # one per ttl of log
     for at in spans:
         rows = _with_cover(table.where(F.col("slice") == at), cover)

@@ -1,0 +1,84 @@
+"""Cache attribution against a plain simulation of the stored answers."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from corpusops.operators import cache
+from corpusops.streaming import telemetry as st
+
+SCHEMA = """request_id bigint, ts timestamp, endpoint string, status int, duration_s double, prompt string,
+            max_tokens bigint, temperature double, stream boolean"""
+START = datetime(2024, 1, 1)
+
+
+def request(i, minutes, prompt="p", seconds=0.5, status=200, stream=False, endpoint=cache.CACHED_ENDPOINT):
+    return (i, START + timedelta(minutes=minutes), endpoint, status, seconds, prompt, 256, 0.7, stream)
+
+
+def expected(rows, ttl):
+    stored, out = {}, {}
+    for i, ts, endpoint, status, seconds, prompt, tokens, temperature, stream in sorted(rows, key=lambda r: (r[1], r[0])):
+        if endpoint != cache.CACHED_ENDPOINT:
+            out[i] = None
+        elif stream:
+            out[i] = "bypass"
+        else:
+            ends = stored.setdefault((prompt, tokens, temperature), [])
+            if any(e <= ts < e + timedelta(seconds=ttl) for e in ends):
+                out[i] = "hit"
+            else:
+                out[i] = "miss"
+                if status == 200:
+                    ends.append(ts + timedelta(microseconds=round(seconds * 1e6)))
+    return out
+
+
+def outcomes(df):
+    return {r["request_id"]: r["cache"] for r in df.collect()}
+
+
+def random_rows(n, seed, span_minutes):
+    rng = random.Random(seed)
+    return [
+        request(i, rng.randrange(span_minutes * 4) / 4, prompt=rng.choice("aaab"), seconds=rng.choice([0.0, 0.0, 0.5, 15.0, 100.0, 700.0]),
+                status=rng.choice([200, 200, 200, 500]), stream=rng.random() < 0.1,
+                endpoint=rng.choice([cache.CACHED_ENDPOINT] * 9 + ["/api/v1/chat"]))
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("fold_limit", [100, 0])
+def test_hits_do_not_extend_the_answer(spark, fold_limit):
+    rows = [request(i, m, seconds=0.0) for i, m in enumerate([0, 50, 70, 129, 130])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = outcomes(cache.cache_replay(df, 3600, fold_limit))
+    assert [got[i] for i in range(5)] == ["miss", "hit", "miss", "hit", "miss"]
+
+
+@pytest.mark.parametrize("seed, fold_limit", [(1, 10_000), (2, 40), (3, 0)])
+def test_against_simulation(spark, seed, fold_limit):
+    rows = random_rows(300, seed, 50)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert outcomes(cache.cache_replay(df, 600, fold_limit)) == expected(rows, 600)
+
+
+def test_stream_carries_answers_between_batches(spark, tmp_path):
+    rows = sorted(random_rows(300, 7, 90), key=lambda r: (r[1], r[0]))
+    for part, i in enumerate(range(0, 300, 75)):
+        spark.createDataFrame(rows[i:i + 75], SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
+    stream = (
+        spark.readStream.schema(SCHEMA + ", part int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).drop("part")
+    )
+    writer = st.stream_cache_replay(stream, str(tmp_path / "out"), str(tmp_path / "state"), ttl=600)
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.select("epoch").distinct().count() == 4
+    assert outcomes(out) == expected(rows, 600)
+
+
+def test_hit_rate(spark):
+    df = spark.createDataFrame([request(i, i) for i in range(4)] + [request(9, 5, stream=True)], SCHEMA)
+    row = cache.cache_hit_rate(cache.cache_replay(df)).first()
+    assert (row["lookups"], row["hits"], row["hit_rate"]) == (4, 3, 0.75)
