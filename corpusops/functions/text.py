@@ -38,6 +38,11 @@ def word_count(text: Column | str) -> Column:
     return F.size(py_words(text))
 
 
+def digest(text: Column) -> Column:
+    """32 bytes that stand for a text of any length when texts are grouped or counted."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def contains_any(text: Column, needles: Sequence[str], whole_word: bool = False) -> Column:
     """True if any needle occurs. Substring test unless ``whole_word``."""
     if whole_word:

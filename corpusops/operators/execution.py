@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-_ONE_SELECT = re.compile(r"^\s*(SELECT|WITH)\b[^;]*;?\s*$", re.IGNORECASE)
 MAX_SUITE = 1000
+_ONE_SELECT = re.compile(r"^\s*(SELECT|WITH)\b[^;]*;?\s*$", re.IGNORECASE)
+# functions that call arbitrary code in the JVM
+_CALLS_OUT = re.compile(r"\b(java_method|reflect|try_reflect)\s*\(", re.IGNORECASE)
 
 
 def _same_rows(a: DataFrame, b: DataFrame) -> bool:
@@ -23,9 +26,43 @@ def _same_rows(a: DataFrame, b: DataFrame) -> bool:
     return sides.groupBy(*names).agg(F.sum("n").alias("n")).where("n <> 0").isEmpty()
 
 
-def execution_match(spark: SparkSession, suite: Iterable[tuple[object, str, str]],
+@contextmanager
+def _only_these(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
+    """Register the tables, forbid queries on file paths, and put everything back afterwards."""
+    before = {n: spark.table(n) for n in tables if spark.catalog.tableExists(n)}
+    on_files = spark.conf.get("spark.sql.runSQLOnFiles")
+    spark.conf.set("spark.sql.runSQLOnFiles", "false")
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.runSQLOnFiles", on_files)
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
+
+
+def _allowed(sql: str | None) -> bool:
+    return bool(sql and _ONE_SELECT.match(sql) and not _CALLS_OUT.search(sql))
+
+
+def _outcome(spark: SparkSession, expected: str, predicted: str | None) -> str:
+    if not (_allowed(expected) and _allowed(predicted)):
+        return "rejected"
+    try:
+        same = _same_rows(spark.sql(expected.rstrip("; \n")), spark.sql(predicted.rstrip("; \n")))
+    except AnalysisException:
+        return "invalid"
+    except Exception:  # a prediction may fail in any way while it runs
+        return "error"
+    return "match" if same else "mismatch"
+
+
+def execution_match(spark: SparkSession, suite: Iterable[tuple[int, str, str | None]],
                     tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``id, status`` per (id, expected, predicted): match, mismatch, rejected or error.
+    """``id, status`` per (id, expected, predicted): match, mismatch, rejected, invalid or error.
 
     The suite is a bounded list of queries; every pair is a Spark job over whole tables. Only a
     single SELECT or WITH statement is run.
@@ -33,17 +70,6 @@ def execution_match(spark: SparkSession, suite: Iterable[tuple[object, str, str]
     suite = list(suite)
     if len(suite) > MAX_SUITE:
         raise ValueError(f"at most {MAX_SUITE} query pairs per suite")
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    outcomes = []
-    for key, expected, predicted in suite:
-        if not (_ONE_SELECT.match(expected) and _ONE_SELECT.match(predicted or "")):
-            status = "rejected"
-        else:
-            try:
-                same = _same_rows(spark.sql(expected.rstrip("; \n")), spark.sql(predicted.rstrip("; \n")))
-                status = "match" if same else "mismatch"
-            except Exception as problem:  # a prediction may fail in any way while it runs
-                status = "invalid" if isinstance(problem, AnalysisException) else "error"
-        outcomes.append((key, status))
+    with _only_these(spark, tables):
+        outcomes = [(key, _outcome(spark, expected, predicted)) for key, expected, predicted in suite]
     return spark.createDataFrame(outcomes, "id bigint, status string")

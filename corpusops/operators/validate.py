@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusops.functions.text import contains_any, is_blank, present, py_strip, py_words
+from corpusops.functions.text import contains_any, digest, is_blank, present, py_strip, py_words
 
 FIELDS = ("instruction", "input", "output")
 # fixed values: keyword lists and weights the report is defined by
@@ -71,15 +71,15 @@ def content_flags(df: DataFrame) -> DataFrame:
 def duplicates(df: DataFrame) -> DataFrame:
     """Rows whose instruction already occurred at a smaller id.
 
-    First ids come from a partial aggregate, and the anti join is on the unique id, so a repeated
+    First ids come from a partial aggregate over digests, and the anti join is on the unique id, so a repeated
     instruction is never gathered in one place.
     """
-    firsts = df.groupBy(_field("instruction").alias("__text")).agg(F.min("id").alias("id"))
+    firsts = df.groupBy(digest(_field("instruction")).alias("__text")).agg(F.min("id").alias("id"))
     return df.join(firsts.select("id"), "id", "left_anti")
 
 
 def duplicate_counts(df: DataFrame) -> DataFrame:
-    unique = F.count_distinct(_field("instruction"))
+    unique = F.count_distinct(digest(_field("instruction")))
     return df.agg(unique.alias("unique_instructions"), (F.count("*") - unique).alias("duplicate_instructions"))
 
 
@@ -138,7 +138,7 @@ def sql_errors(df: DataFrame, strict: bool = True) -> DataFrame:
 
 def unique_instructions(df: DataFrame, approximate: bool = False) -> DataFrame:
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(count(_field("instruction")).alias("unique_instructions"))
+    return df.agg(count(digest(_field("instruction"))).alias("unique_instructions"))
 
 
 def opening_patterns(df: DataFrame, top: int = 10) -> DataFrame:
@@ -194,7 +194,7 @@ def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP) -> DataFra
     One scan and one distinct aggregate. Stored issues are at most ``cap`` structural ones plus
     every empty output, and an empty output therefore costs points twice.
     """
-    unique = F.count_distinct(_field("instruction"))
+    unique = F.count_distinct(digest(_field("instruction")))
     structural = F.sum(sum((F.col(f).isNull().cast("int") for f in FIELDS), F.lit(0)))
     looks = _looks_sql()
     level = complexity()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusops.operators import score as s
+from corpusops.operators.execution import execution_match
 from corpusops.plans.registry import Registry, any_of, blank, rounded, strip, words
 
 P, R = "coalesce(prediction, '')", "reference"
@@ -77,7 +78,32 @@ def _keywords(x: str) -> str:
     return "list_filter([" + ", ".join(f"CASE WHEN contains(upper({x}), '{k}') THEN '{k}' END" for k in s.SQL_KEYWORDS) + "], lambda k: k IS NOT NULL)"
 
 
+# expected and predicted SQL over the given tables
+SUITE = (
+    (1, "SELECT o_custkey, count(*) AS order_count FROM orders GROUP BY o_custkey",
+     "SELECT o_custkey, count(o_orderkey) AS n FROM orders GROUP BY o_custkey"),
+    (2, "SELECT o_custkey, count(*) AS order_count FROM orders GROUP BY o_custkey",
+     "SELECT o_custkey, count(*) AS order_count FROM orders WHERE o_totalprice > 100000 GROUP BY o_custkey"),
+    (3, "SELECT p_brand, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand",
+     "WITH sold AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey) "
+     "SELECT p_brand, CAST(sum(n) AS bigint) AS n FROM sold JOIN part ON l_partkey = p_partkey GROUP BY p_brand"),
+    (4, "SELECT o_orderkey FROM orders", "SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders"),
+)
+
+
+def _suite_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS id, CASE WHEN EXISTS (FROM (({a}) EXCEPT ALL ({b}))) OR EXISTS (FROM (({b}) EXCEPT ALL ({a}))) "
+        "THEN 'mismatch' ELSE 'match' END AS status" for i, a, b in SUITE)
+
+
+def _execution(t):
+    tables = {n: t(n) for n in ("orders", "lineitem", "part")}
+    return execution_match(tables["orders"].sparkSession, SUITE, tables)
+
+
 def register(q: Registry) -> None:
+    q.add("e15_execution_match", _execution, _suite_sql())
     pairs = ("sql_pairs",)
     q.add(
         "e01_pair",

@@ -157,11 +157,9 @@ def first_by_hash(
     A histogram over 2^20 hash prefixes finds the prefix the quota falls into; only rows of that
     prefix are ranked. The result does not depend on partitioning. ``key`` must be unique.
     """
-    groups = list(by) or ["__all"]
+    groups = list(by)
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     tagged = df.withColumn("__hash", digest).withColumn("__prefix", F.substring("__hash", 1, 5))
-    if not by:
-        tagged = tagged.withColumn("__all", F.lit(0))
     histogram = tagged.groupBy(*groups, "__prefix").agg(F.count("*").alias("__n"))
     whole = Window.partitionBy(*groups)
     before = whole.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
@@ -172,21 +170,28 @@ def first_by_hash(
         .where("__before < __quota AND __before + __n >= __quota")
         .select(*groups, F.col("__prefix").alias("__edge"), (F.col("__quota") - F.col("__before")).alias("__rest"))
     )
-    at_edge = (
-        tagged.select(*groups, "__hash", "__prefix", key)
-        .join(broadcast_if_small(edges), groups)
-        .where("__prefix = __edge")
-    )
+    place = F.struct("__hash", key)
+    keys_only = tagged.select(*groups, "__hash", "__prefix", key)
+    if not groups:
+        edge = edges.first()
+        if edge is None:
+            return df.withColumn(out, F.lit(False))
+        at_edge = keys_only.where(F.col("__prefix") == edge["__edge"])
+        last = at_edge.orderBy("__hash", key).limit(edge["__rest"]).agg(F.max(place).alias("__cutoff")).first()[0]
+        same = (F.col("__hash") == last["__hash"]) & (F.col(key) <= last[key])
+        selected = (F.col("__hash") < last["__hash"]) | same
+        return tagged.withColumn(out, selected).drop("__hash", "__prefix")
+    at_edge = keys_only.join(broadcast_if_small(edges), groups).where("__prefix = __edge")
     cutoffs = (
         at_edge.withColumn("__rank", F.row_number().over(whole.orderBy("__hash", key)))
         .where("__rank <= __rest")
         .groupBy(*groups)
-        .agg(F.max(F.struct("__hash", key)).alias("__cutoff"))
+        .agg(F.max(place).alias("__cutoff"))
     )
     flagged = tagged.join(broadcast_if_small(cutoffs), groups, "left").withColumn(
-        out, F.coalesce(F.struct("__hash", key) <= F.col("__cutoff"), F.lit(False))
+        out, F.coalesce(place <= F.col("__cutoff"), F.lit(False))
     )
-    return flagged.drop("__hash", "__prefix", "__cutoff", "__all")
+    return flagged.drop("__hash", "__prefix", "__cutoff")
 
 
 def exact_quantiles(

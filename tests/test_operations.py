@@ -229,6 +229,10 @@ def test_execution_match(spark):
         (6, "SELECT a FROM t", "SELECT a, b FROM t"),
         (7, "SELECT a FROM t", "SELECT 1 / (a - a) FROM t"),
         (8, "SELECT a FROM t", None),
+        (9, "SELECT a FROM t", "SELECT reflect('java.lang.System', 'currentTimeMillis') FROM t"),
+        (10, "SELECT a FROM t", "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`"),
     ]
+    spark.range(5).createOrReplaceTempView("t")
     got = {r["id"]: r["status"] for r in execution_match(spark, suite, tables).collect()}
-    assert got == {1: "match", 2: "mismatch", 3: "invalid", 4: "rejected", 5: "rejected", 6: "mismatch", 7: "error", 8: "rejected"}
+    assert got == {1: "match", 2: "mismatch", 3: "invalid", 4: "rejected", 5: "rejected", 6: "mismatch", 7: "error", 8: "rejected", 9: "rejected", 10: "invalid"}
+    assert spark.table("t").count() == 5
