@@ -96,6 +96,7 @@ def _slices(asked: DataFrame, cover: DataFrame | None, ttl: int) -> DataFrame:
     asked.withColumn("slice", F.floor(F.col("start") / ttl)).write.partitionBy("slice").parquet(f"{folder}/lookups")
     table = spark.read.parquet(f"{folder}/lookups")
     spans = [r[0] for r in table.select("slice").distinct().orderBy("slice").collect()]  # one per ttl of log
+    shape = asked.select("key", "request_id", "end", "ok").schema
     for at in spans:
         rows = _with_cover(table.where(F.col("slice") == at), cover)
         open_rows = rows.where(~_is_covered(F.col("cover"), F.col("start"))).drop("cover")
@@ -106,12 +107,12 @@ def _slices(asked: DataFrame, cover: DataFrame | None, ttl: int) -> DataFrame:
             f"first IS NULL OR start < first.end OR ({instant})"
         )
         path = f"{folder}/misses/slice={at}"
-        missed.select("key", "request_id", "end", "ok").write.parquet(path)
-        stored = _stored(spark.read.parquet(path), ttl)
+        missed.select(*shape.names).write.parquet(path)
+        stored = _stored(spark.read.schema(shape).parquet(path), ttl)
         if cover is not None:
             stored = cover.where(F.col("high") > (at + 1) * ttl).union(stored)
         cover = checkpointed(stored)
-    return spark.read.parquet(f"{folder}/misses").drop("slice")
+    return spark.read.schema(shape).parquet(f"{folder}/misses")
 
 
 def find_misses(asked: DataFrame, cover: DataFrame | None = None, ttl: int = TTL_SECONDS,

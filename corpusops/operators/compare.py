@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.functions.text import py_title
-from corpusops.plans.scale import lag_by_time
+from corpusops.plans.scale import broadcast_if_small, lag_by_time
 
 # fixed values: display names and main metrics
 METRIC_LABELS = {
@@ -55,7 +55,7 @@ def pick_run(runs: DataFrame, pick: str = "newest") -> DataFrame:
     """The rows of each model's newest (or oldest) run. A max per model, then a join back."""
     best = F.max if pick == "newest" else F.min
     chosen = runs.groupBy("model_name").agg(best("run_ts").alias("run_ts"))
-    return runs.join(chosen, ["model_name", "run_ts"], "left_semi")
+    return runs.join(broadcast_if_small(chosen), ["model_name", "run_ts"], "left_semi")
 
 
 def metric_names(runs: DataFrame) -> list[str]:

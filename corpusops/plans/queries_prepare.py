@@ -233,8 +233,8 @@ def register(q: Registry) -> None:
         "p15_token_usage",
         lambda t: prepare.token_usage(t("examples"), "instruction", "output").select(
             "id", "prompt_tokens", "completion_tokens", "total_tokens"),
-        f"""SELECT id, len({words('instruction')}) AS prompt_tokens, len({words('output')}) AS completion_tokens,
-                   len({words('instruction')}) + len({words('output')}) AS total_tokens FROM examples""",
+        f"""SELECT id, len({words('instruction')})::INTEGER AS prompt_tokens, len({words('output')})::INTEGER AS completion_tokens,
+                   (len({words('instruction')}) + len({words('output')}))::INTEGER AS total_tokens FROM examples""",
         ("examples",),
     )
     q.add(

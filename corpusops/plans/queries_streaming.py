@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from corpusops.operators import telemetry as m
 from corpusops.plans.queries_telemetry import BOUND_ROWS, CACHE
-from corpusops.plans.registry import Query, Registry, rounded
-from corpusops.plans.views import VIEWS, inline
+from corpusops.plans.registry import Registry, rounded
+from corpusops.plans.views import VIEWS
 from corpusops.streaming import telemetry as st
 
 LOG = ("requests",)
@@ -30,15 +30,8 @@ def _stream(spark, sf_dir: str, view: str):
     return spark.sql(VIEWS[view], events=events)
 
 
-class _StreamQuery(Query):
-    def run(self, spark, sf_dir):
-        from corpusops.plans.registry import plain
-
-        return plain(self.build(lambda view: _stream(spark, sf_dir, view)))
-
-
-def _add(q: Registry, name: str, build, sql: str | None, views=LOG) -> None:
-    q.queries[name] = _StreamQuery(name, build, inline(sql, *views) if sql else None)
+def _add(q: Registry, name: str, build, sql: str, views=LOG) -> None:
+    q.add(name, build, sql, views, _stream)
 
 
 def _alerts(t):

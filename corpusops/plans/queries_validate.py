@@ -74,8 +74,8 @@ def register(q: Registry) -> None:
         q.add(
             name, lambda t, view=view: rounded(v.length_stats(t(view))),
             "SELECT " + ", ".join(
-                f"round(avg(length(coalesce({f}, ''))), 6) AS avg_{f}_length, min(length(coalesce({f}, ''))) AS min_{f}_length, "
-                f"max(length(coalesce({f}, ''))) AS max_{f}_length" for f in v.FIELDS) + f" FROM {view}",
+                f"round(avg(length(coalesce({f}, ''))), 6) AS avg_{f}_length, min(length(coalesce({f}, '')))::INTEGER AS min_{f}_length, "
+                f"max(length(coalesce({f}, '')))::INTEGER AS max_{f}_length" for f in v.FIELDS) + f" FROM {view}",
             (view,),
         )
     for name, view in (("v06_v07_v08_content_flags", "raw_examples"), ("v06_v07_v08_content_flags_prose", "examples")):

@@ -39,9 +39,10 @@ class Query:
     name: str
     build: Callable[[Tables], DataFrame]
     sql: str | None
+    source: Callable[[SparkSession, str, str], DataFrame]
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(self.build(lambda name: table(spark, sf_dir, name)))
+        return plain(self.build(lambda name: self.source(spark, sf_dir, name)))
 
 
 class Registry:
@@ -49,10 +50,11 @@ class Registry:
         self.queries: dict[str, Query] = {}
 
     def add(self, name: str, build: Callable[[Tables], DataFrame], sql: str | None = None,
-            views: tuple[str, ...] = ()) -> None:
+            views: tuple[str, ...] = (), source: Callable[[SparkSession, str, str], DataFrame] = table) -> None:
+        """Register a query; ``source`` gives its inputs by name and ``views`` are inlined into its SQL."""
         if name in self.queries:
             raise ValueError(f"query {name} is registered twice")
-        self.queries[name] = Query(name, build, inline(sql, *views) if sql else None)
+        self.queries[name] = Query(name, build, inline(sql, *views) if sql else None, source)
 
 
 def plain(df: DataFrame) -> DataFrame:

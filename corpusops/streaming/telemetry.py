@@ -146,10 +146,11 @@ def stream_cache_replay(stream: DataFrame, out: str, state: str, ttl: int = cach
     """
 
     def replay(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        cover = spark.read.parquet(f"{state}/epoch={epoch - 1}") if epoch else None
         fixed = checkpointed(batch)
-        misses = checkpointed(cache.find_misses(cache.lookups(fixed), cover, ttl, fold_limit))
+        asked = cache.lookups(fixed)
+        shape = asked.select("key", F.col("start").alias("low"), F.col("end").alias("high")).schema
+        cover = batch.sparkSession.read.schema(shape).parquet(f"{state}/epoch={epoch - 1}") if epoch else None
+        misses = checkpointed(cache.find_misses(asked, cover, ttl, fold_limit))
         cache.outcomes(fixed, misses).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
         newest = fixed.agg(F.max(F.unix_micros("ts"))).first()[0] or 0
         kept = cache.next_cover(cover, misses, newest, ttl)

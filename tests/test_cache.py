@@ -78,6 +78,19 @@ def test_stream_carries_answers_between_batches(spark, tmp_path):
     assert outcomes(out) == expected(rows, 600)
 
 
+def test_nothing_is_stored_by_failures_and_bypasses(spark, tmp_path):
+    rows = [request(0, 0, status=500), request(1, 1, status=500), request(2, 2, stream=True), request(3, 30), request(4, 31)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for limit in (100, 0):
+        assert outcomes(cache.cache_replay(df, 600, limit)) == expected(rows, 600)
+    for part, row in enumerate(rows):
+        spark.createDataFrame([row], SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
+    stream = spark.readStream.schema(SCHEMA + ", part int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).drop("part")
+    writer = st.stream_cache_replay(stream, str(tmp_path / "out"), str(tmp_path / "state"), ttl=600)
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert outcomes(spark.read.parquet(str(tmp_path / "out"))) == expected(rows, 600)
+
+
 def test_hit_rate(spark):
     df = spark.createDataFrame([request(i, i) for i in range(4)] + [request(9, 5, stream=True)], SCHEMA)
     row = cache.cache_hit_rate(cache.cache_replay(df)).first()

@@ -139,6 +139,17 @@ def test_exposition(spark):
                        ("d_bucket", {"le": "+Inf"}, float("inf"))]
 
 
+def test_samples_read_alike_as_table_and_stream(spark, tmp_path):
+    folder = tmp_path / "samples"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"ts": "2024-01-01T00:00:00Z", "metric": "up", "labels": {"job": "node"}, "value": 1}\n')
+    table = telemetry.read_samples(spark, str(folder)).collect()
+    assert (table[0]["metric"], table[0]["labels"], table[0]["value"]) == ("up", {"job": "node"}, 1.0)
+    from corpusops.streaming.telemetry import run_available
+
+    assert run_available(telemetry.read_samples(spark, str(folder), streaming=True)).collect() == table
+
+
 def test_scrape_interval_keeps_the_latest_sample(spark):
     rows = [("llm-api", "up", {"a": "b"}, float(s), float(s)) for s in (0, 4, 9, 10)] + [("node", "up", {}, 14.0, 1.0)]
     df = spark.createDataFrame(rows, "job string, metric string, labels map<string,string>, at double, value double")
