@@ -112,7 +112,7 @@ def _slices(asked: DataFrame, cover: DataFrame | None, ttl: int) -> DataFrame:
         if cover is not None:
             stored = cover.where(F.col("high") > (at + 1) * ttl).union(stored)
         cover = checkpointed(stored)
-    return spark.read.schema(shape).parquet(f"{folder}/misses")
+    return spark.read.schema(shape).parquet(f"{folder}/misses").drop("slice")
 
 
 def find_misses(asked: DataFrame, cover: DataFrame | None = None, ttl: int = TTL_SECONDS,
