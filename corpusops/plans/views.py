@@ -86,7 +86,7 @@ VIEWS = {
                event_id * 1000000 + CAST(floor(value * 1000) AS bigint) AS cpu_total, event_id * 1000000 AS cpu_before,
                event_id * 200000 + CASE WHEN event_id % 101 = 0 THEN 0 ELSE 200000 END AS system_total,
                event_id * 200000 AS system_before,
-               CAST(floor(value * 524288000) AS bigint) + event_id % 1009 AS mem_usage, CAST(34359738368 AS bigint) AS mem_limit,
+               CAST(floor(value * 524288000) AS bigint) + event_id % 1009 * 2 + 1 AS mem_usage, CAST(34359738368 AS bigint) AS mem_limit,
                CASE WHEN user_id % 8 = 0 THEN 'nvidia' ELSE 'runc' END AS runtime
         FROM {events}""",
     "files": """
