@@ -73,6 +73,9 @@ def _step_of(ts: str, step: int) -> Column:
 
 
 def _windows(step: int, window: int) -> Column:
+    """The evaluation times whose window covers step ``t``."""
+    if window % step:
+        raise ValueError(f"the window ({window} s) must be a multiple of the step ({step} s)")
     return F.explode(F.sequence(F.col("t"), F.col("t") + F.lit(window - step), F.lit(step).cast("bigint")))
 
 

@@ -83,9 +83,13 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     return df.agg(unique.alias("unique_instructions"), (F.count("*") - unique).alias("duplicate_instructions"))
 
 
-def issue_report(df: DataFrame, cap: int = ISSUE_CAP) -> DataFrame:
-    """The first ``cap`` structural issues by id and field, and every empty output."""
-    structural = missing_fields(df).select("id", "field", F.lit("missing").alias("issue"))
+def issue_report(df: DataFrame, cap: int = ISSUE_CAP, structural: DataFrame | None = None) -> DataFrame:
+    """The first ``cap`` structural issues by id and field, and every empty output.
+
+    Without ``structural`` (see ``structure_issues`` of the readers) a null field is an issue.
+    """
+    if structural is None:
+        structural = missing_fields(df).select("id", "field", F.lit("missing").alias("issue"))
     empty = df.where(is_blank("output")).select(
         "id", F.lit("output").alias("field"), F.lit("empty output").alias("issue")
     )
@@ -188,19 +192,21 @@ def quality_score(report: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP) -> DataFrame:
+def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP,
+             structural: DataFrame | None = None) -> DataFrame:
     """The whole report as one row: counts, averages, SQL and diversity totals, score, verdict, gate.
 
     One scan and one distinct aggregate. Stored issues are at most ``cap`` structural ones plus
-    every empty output, and an empty output therefore costs points twice.
+    every empty output, and an empty output therefore costs points twice. Without ``structural`` a
+    null field is a structural issue.
     """
     unique = F.count_distinct(digest(_field("instruction")))
-    structural = F.sum(sum((F.col(f).isNull().cast("int") for f in FIELDS), F.lit(0)))
+    nulls = F.sum(sum((F.col(f).isNull().cast("int") for f in FIELDS), F.lit(0)))
     looks = _looks_sql()
     level = complexity()
     aggs = [
         F.count("*").alias("total_examples"),
-        F.coalesce(structural, F.lit(0)).alias("structural_issues"),
+        F.coalesce(nulls, F.lit(0)).alias("structural_issues"),
         *[F.avg(F.length(_field(f))).alias(f"avg_{f}_length") for f in FIELDS],
         *[F.count_if(test).alias(name) for name, test in _content_tests().items()],
         unique.alias("unique_instructions"),
@@ -212,8 +218,11 @@ def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP) -> DataFra
             for d, words in DOMAINS.items()
         ],
     ]
+    totals = df.agg(*aggs)
+    if structural is not None:
+        totals = totals.withColumn("structural_issues", structural.agg(F.count("*")).scalar())
     report = (
-        df.agg(*aggs)
+        totals
         .withColumn("duplicate_instructions", F.col("total_examples") - F.col("unique_instructions"))
         .withColumn("issues", F.least(F.col("structural_issues"), F.lit(cap)) + F.col("empty_outputs"))
         .withColumn("valid_examples", F.col("total_examples") - F.col("empty_outputs"))

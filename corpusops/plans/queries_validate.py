@@ -53,9 +53,9 @@ def register(q: Registry) -> None:
     q.add(
         "v01_v02_v03_structure_issues", lambda t: files.structure_issues(_raw_lines(t)),
         f"""SELECT id, '' AS field, 'not an object' AS issue FROM raw_examples WHERE {listed}
-            UNION ALL SELECT id, 'instruction', 'missing' FROM raw_examples WHERE instruction IS NULL AND NOT {listed} AND id % 89 <> 0
-            UNION ALL SELECT id, 'input', 'missing' FROM raw_examples WHERE input IS NULL AND NOT {listed}
-            UNION ALL SELECT id, 'output', 'missing' FROM raw_examples WHERE output IS NULL AND NOT {listed}
+            UNION ALL SELECT id, gone, 'missing' FROM (SELECT id, concat_ws(',',
+                CASE WHEN instruction IS NULL AND id % 89 <> 0 THEN 'instruction' END, CASE WHEN input IS NULL THEN 'input' END,
+                CASE WHEN output IS NULL THEN 'output' END) AS gone FROM raw_examples WHERE NOT {listed}) WHERE gone <> ''
             UNION ALL SELECT id, 'instruction', 'not a string' FROM raw_examples WHERE id % 89 = 0 AND NOT {listed}""",
         raw,
     )

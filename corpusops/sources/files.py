@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusops.functions.text import present
 from corpusops.operators.prepare import head as first_rows
@@ -115,25 +114,23 @@ def summary_row(stats: DataFrame, by: Sequence[str], names: Sequence[str] | None
 
 
 def structure_issues(raw: DataFrame, fields: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    """Issues of raw JSON rows ``(id, line)``: not an object, missing field, field not a string."""
+    """Issues ``id, field, issue`` of raw JSON rows ``id, line``.
+
+    A row that is not an object gives one issue, all its missing fields together give one, and every
+    field that is present but not a string (null included) gives one.
+    """
     parsed = raw.withColumn("doc", F.try_parse_json("line"))
-    kind = F.schema_of_variant("doc")
-    is_object = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-    # a JSON null keeps its key in the document but yields a VOID field
-    keys = F.coalesce(F.json_object_keys("line"), F.array().cast(T.ArrayType(T.StringType())))
-    missing = present([(f, ~F.array_contains(keys, f)) for f in fields])
-    wrong = present(
-        [
-            (f, F.array_contains(keys, f) & (F.coalesce(F.schema_of_variant(F.try_variant_get("doc", f"$.{f}", "variant")), F.lit("VOID")) != "STRING"))
-            for f in fields
-        ]
-    )
-    not_object = F.when(~is_object, F.array(F.struct(F.lit("").alias("field"), F.lit("not an object").alias("issue"))))
-    of_fields = F.concat(
-        F.transform(missing, lambda f: F.struct(f.alias("field"), F.lit("missing").alias("issue"))),
-        F.transform(wrong, lambda f: F.struct(f.alias("field"), F.lit("not a string").alias("issue"))),
-    )
-    return (
-        parsed.select("id", F.explode(F.coalesce(not_object, of_fields)).alias("found"))
-        .select("id", "found.field", "found.issue")
+    is_object = F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False))
+    # a JSON null keeps its key in the document but yields no value
+    keys = F.coalesce(F.json_object_keys("line"), F.array().cast("array<string>"))
+    has = lambda f: F.array_contains(keys, f)
+    kind = lambda f: F.coalesce(F.schema_of_variant(F.try_variant_get("doc", f"$.{f}", "variant")), F.lit("VOID"))
+    missing = F.array_join(present([(f, ~has(f)) for f in fields]), ",")
+    wrong = present([(f, has(f) & (kind(f) != "STRING")) for f in fields])
+    issue = lambda field, text: F.struct(field.alias("field"), F.lit(text).alias("issue"))
+    of_object = F.concat(
+        F.array_compact(F.array(F.when(missing != "", issue(missing, "missing")))),
+        F.transform(wrong, lambda f: issue(f, "not a string")),
     )
+    found = F.when(is_object, of_object).otherwise(F.array(issue(F.lit(""), "not an object")))
+    return parsed.select("id", F.inline(found))

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from corpusops.operators import cache
 from corpusops.operators.telemetry import (
@@ -174,6 +174,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the query's stateful operators dropped because they came after the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def run_available(df: DataFrame) -> DataFrame:
     """Run a streaming frame over everything available now and read back what it wrote."""
     spark = df.sparkSession

@@ -90,13 +90,19 @@ def test_structure_issues_of_raw_lines(spark, tmp_path):
     path = tmp_path / "d.jsonl"
     path.write_text("\n".join([
         '{"instruction": "i", "input": "x", "output": "o"}', '{"instruction": 5, "input": null}', "[1]", "oops",
+        '{"output": "o"}',
     ]))
     issues = files.structure_issues(files.read_raw_examples(spark, str(path)))
     got = sorted((r["id"], r["field"], r["issue"]) for r in issues.collect())
     assert got == [
         (1, "input", "not a string"), (1, "instruction", "not a string"), (1, "output", "missing"),
-        (2, "", "not an object"), (3, "", "not an object"),
+        (2, "", "not an object"), (3, "", "not an object"), (4, "instruction,input", "missing"),
     ]
+    rows = files.read_examples(spark, str(path), "instruction string, input string, output string").drop(files.CORRUPT)
+    report = validate.validate(rows, structural=issues).first()
+    assert (report["structural_issues"], report["total_examples"]) == (6, 5)
+    numbered = rows.withColumn("id", F.monotonically_increasing_id())
+    assert validate.issue_report(numbered, cap=2, structural=issues).where("issue <> 'empty output'").count() == 2
 
 
 def test_training_source_types(spark, tmp_path):

@@ -139,6 +139,25 @@ def test_alert_state_survives_batches(spark, tmp_path):
     assert got == [(0, "pending"), (2, "firing"), (4, "resolved"), (5, "pending"), (8, "pending"), (10, "firing"), (13, "resolved")]
 
 
+def test_rows_after_the_watermark_are_dropped_and_counted(spark, tmp_path):
+    for part, minutes in enumerate([(0, 1, 60), (61, 2), (100,)]):  # minute 2 is an hour late
+        rows = log_of(spark, *[(60 * m, 200, 1.0) for m in minutes])
+        rows.coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
+    stream = spark.readStream.schema(LOG + ", part int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    counts = streaming.stream_counts(stream, "1 minute")
+    writer = counts.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+    query = writer.outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert streaming.late_rows(query) == 1
+    starts = sorted((r["window_start"] - START).seconds // 60 for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert starts == [0, 1, 60, 61]
+
+
+def test_window_must_be_a_multiple_of_the_step(spark):
+    with pytest.raises(ValueError):
+        telemetry.rate(log_of(spark, (0, 200, 1.0)), 300, 7)
+
+
 def test_stream_of_logs(spark, tmp_path):
     folder = tmp_path / "var" / "log" / "containers"
     folder.mkdir(parents=True)
