@@ -140,7 +140,7 @@ def test_alert_state_survives_batches(spark, tmp_path):
 
 
 def test_rows_after_the_watermark_are_dropped_and_counted(spark, tmp_path):
-    for part, minutes in enumerate([(0, 1, 60), (61, 2), (100,)]):  # minute 2 is an hour late
+    for part, minutes in enumerate([(0, 1, 60), (61,), (100, 2)]):  # minute 2 is late by more than an hour
         rows = log_of(spark, *[(60 * m, 200, 1.0) for m in minutes])
         rows.coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
     stream = spark.readStream.schema(LOG + ", part int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
