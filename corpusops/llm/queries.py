@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 from corpusops.llm import boilerplate, dedup_minmax, mixing, parsing, quality, recompress, secrets, sentencepieces, sharding, toxicity
 
 QUERIES = {
@@ -19,9 +17,3 @@ QUERIES = {
     "op10_quality_rules": quality.op10,
 }
 SQL = {"op1_secret_scans": secrets.SQL, "op10_quality_rules": quality.SQL}
-
-
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
