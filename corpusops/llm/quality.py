@@ -80,8 +80,10 @@ def counts(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFra
     out = out.withColumn("_q_at", F.expr(f"sort_array(array_distinct(flatten({twice})))"))
     n = "greatest(size(_q_at) - 1, 0)"
     covered = f"aggregate(zip_with(slice(_q_at, 1, {n}), slice(_q_at, 2, {n}), (a, b) -> least(b - a, {window})), if(size(_q_at) > 0, {window}, 0), (s, x) -> s + x)"
-    out = out.withColumn("n_repeat_words", F.expr(covered).cast("long"))
-    return out.drop("_q_text", "_q_words", "_q_lines", "_q_1", "_q_2", "_q_4", "_q_8", "_q_order", "_q_at")
+    # A filter on a count must not be pushed below: in place of each working column it would get the whole expression, several times over.
+    out = out.withColumn("_q_row", F.monotonically_increasing_id())
+    out = out.withColumn("n_repeat_words", F.when(F.col("_q_row") >= 0, F.expr(covered).cast("long")))
+    return out.drop("_q_text", "_q_words", "_q_lines", "_q_1", "_q_2", "_q_4", "_q_8", "_q_order", "_q_at", "_q_row")
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
