@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from corpusops.llm import words as W
 from corpusops.llm.store import Workspace
 
-CHUNK = 16_384  # code points
+CHUNK = 32_768  # code points
+ROWS_AT_ONCE = 64
 BLOCK = 64  # chunks whose matrices are multiplied in one task
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 MARK = "▁"
 UNKNOWN = -1
 START = -2
@@ -227,15 +228,20 @@ def _short(model: bytes):
     return run
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows, one at a time: chunks are long."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _transfers(model: bytes):
     schema = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("matrix", _MATRIX)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
         for batch in batches:
-            rows = batch.to_pylist()
-            found = [_stored(transfer(codec, r["around"], r["start"], r["end"], r["final"])) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["row"] for r in rows], pa.int64()), pa.array([r["chunk"] for r in rows], pa.int32()), pa.array(found, _MATRIX)], schema=schema)
+            found = [_stored(transfer(codec, r["around"], r["start"], r["end"], r["final"])) for r in _rows(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(found, _MATRIX)], schema=schema)
 
     return run
 
@@ -260,9 +266,10 @@ def _traced(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
         for batch in batches:
-            rows = batch.to_pylist()
-            ids = [pieces_of(codec, r["around"], r["start"], r["end"], r["final"], r["entry"], r["leave"]) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["row"] for r in rows], pa.int64()), pa.array([r["chunk"] for r in rows], pa.int32()), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                ids = [pieces_of(codec, r["around"], r["start"], r["end"], r["final"], r["entry"], r["leave"]) for r in _rows(part)]
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("chunk"), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
 
     return run
 
@@ -309,11 +316,11 @@ def _decode(model: bytes, digest: bool):
         codec = Codec(model)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
-            texts = [codec.decode(x) if x else "" for x in batch.column("ids").to_pylist()]
+            texts = [codec.decode(x.as_py()) if x.is_valid and len(x) else "" for x in batch.column("ids")]  # one row as Python numbers at a time
             keep = [i for i in range(batch.num_columns) if i != at]
             if digest:
-                ids = [hashlib.sha256(np.asarray(x.values, "<i4").tobytes() if x.values is not None else b"").hexdigest() for x in batch.column("ids")]
-                new = {"n_pieces": pa.array([len(x) for x in batch.column("ids")], pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())}
+                ids = [hashlib.sha256(np.asarray(x.values, "<i4").tobytes() if x.is_valid else b"").hexdigest() for x in batch.column("ids")]
+                new = {"n_pieces": pa.array([len(x) if x.is_valid else 0 for x in batch.column("ids")], pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())}
             else:
                 new = {"decoded": pa.array(texts, pa.string())}
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *new.values()], names=[*(batch.schema.names[i] for i in keep), *new])
