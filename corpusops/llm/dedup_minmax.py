@@ -19,7 +19,7 @@ PERMUTATIONS = 64
 BANDS = 32  # of two permutations each, so of four values: a link at 0.75 is missed once in 200,000
 SHINGLE = 5
 PERCENT = 75
-MEMBERS_A_TASK = 512
+MEMBERS_A_TASK = 128
 
 
 def shingle_sets(batch: pa.RecordBatch, n: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -123,7 +123,7 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (leader, member) whose whole sets reach the likeness. A leader's set is sent once per 512 of its members."""
+    """The pairs (leader, member) whose whole sets reach the likeness. A leader's set is sent once per 128 of its members."""
     parts = pairs.groupBy("leader").agg(F.floor((F.count("*") - 1) / MEMBERS_A_TASK).cast("int").alias("last"))
     members = pairs.join(parts, "leader").join(sets.select(F.col("rep").alias("member"), "grams"), "member")
     members = members.select("leader", F.pmod(F.xxhash64("member"), F.col("last") + 1).cast("int").alias("part"), "member", "grams")
