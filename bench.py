@@ -25,7 +25,7 @@ HEADLINE = """
     e02_exact_match e03_bleu_sql e03_bleu_prose e04_rouge_prose e05_rouge_l_prose e06_meteor_prose e07_embedding_f1
     e09_e11_sql_metrics e13_perf_summary c03_metric_matrix_newest c11_ab_test c12_regressions c14_loss_curve
     m02_histogram_requests m03_concurrency m04_rate m05_counter_rate m06_quantile_requests m07_queue_series
-    m08_alert_response_time m11_alert_memory m15_cache_replay m17_headline m21_latency_summary
+    m08_alert_response_time m11_alert_memory m17_headline m21_latency_summary
     k01_k02_k03_k04_container_costs k08_to_k13_recommendations k15_cost_report k18_cost_trend st1_stream_counts st3_stream_quantile
 """.split()
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.functions.text import py_title
-from corpusops.plans.scale import broadcast_if_small, lag_by_time
+from corpusops.plans.scale import lag_by_time
 
 # fixed values: display names and main metrics
 METRIC_LABELS = {
@@ -55,7 +55,7 @@ def pick_run(runs: DataFrame, pick: str = "newest") -> DataFrame:
     """The rows of each model's newest (or oldest) run. A max per model, then a join back."""
     best = F.max if pick == "newest" else F.min
     chosen = runs.groupBy("model_name").agg(best("run_ts").alias("run_ts"))
-    return runs.join(broadcast_if_small(chosen), ["model_name", "run_ts"], "left_semi")
+    return runs.join(chosen, ["model_name", "run_ts"], "left_semi")
 
 
 def metric_names(runs: DataFrame) -> list[str]:
@@ -71,10 +71,10 @@ def metric_matrix(runs: DataFrame, models: Sequence[str], pick: str = "newest")
 
 
 def timeline(runs: DataFrame) -> DataFrame:
-    """Per run: mean over those main metrics that exist, and how many exist."""
+    """Per run (model, dataset and time): mean over those main metrics that exist, and how many exist."""
     return (
         runs.where(F.col("metric").isin(list(MAIN_METRICS)))
-        .groupBy("model_name", "run_ts")
+        .groupBy("model_name", "dataset_name", "run_ts")
         .agg(F.avg("value").alias("score"), F.count("*").alias("metrics_count"))
     )
 
@@ -113,7 +113,7 @@ def compare_examples(examples: DataFrame, a: str, b: str, n: int = 3) -> DataFra
 
 def overview(runs: DataFrame, example_counts: DataFrame, as_of: str) -> DataFrame:
     """Models, total examples, mean of the per-run means, and runs at or after ``as_of``."""
-    per_run = runs.groupBy("model_name", "run_ts").agg(F.avg("value").alias("mean"))
+    per_run = runs.groupBy("model_name", "dataset_name", "run_ts").agg(F.avg("value").alias("mean"))
     total = example_counts.agg(F.coalesce(F.sum("n_examples"), F.lit(0))).scalar()
     return per_run.agg(
         F.count_distinct("model_name").alias("total_models"),

@@ -177,19 +177,21 @@ def savings(recommendations: DataFrame) -> DataFrame:
 
 
 def cost_report(samples: DataFrame, files: DataFrame, card: DataFrame | None = None) -> DataFrame:
-    """One row: hourly cost (containers), monthly and annual cost (with storage), savings, top five advice."""
+    """One row: hourly cost (containers), monthly and annual cost (with storage), savings, and how much advice there is.
+
+    The advice itself is the frame that ``recommend`` returns, all of it.
+    """
     costs = container_costs(latest_samples(samples), card)
     storage = storage_costs(volume_sizes(files), card)
     advice = recommend(costs, storage)
-    ranked = advice.orderBy(F.desc("amount"), "target", "rule").limit(5)
-    top = ranked.agg(F.array_sort(F.collect_list(F.struct("target", "rule"))).alias("top")).scalar()
+    found = advice.agg(F.count("*").alias("n")).scalar()
     saved = savings(advice).select("monthly_savings").scalar()
     stored = storage_totals(storage).select("monthly_storage_cost").scalar()
     return cost_totals(costs).select(
         F.col("total_hourly_cost").alias("hourly_cost"),
         (F.col("total_monthly_cost") + stored).alias("monthly_cost"),
         ((F.col("total_monthly_cost") + stored) * MONTHS).alias("annual_cost"),
-        saved.alias("monthly_savings"), top.alias("recommendations"),
+        saved.alias("monthly_savings"), found.alias("recommendations"),
     )
 
 

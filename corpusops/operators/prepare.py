@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusops.functions.text import is_blank, join_text, present, py_words, word_count
+from corpusops.functions.text import SPACE, is_blank, join_text, present, py_words, word_count
 from corpusops.plans.scale import dense_positions, first_by_hash
 
 # fixed values: prompt texts and templates the formats are defined by
@@ -38,8 +39,6 @@ FIELD_ALIASES = {
 # request constraints: column -> (default, low, high)
 REQUEST_LIMITS = {"max_tokens": (256, 1, 2048), "temperature": (0.7, 0.0, 2.0), "top_p": (0.9, 0.0, 1.0)}
 CHAT_PARTS = {"system": "System: ", "user": "User: ", "assistant": "Assistant: "}
-SEGMENT_TURNS = 10_000
-HEAD_LIMIT = 100_000
 
 
 def _text(name: str) -> Column:
@@ -100,14 +99,19 @@ def convert_format(df: DataFrame, src: str, dst: str, keep: Sequence[str] = ())
     """Convert between the three formats.
 
     ``chat`` and ``completion`` join instruction and input with a blank line, so going back splits
-    at the first blank line followed by ``Table Schema:``; without one, at the first blank line.
+    at the first blank line followed by ``Table Schema:``; without one, at the first blank line. A
+    chat gives one row per answer.
     """
     if src == "alpaca":
         flat = df
     elif src in ("chat", "completion"):
         if src == "chat":
-            of_role = lambda role: F.get(F.filter("messages", lambda m: m["role"] == role), F.lit(0))["content"]
-            ask, answer = of_role("user"), of_role("assistant")
+            # one row per answer, with the last question before it
+            asked = lambda i: F.filter(F.slice("messages", 1, i), lambda m: m["role"] == "user")
+            answered = F.transform("messages", lambda m, i: F.when(m["role"] == "assistant", F.struct(
+                F.try_element_at(asked(i), F.lit(-1))["content"].alias("ask"), m["content"].alias("answer"))))
+            df = df.select(*keep, F.inline(F.array_compact(answered)))
+            ask, answer = F.col("ask"), F.col("answer")
         else:
             inside = F.length("prompt") - len(COMPLETION_HEAD) - len(COMPLETION_TAIL)
             ask, answer = F.substring("prompt", F.lit(len(COMPLETION_HEAD) + 1), inside), F.col("completion")
@@ -181,20 +185,17 @@ def eval_prompt(df: DataFrame) -> DataFrame:
 def head(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """First ``n`` rows in order; 0 or None keeps all.
 
-    A limit gathers its rows in one task, so a large ``n`` filters on the distributed position.
+    Rows are kept by their distributed position, so no task gathers them, however large ``n`` is.
     """
     if not n:
         return df
-    if n <= HEAD_LIMIT:
-        return df.orderBy(*order).limit(n)
     return dense_positions(df, order, "__position").where(F.col("__position") < n).drop("__position")
 
 
-def chat_prompt(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Flatten each conversation to one prompt that ends in ``Assistant:``.
+def chat_parts(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """The parts of each conversation's prompt as rows ``conv, turn, closing, part``: in this order they join with a blank line.
 
-    A prompt is built per 10,000 turns: conversations up to that length give one row (segment 0);
-    longer ones give numbered segments that join with a blank line, so no task holds one whole.
+    This form is distributed by rows, however long a conversation is.
     """
     label = F.lit(None).cast("string")
     for role, prefix in CHAT_PARTS.items():
@@ -204,13 +205,14 @@ def chat_prompt(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> Dat
         conv, "__turn", F.lit("Assistant:").alias("__part")
     )
     # the closing part sorts after the last turn's own text
-    rows = parts.withColumn("__close", F.lit(0)).union(last.withColumn("__close", F.lit(1)))
-    ordered = F.array_sort(F.collect_list(F.struct("__turn", "__close", "__part")))
-    return (
-        rows.where("__part IS NOT NULL")
-        .groupBy(conv, F.floor(F.col("__turn") / SEGMENT_TURNS).alias("segment"))
-        .agg(F.array_join(F.transform(ordered, lambda r: r["__part"]), "\n\n").alias("prompt"))
-    )
+    rows = parts.withColumn("closing", F.lit(0)).union(last.withColumn("closing", F.lit(1)))
+    return rows.where("__part IS NOT NULL").select(conv, F.col("__turn").alias("turn"), "closing", F.col("__part").alias("part"))
+
+
+def chat_prompt(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """One prompt per conversation, ending in ``Assistant:``. A row holds its whole conversation; see ``chat_parts`` for rows."""
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "closing", "part")))
+    return chat_parts(df, conv, turn).groupBy(conv).agg(F.array_join(F.transform(ordered, lambda r: r["part"]), "\n\n").alias("prompt"))
 
 
 def token_usage(df: DataFrame, prompt: str, completion: str) -> DataFrame:
@@ -230,14 +232,10 @@ def chat_token_usage(messages: DataFrame, replies: DataFrame, conv: str = "conv_
 
 
 def truncate_tokens(df: DataFrame, column: str, budget: int) -> DataFrame:
-    """Keep the first ``budget`` whitespace tokens (joined by one space) and flag what was cut."""
-    words = py_words(F.col(column))
-    return (
-        df.withColumn("__words", words)
-        .withColumn(column, F.array_join(F.slice("__words", 1, budget), " "))
-        .withColumn("truncated", F.size("__words") > budget)
-        .drop("__words")
-    )
+    """Cut texts of more than ``budget`` whitespace tokens at the end of the last one, and flag them; others stay as they are."""
+    too_long = F.size(py_words(F.col(column))) > budget
+    cut = F.regexp_extract(column, rf"^(?:{SPACE}*+[^{SPACE[1:]}++){{{budget}}}", 0)
+    return df.withColumn("truncated", too_long).withColumn(column, F.when(F.col("truncated"), cut).otherwise(F.col(column)))
 
 
 def check_requests(df: DataFrame, limits: Mapping[str, tuple] = REQUEST_LIMITS) -> DataFrame:
@@ -255,23 +253,27 @@ def request_violations(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return check_requests(df).select(*keep, F.explode("violations").alias("field"))
 
 
+def _literal(text: str) -> str:
+    return "".join(c if c.isalnum() or c in " _" else f"\\x{{{ord(c):x}}}" for c in text)
+
+
 def augment(df: DataFrame, synonyms: Mapping[str, str], periods: Mapping[str, str],
             key: str = "id") -> DataFrame:
     """Originals plus one variant per replacement that occurs, applied to all three fields alike.
 
-    Replacements are whole words.
+    Replacements are whole words: no letter, digit or underscore touches them. Both sides are taken literally.
     """
     fields = ("instruction", "input", "output")
     original = F.struct(F.lit("original").alias("variant"), *[F.col(f) for f in fields])
     variants = [original]
     for old, new in {**synonyms, **periods}.items():
-        pattern = rf"\b{old}\b"
+        pattern = r"(?<!\w)" + _literal(old) + r"(?!\w)"
         found = F.lit(False)
         for f in fields:
             found = found | F.col(f).rlike(pattern)
         changed = F.struct(
             F.lit(f"{old}->{new}").alias("variant"),
-            *[F.regexp_replace(f, pattern, new).alias(f) for f in fields],
+            *[F.regexp_replace(f, pattern, re.sub(r"([\\$])", r"\\\1", new)).alias(f) for f in fields],
         )
         variants.append(F.when(found, changed))
     rows = df.select(key, F.explode(F.array_compact(F.array(*variants))).alias("row"))
@@ -288,6 +290,8 @@ def class_shares(df: DataFrame, by: str) -> DataFrame:
 def balance(df: DataFrame, by: str, key: str, target: int | None = None, seed: int = 42) -> DataFrame:
     """Downsample every class to ``target`` rows (default: the smallest class), by hash order."""
     if target is None:
-        target = df.groupBy(by).count().agg(F.min("count")).first()[0] or 0
-    flagged = first_by_hash(df, key, lambda n: F.least(n, F.lit(target)), by=[by], seed=seed)
+        least = df.groupBy(by).count().agg(F.min("count")).scalar()
+    else:
+        least = F.lit(target)
+    flagged = first_by_hash(df, key, lambda n: F.least(n, least), by=[by], seed=seed)
     return flagged.where("selected").drop("selected")

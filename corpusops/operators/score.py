@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from corpusops.functions.text import contains_any, pieces, present, py_strip, py_words
 from corpusops.operators.validate import is_valid_sql
-from corpusops.plans.scale import broadcast_if_small
 
 # fixed values: keyword lists and metric parameters
 SQL_TEST_KEYWORDS = ("SELECT", "FROM", "WHERE", "JOIN", "INSERT", "UPDATE", "DELETE")
@@ -282,7 +281,7 @@ def embedding_f1(vectors: DataFrame, on: str = "pair_id", block: int = VECTOR_BL
         .agg(blocks_of("pred").alias("p_blocks"), blocks_of("ref").alias("r_blocks"))
         .where("p_blocks > 1 OR r_blocks > 1")
     )
-    placed = vectors.join(broadcast_if_small(long), on, "left").fillna(1, ["p_blocks", "r_blocks"])
+    placed = vectors.join(long, on, "left").fillna(1, ["p_blocks", "r_blocks"])
     own = F.when(F.col("side") == "pred", F.col("p_blocks")).otherwise(F.col("r_blocks"))
     blocks = (
         placed.withColumn("block", F.pmod(F.xxhash64("pos"), own))
@@ -313,7 +312,8 @@ def embedding_f1(vectors: DataFrame, on: str = "pair_id", block: int = VECTOR_BL
         F.avg(F.when(F.col("side") == "r", F.col("cosine"))).alias("recall"),
     )
     f1 = F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return scored.withColumn("f1", f1)
+    # a pair with one empty side scores 0
+    return vectors.select(on).distinct().join(scored.withColumn("f1", f1), on, "left").fillna(0.0, ["precision", "recall", "f1"])
 
 
 # --- SQL metrics -----------------------------------------------------------------------------

@@ -372,3 +372,13 @@ def retain(df: DataFrame, ts: str, days: int = 30) -> DataFrame:
     """Rows not older than ``days`` before the newest row."""
     newest = df.agg(F.max(ts) - F.make_interval(days=F.lit(days)))
     return df.where(F.col(ts) >= newest.scalar())
+
+
+def cache_hit_rate(log: DataFrame, by: Column | None = None) -> DataFrame:
+    """Share of lookups answered from the cache, overall or per ``by`` (for example the hour)."""
+    looked = log.where(F.col("cache").isin("hit", "miss"))
+    grouped = looked.groupBy(by) if by is not None else looked.groupBy()
+    return grouped.agg(
+        F.count("*").alias("lookups"), F.count_if(F.col("cache") == "hit").alias("hits"),
+        F.avg((F.col("cache") == "hit").cast("double")).alias("hit_rate"),
+    )

@@ -134,7 +134,7 @@ def sql_validity(df: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def sql_errors(df: DataFrame, strict: bool = True) -> DataFrame:
+def sql_errors(df: DataFrame, strict: bool = False) -> DataFrame:
     """SQL-looking rows that fail the validity test."""
     bad = df.where(_looks_sql() & ~is_valid_sql(_field("output"), strict))
     return bad.select("id", F.lit("empty or invalid SQL").alias("error"))

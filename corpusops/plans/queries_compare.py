@@ -39,8 +39,8 @@ def register(q: Registry) -> None:
         )
     q.add(
         "c04_timeline", lambda t: rounded(c.timeline(t("runs"))),
-        """SELECT model_name, run_ts, round(avg(value), 6) AS score, count(*) AS metrics_count FROM runs
-           WHERE metric IN ('exact_match', 'bleu', 'rouge1', 'meteor') GROUP BY model_name, run_ts""",
+        """SELECT model_name, dataset_name, run_ts, round(avg(value), 6) AS score, count(*) AS metrics_count FROM runs
+           WHERE metric IN ('exact_match', 'bleu', 'rouge1', 'meteor') GROUP BY model_name, dataset_name, run_ts""",
         runs,
     )
     q.add(
@@ -68,8 +68,8 @@ def register(q: Registry) -> None:
             t("runs"), t("run_outputs").groupBy("model_name", "run_ts").agg(F.count("*").alias("n_examples")), "2024-01-09")),
         """SELECT (SELECT count(DISTINCT model_name) FROM runs) AS total_models,
                   (SELECT count(*) FROM run_outputs) AS total_examples,
-                  (SELECT round(avg(m), 6) FROM (SELECT avg(value) AS m FROM runs GROUP BY model_name, run_ts)) AS average_score,
-                  (SELECT count(*) FROM (SELECT DISTINCT model_name, run_ts FROM runs) WHERE run_ts >= TIMESTAMP '2024-01-09') AS todays_evaluations""",
+                  (SELECT round(avg(m), 6) FROM (SELECT avg(value) AS m FROM runs GROUP BY model_name, dataset_name, run_ts)) AS average_score,
+                  (SELECT count(*) FROM (SELECT DISTINCT model_name, dataset_name, run_ts FROM runs) WHERE run_ts >= TIMESTAMP '2024-01-09') AS todays_evaluations""",
         ("runs", "run_outputs"),
     )
     q.add(

@@ -80,12 +80,17 @@ def register(q: Registry) -> None:
     )
     q.add(
         "k15_cost_report",
-        lambda t: rounded(k.cost_report(readings(t), t("files")).withColumn(
-            "recommendations", F.array_join(F.transform("recommendations", lambda r: F.concat_ws(":", r["target"], r["rule"])), ",")), 4),
-        f"""WITH {LATEST}, {STORAGE}, {ADVICE}, top AS (SELECT target, rule FROM advice ORDER BY amount DESC, target, rule LIMIT 5)
+        lambda t: rounded(k.cost_report(readings(t), t("files")), 4),
+        f"""WITH {LATEST}, {STORAGE}, {ADVICE}
             SELECT round((SELECT sum(hourly_cost) FROM costs), 4) AS hourly_cost, round({TOTAL}, 4) AS monthly_cost,
                    round(({TOTAL}) * 12, 4) AS annual_cost, (SELECT {SAVED} FROM advice) AS monthly_savings,
-                   (SELECT string_agg(target || ':' || rule, ',' ORDER BY target, rule) FROM top) AS recommendations""",
+                   (SELECT count(*) FROM advice) AS recommendations""",
+        READINGS + ("files",),
+    )
+    q.add(
+        "k15_all_recommendations",
+        lambda t: k.recommend(k.container_costs(k.latest_samples(readings(t))), k.storage_costs(k.volume_sizes(t("files")))).select("target", "rule"),
+        f"WITH {LATEST}, {STORAGE}, {ADVICE} SELECT target, rule FROM advice",
         READINGS + ("files",),
     )
     q.add(

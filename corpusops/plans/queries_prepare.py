@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusops.operators import cost, prepare, telemetry
-from corpusops.plans.registry import Registry, blank, words
+from corpusops.plans.registry import SPACE, WORD, Registry, blank, words
 from corpusops.sources import files
 from corpusops.sources import telemetry as metrics
 from corpusops.streaming.telemetry import new_folder
@@ -196,6 +196,14 @@ def register(q: Registry) -> None:
                   || '### SQL Query:' || chr(10) AS prompt, output AS completion FROM sql_examples""",
         ("sql_examples",),
     )
+    q.add(
+        "p08_chat_exchanges",
+        lambda t: prepare.convert_format(
+            t("conversations").groupBy("conv_id").agg(F.transform(
+                F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))), lambda m: m.dropFields("turn")).alias("messages")),
+            "chat", "completion", ["conv_id"]).select("conv_id", "completion"),
+        "SELECT conv_id, text AS completion FROM conversations WHERE role = 'assistant'",
+    )
     q.add("p09_training_text", _training, _sql_training(), ("sql_examples",))
     q.add(
         "p10_split", lambda t: prepare.split(t("sql_examples"), "id", 0.1).select("id", "split"),
@@ -226,8 +234,8 @@ def register(q: Registry) -> None:
              SELECT conv_id, turn, 0 AS last, CASE role WHEN 'system' THEN 'System: ' WHEN 'user' THEN 'User: '
                     WHEN 'assistant' THEN 'Assistant: ' END || text AS part FROM conversations
              UNION ALL SELECT conv_id, max(turn), 1, 'Assistant:' FROM conversations GROUP BY conv_id)
-           SELECT conv_id, turn // 10000 AS segment, string_agg(part, chr(10) || chr(10) ORDER BY turn, last, part) AS prompt
-           FROM parts WHERE part IS NOT NULL GROUP BY conv_id, turn // 10000""",
+           SELECT conv_id, string_agg(part, chr(10) || chr(10) ORDER BY turn, last, part) AS prompt
+           FROM parts WHERE part IS NOT NULL GROUP BY conv_id""",
     )
     q.add(
         "p15_token_usage",
@@ -247,7 +255,7 @@ def register(q: Registry) -> None:
     )
     q.add(
         "p16_truncate_tokens", lambda t: prepare.truncate_tokens(t("documents"), "text", 512).select("doc_id", "text", "truncated"),
-        f"""SELECT doc_id, array_to_string(list_slice({words('text')}, 1, 512), ' ') AS text,
+        f"""SELECT doc_id, CASE WHEN len({words('text')}) > 512 THEN regexp_extract(text, '^(?:{SPACE}*{WORD}+){{512}}') ELSE text END AS text,
                    len({words('text')}) > 512 AS truncated FROM documents""",
     )
     q.add(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusops.operators import telemetry as m
-from corpusops.plans.queries_telemetry import BOUND_ROWS, CACHE
+from corpusops.plans.queries_telemetry import BOUND_ROWS
 from corpusops.plans.registry import Registry, rounded
 from corpusops.plans.views import VIEWS
 from corpusops.streaming import telemetry as st
@@ -39,15 +39,6 @@ def _alerts(t):
     return st.run_available(st.stream_alerts(evaluated, F.col("up") == 0, F.col("instance"), 60))
 
 
-def _replay(t):
-    log = t("requests")
-    spark = log.sparkSession
-    folder = st.new_folder(spark, "cache-stream")
-    writer = st.stream_cache_replay(log, f"{folder}/rows", f"{folder}/state").option("checkpointLocation", f"{folder}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{folder}/rows").select("request_id", "cache")
-
-
 def register(q: Registry) -> None:
     _add(
         q, "st1_stream_counts", lambda t: st.run_available(st.stream_counts(t("requests"))),
@@ -79,7 +70,7 @@ def register(q: Registry) -> None:
             e AS (SELECT instance, window_start AS ts, max_by(up, (ts, sample_id)) = 0 AS holds,
                          row_number() OVER (PARTITION BY instance ORDER BY window_start) AS n
                   FROM steps WHERE {_closed('60 SECONDS', 'node_samples')} GROUP BY instance, window_start),
-            h AS (SELECT *, n - row_number() OVER (PARTITION BY instance, holds ORDER BY ts) AS island FROM e),
+            h AS (SELECT *, epoch_us(ts) // 60000000 - row_number() OVER (PARTITION BY instance, holds ORDER BY ts) AS island FROM e),
             runs AS (SELECT instance, island, min(ts) AS since, max(n) AS last FROM h WHERE holds GROUP BY instance, island),
             fired AS (SELECT h.instance, h.island, min(ts) AS fired_at FROM h JOIN runs USING (instance, island)
                       WHERE holds AND ts - since >= INTERVAL 60 SECONDS GROUP BY ALL)
@@ -89,7 +80,6 @@ def register(q: Registry) -> None:
                       JOIN e ON e.instance = runs.instance AND e.n = runs.last + 1""",
         ("node_samples",),
     )
-    _add(q, "st5_stream_cache_replay", _replay, f"WITH {CACHE} SELECT request_id, cache FROM replay")
     _add(
         q, "st6_stream_dedup",
         lambda t: st.run_available(st.stream_dedup(t("requests"), ["client_id", "endpoint", "prompt"])).select("client_id", "endpoint", "prompt"),

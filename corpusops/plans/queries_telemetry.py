@@ -1,10 +1,9 @@
-"""Queries over the request-log, gauge, alert and cache operators."""
+"""Queries over the request-log, gauge and alert operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusops.operators import cache
 from corpusops.operators import telemetry as m
 from corpusops.plans.registry import Registry, rounded
 
@@ -61,29 +60,6 @@ QUEUE = f"""{MOVES},
         queue AS MATERIALIZED (SELECT endpoint, t, CAST(sum(coalesce(delta, 0)) OVER (PARTITION BY endpoint ORDER BY t) AS BIGINT) AS value
                   FROM grid LEFT JOIN step USING (endpoint, t))"""
 
-# one lookup at a time per key; live = end times of the answers that can still be valid
-CACHE = f"""RECURSIVE lookup AS MATERIALIZED (
-          SELECT request_id, prompt, max_tokens, temperature, epoch_us(ts) AS s,
-                 epoch_us(ts) + CAST(round(duration_s * 1000000) AS BIGINT) AS e, status = 200 AS ok,
-                 row_number() OVER (PARTITION BY prompt, max_tokens, temperature ORDER BY ts, request_id) AS rn
-          FROM requests WHERE endpoint = '/api/v1/generate' AND NOT stream),
-        walk AS (
-          SELECT request_id, prompt, max_tokens, temperature, rn, false AS hit, CASE WHEN ok THEN [e] ELSE CAST([] AS BIGINT[]) END AS live
-          FROM lookup WHERE rn = 1
-          UNION ALL
-          SELECT n.request_id, n.prompt, n.max_tokens, n.temperature, n.rn,
-                 len(list_filter(w.live, lambda x: x <= n.s AND n.s < x + 3600000000)) > 0,
-                 CASE WHEN len(list_filter(w.live, lambda x: x <= n.s AND n.s < x + 3600000000)) = 0 AND n.ok
-                      THEN list_append(list_filter(w.live, lambda x: n.s < x + 3600000000), n.e)
-                      ELSE list_filter(w.live, lambda x: n.s < x + 3600000000) END
-          FROM walk w JOIN lookup n ON n.prompt = w.prompt AND n.max_tokens = w.max_tokens AND n.temperature = w.temperature AND n.rn = w.rn + 1),
-        replay AS MATERIALIZED (SELECT r.*, CASE WHEN r.endpoint <> '/api/v1/generate' THEN NULL WHEN r.stream THEN 'bypass'
-                          WHEN w.hit THEN 'hit' ELSE 'miss' END AS cache FROM requests r LEFT JOIN walk w USING (request_id))"""
-
-
-def replay(t):
-    return cache.cache_replay(t("requests"))
-
 
 def register(q: Registry) -> None:
     q.add(
@@ -95,8 +71,8 @@ def register(q: Registry) -> None:
                "CROSS JOIN (SELECT count(*) AS observations, sum(duration_s) AS total FROM {src})")
     q.add("m02_histogram_requests", lambda t: rounded(m.histogram(t("requests"), "duration_s")), buckets.format(src="requests"), LOG)
     q.add(
-        "m02_histogram_inference", lambda t: rounded(m.histogram(m.inference_log(replay(t)), "duration_s")),
-        "WITH " + CACHE + ", seen AS (SELECT * FROM replay WHERE endpoint IN ('/api/v1/generate', '/api/v1/chat') AND status = 200 "
+        "m02_histogram_inference", lambda t: rounded(m.histogram(m.inference_log(t("requests")), "duration_s")),
+        "WITH seen AS (SELECT * FROM requests WHERE endpoint IN ('/api/v1/generate', '/api/v1/chat') AND status = 200 "
         "AND coalesce(cache, 'miss') <> 'hit') " + buckets.format(src="seen"), LOG,
     )
     q.add(
@@ -129,7 +105,8 @@ def register(q: Registry) -> None:
     )
     q.add(
         "m06_quantile_inference", lambda t: rounded(m.histogram_quantile(m.inference_log(t("requests")), "duration_s", 0.95, step=STEP)),
-        f"""WITH calls AS (SELECT * FROM requests WHERE endpoint IN ('/api/v1/generate', '/api/v1/chat') AND status = 200),
+        f"""WITH calls AS (SELECT * FROM requests WHERE endpoint IN ('/api/v1/generate', '/api/v1/chat') AND status = 200
+              AND coalesce(cache, 'miss') <> 'hit'),
             {_quantile_sql('calls')} SELECT {AT.format(t='t')} AS ts, round(value, 6) AS value FROM value""",
         LOG,
     )
@@ -181,28 +158,24 @@ def register(q: Registry) -> None:
         LOG,
     )
     q.add(
-        "m15_cache_replay", lambda t: replay(t).select("request_id", "cache"),
-        f"WITH {CACHE} SELECT request_id, cache FROM replay", LOG,
-    )
-    q.add(
-        "m16_cache_hit_rate", lambda t: rounded(cache.cache_hit_rate(replay(t))),
-        f"""WITH {CACHE} SELECT count(*) AS lookups, count(*) FILTER (cache = 'hit') AS hits,
-            round(avg(CASE WHEN cache = 'hit' THEN 1.0::DOUBLE ELSE 0 END), 6) AS hit_rate FROM replay WHERE cache IN ('hit', 'miss')""",
+        "m16_cache_hit_rate", lambda t: rounded(m.cache_hit_rate(t("requests"))),
+        """SELECT count(*) AS lookups, count(*) FILTER (cache = 'hit') AS hits,
+            round(avg(CASE WHEN cache = 'hit' THEN 1.0::DOUBLE ELSE 0 END), 6) AS hit_rate FROM requests WHERE cache IN ('hit', 'miss')""",
         LOG,
     )
     q.add(
         "m16_cache_hit_rate_hourly",
-        lambda t: rounded(cache.cache_hit_rate(replay(t), F.date_trunc("hour", "ts").alias("hour"))),
-        f"""WITH {CACHE} SELECT date_trunc('hour', ts) AS hour, count(*) AS lookups, count(*) FILTER (cache = 'hit') AS hits,
+        lambda t: rounded(m.cache_hit_rate(t("requests"), F.date_trunc("hour", "ts").alias("hour"))),
+        """SELECT date_trunc('hour', ts) AS hour, count(*) AS lookups, count(*) FILTER (cache = 'hit') AS hits,
             round(avg(CASE WHEN cache = 'hit' THEN 1.0::DOUBLE ELSE 0 END), 6) AS hit_rate
-            FROM replay WHERE cache IN ('hit', 'miss') GROUP BY 1""",
+            FROM requests WHERE cache IN ('hit', 'miss') GROUP BY 1""",
         LOG,
     )
     q.add(
-        "m17_headline", lambda t: rounded(m.headline(replay(t))),
-        f"""WITH {CACHE}, now AS (SELECT epoch_us(ts) // 86400000000 AS period, count(*)::DOUBLE AS requests, avg(duration_s) AS mean_seconds,
+        "m17_headline", lambda t: rounded(m.headline(t("requests"))),
+        f"""WITH now AS (SELECT epoch_us(ts) // 86400000000 AS period, count(*)::DOUBLE AS requests, avg(duration_s) AS mean_seconds,
               avg(CASE WHEN status >= 500 THEN 1.0::DOUBLE ELSE 0 END) AS error_rate,
-              avg(CASE cache WHEN 'hit' THEN 1.0::DOUBLE WHEN 'miss' THEN 0 END) AS hit_rate FROM replay GROUP BY 1)
+              avg(CASE cache WHEN 'hit' THEN 1.0::DOUBLE WHEN 'miss' THEN 0 END) AS hit_rate FROM requests GROUP BY 1)
             SELECT {AT.format(t='n.period * 86400')} AS ts, n.requests, round(n.mean_seconds, 6) AS mean_seconds,
               round(n.error_rate, 6) AS error_rate, round(n.hit_rate, 6) AS hit_rate,
               """ + ", ".join(f"round((n.{c} - b.{c}) / nullif(b.{c}, 0), 6) AS {c}_change" for c in ("requests", "mean_seconds", "error_rate", "hit_rate"))

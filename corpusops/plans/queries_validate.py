@@ -117,7 +117,7 @@ def register(q: Registry) -> None:
             raw,
         )
     q.add(
-        "v11_sql_errors", lambda t: v.sql_errors(t("raw_examples")),
+        "v11_sql_errors", lambda t: v.sql_errors(t("raw_examples"), strict=True),
         f"SELECT id, 'empty or invalid SQL' AS error FROM raw_examples WHERE {LOOKS_SQL} AND NOT {STRICT}", raw,
     )
     q.add(

@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -37,12 +36,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint after counting: up to ``max_rows`` narrow rows, otherwise an ordinary join."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null. Whether a side is broadcast is left to adaptive execution."""
+    renamed = right.select(*[F.col(k).alias(f"__right_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
 def dense_positions(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
@@ -86,9 +86,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, out: s
         .agg(F.min("__pos").alias("__value_at"), F.count("*").alias("__n"))
         .where("__n > 1").drop("__n")
     )
-    ranked = placed.join(broadcast_if_small(starts), list(keys)).join(
-        broadcast_if_small(shared), [*keys, value], "left"
-    )
+    ranked = join_same(join_same(placed, starts, keys), shared, [*keys, value], "left")
     first = F.coalesce("__value_at", "__pos")
     return ranked.withColumn(out, first - F.col("__key_at") + 1).drop("__pos", "__value_at", "__key_at")
 
@@ -101,10 +99,10 @@ def lag_by_time(
     df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], value: str, out: str,
     chunk_seconds: int,
 ) -> DataFrame:
-    """``lag(value)`` per key in time order. Keys must not be null.
+    """``lag(value)`` per key in time order.
 
     Rows are windowed per (key, time chunk); the last value of each chunk is handed to the first
-    row of the key's next non-empty chunk. The join reuses the window's partitioning.
+    row of the key's next non-empty chunk.
     """
     chunked = df.withColumn("__chunk", _chunk(ts, chunk_seconds))
     inside = Window.partitionBy(*keys, "__chunk").orderBy(ts, *tie)
@@ -119,7 +117,7 @@ def lag_by_time(
         F.lag("__last").over(Window.partitionBy(*keys).orderBy("__chunk")).alias("__carry"),
     )
     return (
-        rows.join(handed, [*keys, "__chunk"], "left")
+        join_same(rows, handed, [*keys, "__chunk"], "left")
         .withColumn(out, F.when(F.col("__row") == 1, F.col("__carry")).otherwise(F.col("__prev")))
         .drop("__chunk", "__row", "__prev", "__carry")
     )
@@ -141,8 +139,7 @@ def running_sum_by_time(
         *keys, "__chunk", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__carry")
     )
     return (
-        chunked.withColumn("__in", F.sum(value).over(inside))
-        .join(carried, [*keys, "__chunk"], "left")
+        join_same(chunked.withColumn("__in", F.sum(value).over(inside)), carried, [*keys, "__chunk"], "left")
         .withColumn(out, F.col("__in") + F.col("__carry"))
         .drop("__chunk", "__in", "__carry")
     )
@@ -181,14 +178,14 @@ def first_by_hash(
         same = (F.col("__hash") == last["__hash"]) & (F.col(key) <= last[key])
         selected = (F.col("__hash") < last["__hash"]) | same
         return tagged.withColumn(out, selected).drop("__hash", "__prefix")
-    at_edge = keys_only.join(broadcast_if_small(edges), groups).where("__prefix = __edge")
+    at_edge = join_same(keys_only, edges, groups).where("__prefix = __edge")
     cutoffs = (
         at_edge.withColumn("__rank", F.row_number().over(whole.orderBy("__hash", key)))
         .where("__rank <= __rest")
         .groupBy(*groups)
         .agg(F.max(place).alias("__cutoff"))
     )
-    flagged = tagged.join(broadcast_if_small(cutoffs), groups, "left").withColumn(
+    flagged = join_same(tagged, cutoffs, groups, "left").withColumn(
         out, F.coalesce(place <= F.col("__cutoff"), F.lit(False))
     )
     return flagged.drop("__hash", "__prefix", "__cutoff")
@@ -221,8 +218,7 @@ def exact_quantiles(
         F.sum("__n").over(per_key).alias("__size"),
     )
     seen = (
-        counts.withColumn("__upto", F.sum("__n").over(upto))
-        .join(bins, [*keys, "__bin"])
+        join_same(counts.withColumn("__upto", F.sum("__n").over(upto)), bins, [*keys, "__bin"])
         .withColumn("__upto", F.col("__upto") + F.col("__offset"))
     )
     aggs, outs = [], []

@@ -66,7 +66,7 @@ VIEWS = {
     "token_vecs": """
         SELECT CAST(floor(vec_id / 10) AS bigint) AS pair_id, CASE WHEN vec_id % 10 < 5 THEN 'pred' ELSE 'ref' END AS side,
                vec_id AS pos, embedding FROM {embeddings}""",
-    # request log; most generate requests share a few cache keys
+    # request log with the outcome of the response cache
     "requests": """
         SELECT event_id AS request_id, CAST(ts AS timestamp) AS ts, user_id AS client_id,
                CASE WHEN event_type IN ('view', 'click') THEN 'GET' ELSE 'POST' END AS method,
@@ -78,7 +78,9 @@ VIEWS = {
                concat('prompt ', user_id % 5) AS prompt,
                CASE WHEN event_id % 10 = 0 THEN event_id % 3000 ELSE 256 END AS max_tokens,
                CASE WHEN event_id % 10 = 1 THEN CAST(event_id % 30 AS double) / 10 ELSE CAST(0.7 AS double) END AS temperature,
-               event_id % 7 = 0 AS stream
+               event_id % 7 = 0 AS stream,
+               CASE WHEN event_type IN ('view', 'click', 'signup') THEN NULL WHEN event_id % 7 = 0 THEN 'bypass'
+                    WHEN event_id % 11 < 4 THEN 'hit' ELSE 'miss' END AS cache
         FROM {events}""",
     # one reading per row: counters before and after
     "container_readings": """

@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from corpusops.operators import cache
 from corpusops.operators.telemetry import (
     BOUNDS, SERIES, SYSTEM_THRESHOLDS, bucket_columns, bucket_quantile,
 )
-from corpusops.plans.scale import checkpointed, shared_folder
+from corpusops.plans.scale import shared_folder
 from corpusops.sources.telemetry import LOG_SERVICES, tag_logs
 
 WATERMARK = "10 minutes"
@@ -117,11 +116,11 @@ class _AlertRuns(StatefulProcessor):
 
 
 def stream_alerts(evaluations: DataFrame, condition: Column, label: Column, for_seconds: float,
-                  max_gap: float = float("inf")) -> DataFrame:
+                  max_gap: float = 60.0) -> DataFrame:
     """State changes of an alert that needs its condition to hold for ``for_seconds``.
 
     Input rows are evaluations (one per label and step, see ``stream_gauges``), so a label has few
-    rows per batch. A gap longer than ``max_gap`` seconds ends a run, and so does an evaluation that
+    rows per batch. A gap longer than ``max_gap`` seconds (the step of the evaluations) ends a run, and so does an evaluation that
     does not hold. The state lives in RocksDB.
     """
     evaluations.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -134,31 +133,6 @@ def stream_alerts(evaluations: DataFrame, condition: Column, label: Column, for_
     return changed.select("label", F.timestamp_micros(F.round(F.col("at") * 1e6).cast("bigint")).alias("ts"), "state")
 
 
-# --- cache replay ----------------------------------------------------------------------------
-
-def stream_cache_replay(stream: DataFrame, out: str, state: str, ttl: int = cache.TTL_SECONDS,
-                        fold_limit: int = cache.FOLD_LIMIT):
-    """Attribute cache hits batch by batch; returns an unstarted writer.
-
-    The cover intervals of live answers are the state, written per batch below ``state``. A batch
-    that is repeated after a failure reads the same earlier state and overwrites its own output.
-    Requests are expected in time order between batches.
-    """
-
-    def replay(batch: DataFrame, epoch: int) -> None:
-        fixed = checkpointed(batch)
-        asked = cache.lookups(fixed)
-        shape = asked.select("key", F.col("start").alias("low"), F.col("end").alias("high")).schema
-        cover = batch.sparkSession.read.schema(shape).parquet(f"{state}/epoch={epoch - 1}") if epoch else None
-        misses = checkpointed(cache.find_misses(asked, cover, ttl, fold_limit))
-        cache.outcomes(fixed, misses).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-        newest = fixed.agg(F.max(F.unix_micros("ts"))).first()[0] or 0
-        kept = cache.next_cover(cover, misses, newest, ttl)
-        kept.write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
-
-    return stream.writeStream.foreachBatch(replay)
-
-
 # --- logs and running ------------------------------------------------------------------------
 
 def stream_logs(spark: SparkSession, path: str, out: str, checkpoint: str,

@@ -194,20 +194,38 @@ def test_model_families():
     assert {n: prepare.model_family(n) for n in names} == names
 
 
-def test_large_head_uses_positions(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "HEAD_LIMIT", 5)
+def test_head_keeps_the_first_rows_in_order(spark):
     df = spark.range(100).withColumn("o", -F.col("id")).repartition(4)
     assert sorted(r["id"] for r in prepare.head(df, 10, ["o"]).collect()) == list(range(90, 100))
     assert prepare.head(df, 0, ["o"]).count() == 100
 
 
-def test_long_conversation_comes_in_segments(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "SEGMENT_TURNS", 2)
+def test_conversation_is_one_prompt(spark):
     rows = [(1, i, role, f"t{i}") for i, role in enumerate(["system", "user", "assistant", "tool", "user"])]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    parts = [r["prompt"] for r in prepare.chat_prompt(df).orderBy("segment").collect()]
-    assert "\n\n".join(parts) == "System: t0\n\nUser: t1\n\nAssistant: t2\n\nUser: t4\n\nAssistant:"
-    assert len(parts) == 3
+    wanted = "System: t0\n\nUser: t1\n\nAssistant: t2\n\nUser: t4\n\nAssistant:"
+    assert [r["prompt"] for r in prepare.chat_prompt(df).collect()] == [wanted]
+    parts = prepare.chat_parts(df).orderBy("turn", "closing").collect()
+    assert "\n\n".join(r["part"] for r in parts) == wanted
+
+
+def test_every_answer_of_a_chat_is_an_example(spark):
+    chat = [("system", "s"), ("user", "q1"), ("assistant", "a1"), ("user", "q2"), ("assistant", "a2"), ("user", "q3")]
+    df = spark.createDataFrame([(1, chat)], "id int, messages array<struct<role:string,content:string>>")
+    got = prepare.convert_format(df, "chat", "alpaca", ["id"]).select("instruction", "output").collect()
+    assert sorted(map(tuple, got)) == [("q1", "a1"), ("q2", "a2")]
+
+
+def test_texts_under_the_budget_stay_as_they_are(spark):
+    df = spark.createDataFrame([(1, "a\n  b"), (2, " a\n  b\tc d ")], "id int, t string")
+    got = {r["id"]: (r["t"], r["truncated"]) for r in prepare.truncate_tokens(df, "t", 3).collect()}
+    assert got == {1: ("a\n  b", False), 2: (" a\n  b\tc", True)}
+
+
+def test_replacements_are_literal(spark):
+    df = spark.createDataFrame([(1, "C++ costs 5", "", "x")], "id int, instruction string, input string, output string")
+    got = prepare.augment(df, {"C++": "$1 Rust\\"}, {}).where("variant <> 'original'").collect()
+    assert [r["instruction"] for r in got] == ["$1 Rust\\ costs 5"]
 
 
 def test_request_constraints(spark):

@@ -1,13 +1,16 @@
 """Every registered query equals its SQL on the small tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 from tests.checking import connect, difference
 from tests.conftest import SF
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+# the training-data queries have tests of their own
+QUERIES = {n: q for n, q in entry.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
+ORACLES = {n: s for n, s in entry.oracle_sql().items() if n in QUERIES}
 
 
 @pytest.fixture(scope="module")

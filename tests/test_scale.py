@@ -88,19 +88,14 @@ def test_exact_quantiles(df, rows):
         assert r["p95"] == pytest.approx(np.quantile(values, 0.95))
 
 
-def test_broadcast_only_below_the_bound(spark):
-    plan = lambda d: d._jdf.queryExecution().toString()
-    small = spark.range(10)
-    assert "strategy=broadcast" in plan(scale.broadcast_if_small(small, 10))
-    assert "strategy=broadcast" not in plan(scale.broadcast_if_small(small, 9))
-
-
-def test_results_hold_without_broadcast(df, rows, monkeypatch):
-    monkeypatch.setattr(scale.broadcast_if_small, "__defaults__", (0,))
+def test_null_keys_are_keys(spark):
+    rows = [(i, "k" if i % 2 else None, i % 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, k string, v bigint")
     got = {r["id"]: r["rk"] for r in scale.rank_within(df, ["k"], "v", "id", "rk").collect()}
-    assert got == {r[0]: 1 + sum(o[1] == r[1] and o[3] > r[3] for o in rows) for r in rows}
-    flagged = scale.first_by_hash(df, "id", lambda n: F.least(n, F.lit(30)), by=["k"])
-    assert flagged.where("selected and k = 'hot'").count() == 30
+    assert got == {r[0]: 1 + sum(o[1] == r[1] and o[2] > r[2] for o in rows) for r in rows}
+    flagged = scale.first_by_hash(df, "id", lambda n: F.least(n, F.lit(3)), by=["k"]).where("selected")
+    assert flagged.groupBy("k").count().select("count").collect() == [(3,), (3,)]
+    assert {r["k"]: r["n"] for r in scale.exact_quantiles(df, ["k"], "v", {"p50": 0.5}, 1.0).collect()} == {"k": 20, None: 20}
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
