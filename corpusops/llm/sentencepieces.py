@@ -24,7 +24,7 @@ from corpusops.llm.store import Workspace
 CHUNK = 32_768  # code points
 ROWS_AT_ONCE = 64
 BLOCK = 64  # chunks whose matrices are multiplied in one task
-CACHED_WORDS = 150_000
+CACHED_WORDS = 50_000
 MARK = "▁"
 UNKNOWN = -1
 START = -2

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 PIECE_BYTES = 1 << 20
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
