@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusops.plans.scale import exact_quantiles, lag_by_time, running_sum_by_time
+from corpusops.plans.scale import exact_quantiles, lag_by_time, running_max_by_time, running_sum_by_time
 
 # fixed values: histogram bounds of the public metrics client, and the alert rules
 BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -32,6 +32,7 @@ INFERENCE_ENDPOINTS = ("/api/v1/generate", "/api/v1/chat")
 WINDOW_SECONDS = 300
 LOOKBACK_SECONDS = 300
 CHUNK_SECONDS = 60
+DAY_SECONDS = 86_400
 
 
 # --- counters and histograms -----------------------------------------------------------------
@@ -187,9 +188,10 @@ def concurrency(log: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFrame:
     return running_sum_by_time(moves, list(by), "at", order, "delta", "in_flight", CHUNK_SECONDS)
 
 
-def queue_series(log: DataFrame, step: int = 15, by: Sequence[str] = ("endpoint",)) -> DataFrame:
-    """In-flight requests sampled at every step: the last value at or before it."""
-    steps = _moves(log, by).groupBy(*by, _step_of("at", step).alias("t")).agg(F.sum("delta").alias("delta"))
+def queue_series(log: DataFrame, step: int = 15, by: Sequence[str] = ()) -> DataFrame:
+    """Model calls in flight, sampled at every step: the last value at or before it. Other endpoints raise no queue."""
+    calls = log.where(F.col("endpoint").isin(list(INFERENCE_ENDPOINTS)))
+    steps = _moves(calls, by).groupBy(*by, _step_of("at", step).alias("t")).agg(F.sum("delta").alias("delta"))
     silent = _grid(steps, by, step).withColumn("delta", F.lit(0).cast("bigint"))
     filled = (
         steps.unionByName(silent).groupBy(*by, "t").agg(F.sum("delta").alias("delta"))
@@ -216,16 +218,17 @@ def sampled_gauges(samples: DataFrame, by: Sequence[str], values: Sequence[str],
 def sustained(evaluated: DataFrame, condition: Column, by: Sequence[str], for_seconds: int, step: int = 15) -> DataFrame:
     """Evaluations where the condition holds, with the start of the unbroken run and the state.
 
-    A false or missing evaluation ends a run. Rows per series are evaluations, not requests.
+    A false or missing evaluation ends a run. A series is worked on per day, and each day hands on its last evaluation and the start of
+    the run it is in, so no task holds a whole history.
     """
-    held = evaluated.where(condition).withColumn("__n", F.unix_timestamp("ts") / step)
-    island = F.col("__n") - F.row_number().over(Window.partitionBy(*by).orderBy("ts"))
-    since = F.min("ts").over(Window.partitionBy(*by, "__island"))
+    held = lag_by_time(evaluated.where(condition), list(by), "ts", [], "ts", "__before", DAY_SECONDS)
+    gap = F.unix_timestamp("ts") - F.unix_timestamp("__before")
+    begun = held.withColumn("__begin", F.when(F.coalesce(gap, F.lit(step + 1)) > step, F.col("ts")))
     lasted = F.unix_timestamp("ts") - F.unix_timestamp("since")
     return (
-        held.withColumn("__island", island).withColumn("since", since)
+        running_max_by_time(begun, list(by), "ts", "__begin", "since", DAY_SECONDS)
         .withColumn("state", F.when(lasted >= for_seconds, "firing").otherwise("pending"))
-        .drop("__n", "__island")
+        .drop("__before", "__begin")
     )
 
 
@@ -252,7 +255,7 @@ def alert_error_rate(log: DataFrame, step: int = 15, by: Sequence[str] = (), rul
     return _alert("HighErrorRate", error_share(log, step=step, by=by), by, step, rules)
 
 
-def alert_queue(log: DataFrame, step: int = 15, by: Sequence[str] = ("endpoint",), rules: dict = ALERTS) -> DataFrame:
+def alert_queue(log: DataFrame, step: int = 15, by: Sequence[str] = (), rules: dict = ALERTS) -> DataFrame:
     return _alert("ModelQueueBackup", queue_series(log, step, by), by, step, rules)
 
 
@@ -327,9 +330,12 @@ def recent_requests(log: DataFrame, n: int = 10) -> DataFrame:
 
 
 def latency_summary(log: DataFrame, width_seconds: int = 86_400) -> DataFrame:
-    """Exact P50/P95/P99, throughput and 4xx/5xx shares per window."""
+    """Exact P50/P95/P99, throughput and 4xx/5xx shares per window.
+
+    Equal durations are counted first; in a log of microseconds a bin of a millisecond then has 1,000 rows at most, however many requests.
+    """
     binned = log.withColumn("__w", F.floor(F.unix_timestamp("ts") / width_seconds))
-    quantiles = exact_quantiles(binned, ["__w"], "duration_s", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, 0.01)
+    quantiles = exact_quantiles(binned, ["__w"], "duration_s", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, 0.001)
     rates = binned.groupBy("__w").agg(
         (F.count("*") / F.lit(float(width_seconds))).alias("per_second"),
         F.avg(F.col("status").between(400, 499).cast("double")).alias("share_4xx"),

@@ -196,7 +196,7 @@ def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP,
              structural: DataFrame | None = None) -> DataFrame:
     """The whole report as one row: counts, averages, SQL and diversity totals, score, verdict, gate.
 
-    One scan and one distinct aggregate. Stored issues are at most ``cap`` structural ones plus
+    Sums take one row per task; digests are counted on their own, so that only they are shuffled. Stored issues are at most ``cap`` structural ones plus
     every empty output, and an empty output therefore costs points twice. Without ``structural`` a
     null field is a structural issue.
     """
@@ -209,7 +209,6 @@ def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP,
         F.coalesce(nulls, F.lit(0)).alias("structural_issues"),
         *[F.avg(F.length(_field(f))).alias(f"avg_{f}_length") for f in FIELDS],
         *[F.count_if(test).alias(name) for name, test in _content_tests().items()],
-        unique.alias("unique_instructions"),
         F.count_if(looks).alias("total_sql_examples"),
         F.count_if(looks & is_valid_sql(_field("output"))).alias("valid_sql"),
         *[F.count_if(level == name).alias(f"complexity_{name}") for name in COMPLEXITY],
@@ -218,7 +217,7 @@ def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP,
             for d, words in DOMAINS.items()
         ],
     ]
-    totals = df.agg(*aggs)
+    totals = df.agg(*aggs).withColumn("unique_instructions", df.agg(unique).scalar())
     if structural is not None:
         totals = totals.withColumn("structural_issues", structural.agg(F.count("*")).scalar())
     report = (

@@ -82,8 +82,12 @@ def register(q: Registry) -> None:
     )
     _add(
         q, "st6_stream_dedup",
-        lambda t: st.run_available(st.stream_dedup(t("requests"), ["client_id", "endpoint", "prompt"])).select("client_id", "endpoint", "prompt"),
-        "SELECT DISTINCT client_id, endpoint, prompt FROM requests",
+        lambda t: st.run_available(st.stream_dedup(t("requests"), ["client_id", "endpoint", "prompt"], "6 hours")),
+        """WITH seen AS (SELECT client_id, endpoint, prompt, ts, lag(ts) OVER (PARTITION BY client_id, endpoint, prompt ORDER BY ts) AS before FROM requests),
+            run AS (SELECT *, sum(CASE WHEN ts - before <= INTERVAL 6 HOURS THEN 0 ELSE 1 END)
+                      OVER (PARTITION BY client_id, endpoint, prompt ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM seen)
+            SELECT client_id, endpoint, prompt, min(ts) AS ts, count(*) AS requests FROM run GROUP BY client_id, endpoint, prompt, run
+            HAVING max(ts) + INTERVAL 6 HOURS <= (SELECT max(ts) FROM requests) - INTERVAL 10 MINUTES""",
     )
     _add(
         q, "st7_stream_thresholds", lambda t: rounded(st.run_available(st.stream_thresholds(t("host_metrics")))),

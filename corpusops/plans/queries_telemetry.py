@@ -12,8 +12,6 @@ LOG = ("requests",)
 # evaluation time of the first step at or after a time, as epoch seconds
 SQL_STEP = f"CAST(ceil(epoch_us({{ts}}) / {STEP * 1_000_000}) AS BIGINT) * {STEP}"
 AT = "make_timestamp({t} * 1000000)"
-# thresholds low enough for the test log
-QUEUE_RULES = {"ModelQueueBackup": {"above": 0, "for_seconds": 0, "severity": "warning"}}
 BOUND_ROWS = "(VALUES " + ", ".join(f"({i}, {b}::DOUBLE, '{m.bound_label(b)}')" for i, b in enumerate(m.BOUNDS)) + ") AS b(i, bound, le)"
 
 
@@ -54,11 +52,9 @@ def _gauge_sql(columns: str, value: str) -> str:
 MOVES = """moves AS MATERIALIZED (SELECT request_id, endpoint, ts AS at_ts, CAST(1 AS BIGINT) AS delta FROM requests
            UNION ALL SELECT request_id, endpoint, ts + to_microseconds(CAST(round(duration_s * 1000000) AS BIGINT)), -1 FROM requests)"""
 QUEUE = f"""{MOVES},
-        step AS (SELECT endpoint, {SQL_STEP.format(ts='at_ts')} AS t, sum(delta) AS delta FROM moves GROUP BY ALL),
-        grid AS (SELECT endpoint, unnest(range(f, l + 1, {STEP})) AS t FROM
-                 (SELECT endpoint, min(t) AS f, (SELECT max(t) FROM step) AS l FROM step GROUP BY endpoint)),
-        queue AS MATERIALIZED (SELECT endpoint, t, CAST(sum(coalesce(delta, 0)) OVER (PARTITION BY endpoint ORDER BY t) AS BIGINT) AS value
-                  FROM grid LEFT JOIN step USING (endpoint, t))"""
+        step AS (SELECT {SQL_STEP.format(ts='at_ts')} AS t, sum(delta) AS delta FROM moves WHERE endpoint IN ('/api/v1/generate', '/api/v1/chat') GROUP BY ALL),
+        grid AS (SELECT unnest(range(f, l + 1, {STEP})) AS t FROM (SELECT min(t) AS f, max(t) AS l FROM step)),
+        queue AS MATERIALIZED (SELECT t, CAST(sum(coalesce(delta, 0)) OVER (ORDER BY t) AS BIGINT) AS value FROM grid LEFT JOIN step USING (t))"""
 
 
 def register(q: Registry) -> None:
@@ -112,7 +108,7 @@ def register(q: Registry) -> None:
     )
     q.add(
         "m07_queue_series", lambda t: m.queue_series(t("requests"), STEP),
-        f"WITH {QUEUE} SELECT endpoint, {AT.format(t='t')} AS ts, value FROM queue", LOG,
+        f"WITH {QUEUE} SELECT {AT.format(t='t')} AS ts, value FROM queue", LOG,
     )
     q.add(
         "m08_alert_response_time", lambda t: rounded(m.alert_response_time(t("requests"), STEP)),
@@ -125,8 +121,9 @@ def register(q: Registry) -> None:
         LOG,
     )
     q.add(
-        "m10_alert_queue", lambda t: rounded(m.alert_queue(t("requests"), STEP, rules=QUEUE_RULES)),
-        f"WITH {QUEUE} {_sustained_sql('ModelQueueBackup', 'value > 0', QUEUE_RULES, 'endpoint', 'queue')}", LOG,
+        "m10_alert_queue", lambda t: rounded(m.alert_queue(t("slow_requests"), STEP)),
+        f"WITH {QUEUE.replace('FROM requests', 'FROM slow_requests')} {_sustained_sql('ModelQueueBackup', 'value > 100', m.ALERTS, None, 'queue')}",
+        ("slow_requests",),
     )
     nodes = ("node_samples",)
     q.add(

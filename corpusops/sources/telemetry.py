@@ -27,11 +27,16 @@ def parse_exposition(lines: DataFrame, ts: str = "ts", line: str = "line") -> Da
     part = lambda i: F.regexp_extract(line, shape, i)
     names = F.regexp_extract_all(part(2), F.lit(r'([A-Za-z_][A-Za-z0-9_]*)="((?:[^"\\]|\\.)*)"'), F.lit(1))
     values = F.regexp_extract_all(part(2), F.lit(r'([A-Za-z_][A-Za-z0-9_]*)="((?:[^"\\]|\\.)*)"'), F.lit(2))
+    # a repeated label name counts with its last value; \\, \" and \n are escapes
+    unescaped = F.transform(values, lambda v: F.array_join(F.transform(
+        F.split(v, r"\\\\"), lambda p: F.replace(F.replace(p, F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n"))), "\\"))
+    labels = F.filter(F.arrays_zip(names.alias("name"), unescaped.alias("value")),
+                      lambda x, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), x["name"]))
     number = F.when(F.lower(part(3)).isin("+inf", "inf"), F.lit(float("inf"))).otherwise(
         part(3).try_cast("double")
     )
     return lines.where(F.col(line).rlike(shape)).select(
-        F.col(ts), part(1).alias("metric"), F.map_from_arrays(names, values).alias("labels"), number.alias("value")
+        F.col(ts), part(1).alias("metric"), F.map_from_entries(labels).alias("labels"), number.alias("value")
     )
 
 

@@ -50,8 +50,13 @@ def stream_quantile(stream: DataFrame, column: str, q: float, window: str = "5 m
 
 
 def stream_dedup(stream: DataFrame, key: Sequence[str], horizon: str = "1 hour") -> DataFrame:
-    """Drop repeats of a request that arrive within the horizon."""
-    return stream.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(list(key))
+    """Requests without their repeats, ``key, ts, requests``: a repeat comes at most the horizon after the one before it.
+
+    A run of repeats is a session, and its start is the request that stays. Event time decides, so the result does not depend on how
+    the stream falls into batches; a session is written once the watermark passes its end.
+    """
+    runs = stream.withWatermark("ts", WATERMARK).groupBy(F.session_window("ts", horizon).alias("w"), *key)
+    return runs.agg(F.count("*").alias("requests")).select(*key, F.col("w.start").alias("ts"), "requests")
 
 
 def stream_thresholds(stream: DataFrame, thresholds: Mapping[str, float] = SYSTEM_THRESHOLDS,

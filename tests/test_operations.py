@@ -64,7 +64,7 @@ LOG = "request_id bigint, ts timestamp, client_id bigint, method string, endpoin
 
 def log_of(spark, *rows):
     return spark.createDataFrame(
-        [(i, START + timedelta(seconds=s), 1, "GET", "/x", status, d) for i, (s, status, d) in enumerate(rows)], LOG)
+        [(i, START + timedelta(seconds=s), 1, "GET", "/api/v1/generate", status, d) for i, (s, status, d) in enumerate(rows)], LOG)
 
 
 def test_quantile_edges(spark):
@@ -153,6 +153,24 @@ def test_rows_after_the_watermark_are_dropped_and_counted(spark, tmp_path):
     assert starts == [0, 1, 60, 61]
 
 
+def test_repeats_within_the_horizon_are_dropped_in_any_batching(spark, tmp_path):
+    minutes = [(0, 30, 80), (45, 200, 262), (260, 261, 400), (2000,)]  # an hour apart is a repeat; the last run stays open
+    for part, some in enumerate(minutes):
+        log_of(spark, *[(60 * m, 200, 1.0) for m in some]).coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
+    for files in (1, 10):
+        stream = spark.readStream.schema(LOG + ", part int").option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
+        kept = streaming.run_available(streaming.stream_dedup(stream, ["endpoint"], "1 hour")).collect()
+        assert sorted(((r["ts"] - START).total_seconds() / 60, r["requests"]) for r in kept) == [(0, 4), (200, 4), (400, 1)]
+
+
+def test_runs_go_on_from_day_to_day(spark):
+    steps = [h * 3600 for h in range(20, 80) if h != 50]
+    df = spark.createDataFrame([(START + timedelta(seconds=s), 1.0) for s in steps], "ts timestamp, value double")
+    out = telemetry.sustained(df, F.col("value") > 0, [], 3600, 3600).orderBy("ts").collect()
+    assert {(r["since"] - START).total_seconds() / 3600 for r in out if r["ts"] < START + timedelta(hours=50)} == {20}
+    assert {(r["since"] - START).total_seconds() / 3600 for r in out if r["ts"] > START + timedelta(hours=50)} == {51}
+
+
 def test_window_must_be_a_multiple_of_the_step(spark):
     with pytest.raises(ValueError):
         telemetry.rate(log_of(spark, (0, 200, 1.0)), 300, 7)
