@@ -7,7 +7,7 @@ within the watermark; rows later than that are dropped and counted by Spark.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +21,7 @@ from corpusops.plans.scale import shared_folder
 from corpusops.sources.telemetry import LOG_SERVICES, tag_logs
 
 WATERMARK = "10 minutes"
+CLOSING = "9999-01-01 00:00:00"  # later than any row, so the watermark of the closing row passes the end of every window
 
 
 def stream_counts(stream: DataFrame, width: str = "15 seconds", by: Sequence[str] = SERIES) -> DataFrame:
@@ -158,12 +159,35 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
-def run_available(df: DataFrame) -> DataFrame:
-    """Run a streaming frame over everything available now and read back what it wrote."""
-    spark = df.sparkSession
-    folder = new_folder(spark, "stream")
+def _run(df: DataFrame, folder: str) -> None:
     writer = df.writeStream.format("parquet").option("path", f"{folder}/rows").option(
         "checkpointLocation", f"{folder}/checkpoint"
     )
     writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+
+def run_available(df: DataFrame) -> DataFrame:
+    """Run a streaming frame over everything available now and read back what it wrote; windows still open are not written."""
+    spark = df.sparkSession
+    folder = new_folder(spark, "stream")
+    _run(df, folder)
+    return spark.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def run_whole(stream: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run an operator over everything a stream (with ``ts``) has now, as if the stream ended there: open windows and sessions are written too.
+
+    A first run reads all rows, a second one from the same checkpoint a single closing row. Its time lets the watermark pass all windows
+    but the one it opens itself, which is never written.
+    """
+    spark = stream.sparkSession
+    folder = new_folder(spark, "stream")
+    row = spark.range(1).select(*[
+        F.lit(CLOSING if f.name == "ts" else None).cast(f.dataType).alias(f.name) for f in stream.schema.fields
+    ])
+    row.limit(0).write.parquet(f"{folder}/closing")
+    df = operator(stream.unionByName(spark.readStream.schema(row.schema).parquet(f"{folder}/closing")))
+    _run(df, folder)
+    row.write.mode("append").parquet(f"{folder}/closing")
+    _run(df, folder)
     return spark.read.schema(df.schema).parquet(f"{folder}/rows")

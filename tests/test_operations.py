@@ -163,6 +163,19 @@ def test_repeats_within_the_horizon_are_dropped_in_any_batching(spark, tmp_path)
         assert sorted(((r["ts"] - START).total_seconds() / 60, r["requests"]) for r in kept) == [(0, 4), (200, 4), (400, 1)]
 
 
+def test_a_whole_run_writes_open_windows_in_any_batching(spark, tmp_path):
+    for part, some in enumerate([(0, 30, 80), (45, 200, 262), (260, 261, 400), (2000, 2001)]):
+        log_of(spark, *[(60 * m, 500, 1.0) for m in some]).coalesce(1).write.parquet(str(tmp_path / f"in/part={part}"))
+    operators = [streaming.stream_counts, streaming.stream_rates, lambda s: streaming.stream_quantile(s, "duration_s", 0.5),
+                 lambda s: streaming.stream_dedup(s, ["endpoint"], "1 hour")]
+    batch = spark.read.schema(LOG + ", part int").parquet(str(tmp_path / "in"))
+    for operator in operators:
+        wanted = sorted(map(str, operator(batch).collect()))
+        for files in (1, 10):
+            stream = spark.readStream.schema(LOG + ", part int").option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
+            assert sorted(map(str, streaming.run_whole(stream, operator).collect())) == wanted
+
+
 def test_runs_go_on_from_day_to_day(spark):
     steps = [h * 3600 for h in range(20, 80) if h != 50]
     df = spark.createDataFrame([(START + timedelta(seconds=s), 1.0) for s in steps], "ts timestamp, value double")
