@@ -53,19 +53,40 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int =
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack: int = KNAPSACK) -> np.ndarray:
     """How many documents of each length to take so that their lengths sum to `budget`, or as near below it as can be found.
 
-    Every length gives its share, rounded down. One more of each length, longest first, brings what is left under `knapsack`; there
-    bounded-knapsack dynamic programming over all sums up to the rest finds the best remaining choice. Memory does not grow with the budget.
+    Shares come first (`_fit_shares`). Where they miss the budget and some documents are longer than `knapsack`, those are chosen first,
+    so that the others can fill what is left, and the better of both is taken. Memory does not grow with the budget.
     """
-    total = int((lengths * counts).sum())
-    if total <= budget:
+    if int((lengths * counts).sum()) <= budget:
         return counts.copy()
+    take = _fit_shares(lengths, counts, budget, knapsack)
+    long = (lengths > knapsack) & (lengths <= budget) & (counts > 0)
+    short = budget - int((take * lengths).sum())
+    if not short or not long.any():
+        return take
+    rest = np.where(lengths > knapsack, 0, counts)
+    other = _long_first(lengths, np.where(long, counts, 0), budget, int((rest * lengths).sum()), knapsack)
+    left = budget - int((other * lengths).sum())
+    other += rest if int((rest * lengths).sum()) <= left else _fit_shares(lengths, rest, left, knapsack)
+    return other if budget - int((other * lengths).sum()) < short else take
+
+
+def _fit_shares(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack: int) -> np.ndarray:
+    """Every length gives its share, rounded down. More of each length, longest first, bring what is left to `knapsack` or below; there
+    bounded-knapsack dynamic programming over all sums up to the rest finds the best remaining choice. If more than `knapsack` is left,
+    every length is used up or longer than what is left.
+    """
+    total = int((lengths * counts).sum())
     take = counts * budget // total if float(counts.max()) * budget < 2**62 else np.array([int(c) * budget // total for c in counts], np.int64)
     left = budget - int((take * lengths).sum())
     for i in np.argsort(-lengths, kind="stable"):
-        if left > knapsack and take[i] < counts[i] and lengths[i] <= left:
-            take[i] += 1
-            left -= int(lengths[i])
-    left = min(left, knapsack)
+        if left <= knapsack:
+            break
+        length = int(lengths[i])
+        n = min(int(counts[i] - take[i]), left // length, -(-(left - knapsack) // length))
+        take[i] += n
+        left -= n * length
+    if left > knapsack:
+        return take
     by = np.full(left + 1, -1, np.int32)
     reached = np.zeros(left + 1, bool)
     reached[0] = True
@@ -93,6 +114,41 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, knapsack: int = KN
     return take
 
 
+def _long_first(lengths: np.ndarray, counts: np.ndarray, budget: int, rest: int, knapsack: int) -> np.ndarray:
+    """How many of each length to take so that documents of `rest` words in all can fill up to `budget`, or come nearest to it.
+
+    One sum is held for each of `knapsack` equal parts of the budget, so up to a budget of `knapsack` this is exact.
+    """
+    width = budget // knapsack + 1
+    sums = np.full(budget // width + 1, -1, np.int64)
+    by = np.full(len(sums), -1, np.int32)
+    came = np.full(len(sums), -1, np.int32)
+    sums[0] = 0
+    items: list[tuple[int, int]] = []
+    enough = max(budget - rest, 0)
+    for i in np.argsort(-lengths, kind="stable"):
+        spare, step = min(int(counts[i]), budget // int(lengths[i])), 1
+        while spare > 0 and sums.max() < enough:
+            n = min(step, spare)
+            held = np.flatnonzero(sums >= 0)
+            reach = sums[held] + n * int(lengths[i])
+            fits = reach <= budget
+            held, reach = held[fits], reach[fits]
+            cell, first = np.unique(reach // width, return_index=True)
+            new = sums[cell] < 0
+            cell, first = cell[new], first[new]
+            sums[cell], by[cell], came[cell] = reach[first], len(items), held[first]
+            items.append((int(i), n))
+            spare -= n
+            step *= 2
+    take, at = np.zeros(len(lengths), np.int64), int(np.argmax(sums))
+    while by[at] >= 0:
+        i, n = items[by[at]]
+        take[i] += n
+        at = int(came[at])
+    return take
+
+
 def _fit_source(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("size")
     lengths, counts = frame["size"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)

@@ -276,6 +276,20 @@ def test_knapsack_meets_every_budget_it_can():
             assert int((take * lengths).sum()) == budget
 
 
+def test_documents_longer_than_the_knapsack_leave_no_gap():
+    def taken(lengths, counts, budget, **limit):
+        take = mixing.fit(np.array(lengths), np.array(counts), budget, **limit)
+        assert (take <= counts).all() and (take >= 0).all()
+        return int((take * lengths).sum())
+
+    assert taken([100, 1_000_000], [10_000, 1], 1_000_000) == 1_000_000
+    assert taken([100, 1_000_000], [9_000, 1], 1_500_000) == 1_500_000
+    assert taken([80_000, 90_000, 150_000], [1, 1, 1], 170_000) == 170_000
+    for budget in range(501):
+        sums = {s + k * 2 for s in (0, 300) for k in range(101)}
+        assert taken([2, 300], [100, 1], budget, knapsack=16) == max(s for s in sums if s <= budget)
+
+
 def test_mix(spark, docs, none):
     sized = docs.select("doc_id", "source", mixing.word_count().alias("size"), "lang")
     rows = mixing.mixed(sized).collect()
