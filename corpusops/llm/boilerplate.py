@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,17 +23,33 @@ CHROME = set("nav menu header footer aside form dialog head button select".split
 SILENT = "script|style|noscript|template|textarea|svg|iframe|object|canvas|math"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog menu menubar".split())
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget\w*|related|recommend\w*|share|sharing|social|comments?|disqus|reply|replies|respond"
-    r"|cookie\w*|consent|gdpr|notice|newsletter|subscri\w*|signup|login|popup|modal|pagination|pager)(?:$|[\s_-])",
-    re.IGNORECASE,
+_NAME = (
+    r"ads?|advert[a-z]*|sponsor[a-z]*|promo[a-z]*|banner|nav[a-z]*|menu[a-z]*|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget[a-z]*|related|recommend[a-z]*|share|sharing|social|comments?|disqus|reply|replies|respond"
+    r"|cookie[a-z]*|consent|gdpr|notice|newsletter|subscri[a-z]*|signup|login|popup|modal|pagination|pager"
 )
+# what a compound of such names may have besides; other words (no-sidebar, has-comments) say something about another element
+_AFFIX = r"site|page|main|top|bottom|global|primary|secondary|post|box|bar|block|unit|slot|area|section|wrap|wrapper|container|links?|list|items?|buttons?|icons?|form|posts?|\d+"
+NAMED = re.compile(rf"(?:^|\s)(?:(?:{_AFFIX})[_-])*(?:{_NAME})(?:[_-]+(?:{_NAME}|{_AFFIX}))*(?:$|\s)", re.IGNORECASE)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT})\b[^>]*>(?:.*?</(?P=silent)\s*>|.*\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)[^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Elements whose end tag may be left out: the start tags that end them, and the elements in which such a start tag does not.
+_CELLS = set("td th tr tbody thead tfoot".split())
+_OMITTED = {
+    "p": (BLOCKS - set("br body html head title legend caption option".split()), set()),
+    "li": ({"li"}, set("ul ol menu".split())),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "tr": (_CELLS - {"td", "th"}, {"table"}),
+    "td": (_CELLS, {"table"}),
+    "th": (_CELLS, {"table"}),
+    "option": ({"option", "optgroup"}, set()),
+}
+# Their end tags end what is still open inside them.
+_HOLDERS = (BLOCKS | CHROME) - set(_OMITTED) - VOID - {"html", "body"}
 
 ARTICLE, PLAIN, MARKED = 2, 1, 0
 
@@ -43,8 +60,8 @@ def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
     if name in ("body", "html", "article", "main") or not attributes:
         return False
     for key, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values)
-        if key.lower() == "hidden" or (key.lower() == "role" and value.lower() in ROLES) or (key.lower() in ("class", "id") and NAMED.search(value)):
+        key, value = key.lower(), "".join(values)
+        if key == "hidden" or (key == "role" and value.lower() in ROLES) or (key in ("class", "id") and NAMED.search(value)):
             return True
     return False
 
@@ -52,12 +69,26 @@ def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
 def blocks(page: str) -> list[tuple[int, str]]:
     """(role, text) of the blocks of a page, in order: inside an article or main element, inside marked boilerplate, or plain.
 
-    Unclosed elements end with the page. Scripts, styles and comments are no text; character references are decoded; white space inside
+    Elements whose end tag may be left out end where HTML ends them, others with an element around them or with the page. Scripts, styles and comments are no text; character references are decoded; white space inside
     a block becomes one space.
     """
     out: list[tuple[int, str]] = []
     held: list[str] = []
-    article, chrome, depth = 0, "", 0
+    article, chrome = 0, ""
+    around: Counter[str] = Counter()  # open elements outside the marked one, and inside it
+    inside: Counter[str] = Counter()
+
+    def ends(name: str, closes: bool) -> bool:
+        """Whether a tag inside the marked element ends it."""
+        starts, apart = _OMITTED.get(chrome, (set(), set()))
+        nested = any(inside[n] for n in apart)
+        if not closes:
+            return name in starts and not nested
+        if name == chrome:
+            return not (nested if chrome in _OMITTED else inside[name])
+        if chrome in _OMITTED and name in starts and name in _CELLS:
+            return not nested
+        return name in _HOLDERS and not inside[name] and around[name] > 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -78,19 +109,26 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if name in BLOCKS or name in CHROME:
             flush()
         if chrome:
-            if name == chrome:
-                depth += -1 if closes else 1
-                if depth == 0:
-                    chrome = ""
-            continue
+            if not ends(name, closes):
+                if name not in VOID:
+                    inside[name] = max(inside[name] + (-1 if closes else 1), 0)
+                continue
+            flush()
+            own, chrome = closes and name == chrome, ""
+            inside.clear()
+            if own:
+                continue
+        attributes = m["attributes"] or ""
         if closes:
+            around[name] = max(around[name] - 1, 0)
             if name in ("article", "main") and article:
                 article -= 1
-        elif name not in VOID and _is_chrome(name, m["attributes"] or "", article > 0):
+        elif name not in VOID and _is_chrome(name, attributes, article > 0):
             flush()
-            chrome, depth = name, 1
-        elif name in ("article", "main") or (name == "div" and re.search(r"""role\s*=\s*["']?(main|article)\b""", m["attributes"] or "", re.IGNORECASE)):
-            article += name != "div"
+            chrome = name
+        elif name not in VOID:
+            around[name] += 1
+            article += name in ("article", "main")
     held.append(page[at:])
     flush()
     return out

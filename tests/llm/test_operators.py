@@ -198,6 +198,23 @@ def test_page_texts(spark):
     assert boilerplate.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("page, wanted", [
+    ('<article><p>one <a style="overflow:hidden" href="/the-hidden-valley">two</a> <a title="A hidden gem" aria-hidden="false">three</a></article>', "one two three"),
+    ('<div class="post no-sidebar"><p>body</div>', "body"),
+    ('<article class="x"><div class="entry has-comments">body</div><div class="post-comments">x</div><div class="a sidebar">x</div></article>', "body"),
+    ('<article><div hidden>x</div><div HIDDEN="">x</div><div role=search>x</div>body</article>', "body"),
+    ('<article><p class="ad">Buy<p>text</p><p>more</p></article><p>plain', "text|more"),
+    ('<article><ul><li class="ad">Buy<ul><li>x</li></ul>y<li>text</ul>more</article>', "text|more"),
+    ('<article><ul><li>text<li class="ad">Buy</ul>more</article>', "text|more"),
+    ('<article><dl><dt class="ad">Buy<dd>text</dl></article>', "text"),
+    ('<article><table><tr class="ad"><td>x<table><tr><td>y</table>z<tr><td>text<td class="ad">x<td>more<tr><td>last</table></article>', "text|more|last"),
+    ('<article><p>a <span class="ad">Buy</span> b</p></article>', "a|b"),
+    ('<article>a<div class="ad">x<div>y</div>z</div>b<div class="ad">x</article><footer>c</footer>', "a|b"),
+])
+def test_marks_are_whole_and_end_where_html_ends_them(page, wanted):
+    assert [t for role, t in boilerplate.blocks(page) if role != boilerplate.MARKED and "plain" not in t] == wanted.split("|")
+
+
 def test_shared_passages_go_from_pages_without_article():
     chrome = "one two three four five six seven eight nine"
     pages = [f"<div>{chrome}</div><div>unique text of page {i} {i} {i} and its own words {i}</div>" for i in range(3)]
