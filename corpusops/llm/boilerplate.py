@@ -1,21 +1,26 @@
-"""Main text of web pages: markup roles per block, and suffix sorting of each host's pages for passages that its pages share."""
+"""Main text of web pages: markup roles per block, and the passages that pages of one host share, wherever these pages lie."""
 
 from __future__ import annotations
 
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusops.llm import words as W
+
 PREFIX_DOUBLINGS = 3  # suffixes are sorted by their first 8 tokens, the shortest passage that counts as shared
+PASSAGE = 1 << PREFIX_DOUBLINGS
+GRAM = 5  # the least hash of this many tokens stands for a passage in the first exchange
 PAGES = 256
-SLICE_CHARS = 8 << 20
-HEAVY_SHARE = 1000  # a host with more than a thousandth of all pages is dealt to several tasks
+BLOCK_BYTES = 8 << 20
+HEAVY_SHARE = 1000  # a block of pages holds about a thousandth of all pages at most
 
 # Element names of HTML.
 BLOCKS = set("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -165,71 +170,190 @@ def shared_tokens(pages: list[list[str]], doublings: int = PREFIX_DOUBLINGS) ->
     return [covered[e - len(i) : e - 1] for e, i in zip(ends, ids, strict=True)]
 
 
+def _main_text(roles: list[int], texts: list[str], mask: np.ndarray) -> str:
+    """Article blocks stay, whoever else has the text. Marked blocks go. Plain blocks of a page without an article stay unless half of
+    their tokens or more lie in shared passages.
+    """
+    total = np.concatenate([[0], np.cumsum(mask)])
+    ends = np.cumsum([0, *(t.count(" ") + 1 for t in texts)])
+    share = (total[ends[1:]] - total[ends[:-1]]) / np.maximum(np.diff(ends), 1)
+    has_article = ARTICLE in roles
+    return "\n".join(text for role, text, s in zip(roles, texts, share, strict=True) if role == ARTICLE or (role == PLAIN and not has_article and s < 0.5))
+
+
 def main_texts(pages: list[str]) -> list[tuple[str, int, int]]:
-    """(main text, tokens, tokens shared with other pages) of pages of one host.
+    """(main text, tokens, tokens shared with other pages) of pages of one host, by suffix sorting in one place."""
+    found = [blocks(p) for p in pages]
+    shared = shared_tokens([[t for _, b in f for t in b.split(" ")] for f in found])
+    return [(_main_text([r for r, _ in f], [b for _, b in f], mask), len(mask), int(mask.sum())) for f, mask in zip(found, shared, strict=True)]
+
+
+# --- passages shared across a host, by exchange of hashes between blocks of pages ---------------
+
+_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.int64()), ("block", pa.int64()), ("times", pa.int64()), ("roles", pa.string()), ("text", pa.string())])
+_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_tokens", pa.int64()), ("n_shared", pa.int64())])
+_SENT = "part long, block long, data binary"
 
-    Article blocks stay, whoever else has the text. Marked blocks go. Plain blocks of a page without an article stay unless half of their
-    tokens or more lie in shared passages.
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as their blocks, one a line. Equal rows of a batch become one, so that a group of them does not fill one block of pages."""
+    for batch in batches:
+        rows: dict[tuple, int] = {}
+        for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "block", "html")), strict=True):
+            rows[row] = rows.get(row, 0) + 1
+        out = []
+        for (page_id, url, host, block, page), times in rows.items():
+            found = blocks(page or "")
+            out.append((page_id, url, host, block, times, "".join(str(r) for r, _ in found), "\n".join(b for _, b in found)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_PARSED)], schema=_PARSED)
+
+
+def _passages(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets of the pages in the tokens; starts of passages, their pages, their hashes; places of the grams that stand for them, hashes of all grams).
+
+    Hashes hold the host, so equal ones are passages of one host.
     """
-    found = [blocks(p) for p in pages]
-    tokens = [[b.split(" ") for _, b in f] for f in found]
-    shared = shared_tokens([[t for b in page for t in b] for page in tokens])
-    out = []
-    for page, words, mask in zip(found, tokens, shared, strict=True):
-        total = np.concatenate([[0], np.cumsum(mask)])
-        ends = np.cumsum([0, *map(len, words)])
-        share = [(total[e + len(w)] - total[e]) / len(w) for e, w in zip(ends, words, strict=False)]
-        has_article = any(role == ARTICLE for role, _ in page)
-        kept = [text for (role, text), s in zip(page, share, strict=True) if role == ARTICLE or (role == PLAIN and not has_article and s < 0.5)]
-        out.append(("\n".join(kept), int(ends[-1]), int(total[-1])))
+    hashes, at = W.hash_words(*W.text_bytes(part.column("text")))
+    page = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    starts = np.flatnonzero(np.arange(len(hashes)) + PASSAGE <= at[1:][page]) if len(hashes) else np.zeros(0, np.int64)
+    host = W.mix(np.asarray(part.column("host"), np.int64).view(W.U))
+    whole = W.mix(W.rolling(hashes, PASSAGE)[starts] ^ host[page[starts]])
+    grams = W.rolling(hashes, GRAM)
+    grams = W.mix(grams ^ host[page[: len(grams)]])
+    chosen, least = starts.copy(), grams[starts]
+    for i in range(1, PASSAGE - GRAM + 1):
+        value = grams[starts + i]
+        less = value < least
+        chosen[less], least[less] = starts[less] + i, value[less]
+    return at, starts, page[starts], whole, chosen, grams
+
+
+def _on_pages(values: np.ndarray, pages: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Each value once per page that has it, twice if the page is there several times."""
+    order = np.lexsort((pages, values))
+    values, pages = values[order], pages[order]
+    first = np.ones(len(values), bool)
+    first[1:] = (values[1:] != values[:-1]) | (pages[1:] != pages[:-1])
+    values, pages = values[first], pages[first]
+    return np.concatenate([values, values[times[pages] > 1]])
+
+
+def _at_most_twice(found: list[np.ndarray]) -> np.ndarray:
+    values = np.sort(np.concatenate([np.zeros(0, W.U), *found]))
+    keep = np.ones(len(values), bool)
+    keep[2:] = values[2:] != values[:-2]
+    return values[keep]
+
+
+def _addressed(block: int, values: np.ndarray, parts: int, kind: type) -> pa.Table:
+    """One row per part that gets some of the values. The part comes from the upper half of a value; `kind` uint32 sends the lower half alone."""
+    to = ((values >> W.U(32)) % W.U(parts)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    values, to = values[order].astype(kind), to[order]
+    cut = [0, *(np.flatnonzero(to[1:] != to[:-1]) + 1).tolist(), len(to)] if len(to) else [0]
+    return pa.table({"part": pa.array(to[cut[:-1]], pa.int64()), "block": pa.array([block] * (len(cut) - 1), pa.int64()), "data": pa.array([values[a:b].tobytes() for a, b in pairwise(cut)], pa.binary())})
+
+
+def _sent_twice(addressed: DataFrame, kind: type) -> DataFrame:
+    """(part, block, data): of the values that each block sent, those sent twice by all blocks together."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sent = [np.frombuffer(x.as_buffer(), kind) for x in table.column("data")]
+        every = np.sort(np.concatenate([np.zeros(0, kind), *sent]))
+        twice = every[1:][every[1:] == every[:-1]]
+        data = [np.unique(s[W.member(s, twice)]).tobytes() for s in sent]
+        return pa.table({"part": table.column("part"), "block": table.column("block"), "data": pa.array(data, pa.binary())}).filter(pa.array([len(d) > 0 for d in data], pa.bool_()))
+
+    return addressed.groupBy("part").applyInArrow(run, _SENT)
+
+
+def _known(values: np.ndarray, back: pa.Table, parts: int, kind: type) -> np.ndarray:
+    """Which values are among those that came back."""
+    out = np.zeros(len(values), bool)
+    to = ((values >> W.U(32)) % W.U(parts)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    bounds = {p: np.sort(np.frombuffer(d.as_buffer(), kind)) for p, d in zip(back.column("part").to_pylist(), back.column("data"), strict=True)}
+    for p, among in bounds.items():
+        here = order[np.searchsorted(to[order], p) : np.searchsorted(to[order], p, "right")]
+        out[here] = W.member(values[here].astype(kind), among)
     return out
 
 
-_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_tokens", pa.int64()), ("n_shared", pa.int64())])
+def _slices(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    for batch in table.combine_chunks().to_batches():
+        yield from W.slices(batch)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by host. Up to twice PAGES pages of a host are judged together; the first half leaves, the rest waits for more."""
-    held: list[tuple] = []
-    chars = 0
+def _send_grams(parts: int) -> Callable:
+    def run(table: pa.Table) -> pa.Table:
+        found = []
+        for part in _slices(table):
+            _, _, page, _, chosen, grams = _passages(part)
+            found.append(_at_most_twice([_on_pages(grams[chosen], page, np.asarray(part.column("times"), np.int64))]))
+        return _addressed(table.column("block")[0].as_py(), _at_most_twice(found), parts, np.uint32)
 
-    def judged(n: int) -> pa.RecordBatch:
-        nonlocal chars
-        found = main_texts([h[3] for h in held])[:n]
-        rows = [(h[1], h[2], text, len(text), tokens, shared) for h, (text, tokens, shared) in zip(held, found, strict=False)]
-        del held[:n]
-        chars = sum(len(h[3]) for h in held)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+    return run
+
+
+def _send_passages(parts: int) -> Callable:
+    def run(table: pa.Table, back: pa.Table) -> pa.Table:
+        found = []
+        for part in _slices(table):
+            _, _, page, whole, chosen, grams = _passages(part)
+            open_ = _known(grams[chosen], back, parts, np.uint32)
+            found.append(_at_most_twice([_on_pages(whole[open_], page[open_], np.asarray(part.column("times"), np.int64))]))
+        return _addressed(table.column("block")[0].as_py() if len(table) else 0, _at_most_twice(found), parts, np.uint64)
+
+    return run
 
-    for batch in batches:
-        for row in zip(*(batch.column(c) for c in ("host", "page_id", "url", "html")), strict=True):
-            row = (row[0].as_py(), row[1].as_py(), row[2].as_py(), row[3].as_py() or "")
-            if held and held[-1][0] != row[0]:
-                yield judged(len(held))
-            held.append(row)
-            chars += len(row[3])
-            if len(held) >= 2 * PAGES or (chars >= 2 * SLICE_CHARS and len(held) > 1):
-                yield judged(len(held) // 2)
-    if held:
-        yield judged(len(held))
+
+def _judge(parts: int) -> Callable:
+    def run(table: pa.Table, back: pa.Table) -> pa.Table:
+        out = []
+        for part in _slices(table):
+            at, starts, _, whole, _, _ = _passages(part)
+            shared = starts[_known(whole, back, parts, np.uint64)]
+            change = np.zeros(int(at[-1]) + PASSAGE + 1, np.int32)
+            change[shared] += 1
+            np.subtract.at(change, shared + PASSAGE, 1)
+            mask = np.cumsum(change)[: int(at[-1])] > 0
+            rows = []
+            for i, (page_id, url, times, roles, text) in enumerate(zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "times", "roles", "text")), strict=True)):
+                own = mask[at[i] : at[i + 1]]
+                main = _main_text([int(r) for r in roles], text.split("\n") if roles else [], own)
+                rows += [(page_id, url, main, len(main), len(own), int(own.sum()))] * times
+            out.append(pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SCHEMA)], schema=_SCHEMA))
+        return pa.Table.from_batches(out, schema=_SCHEMA)
+
+    return run
 
 
 def extracted(pages: DataFrame, heavy_share: int = HEAVY_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars, n_tokens, n_shared) for every row of `pages` (page_id, url, html; other columns are not read).
 
-    Pages are shuffled once, by host. Hosts with more than 1/`heavy_share` of all pages, so fewer than `heavy_share` of them, are dealt to
-    several tasks by page; that list is broadcast. In a task a host's pages go by in order of a hash, some hundred at a time, so memory is
-    bounded; a passage that a host puts on its pages is on many of any few hundred. Null html is empty and gives an empty text; pages
-    without url are one host; repeated rows share all their passages; an empty table gives an empty one.
+    A passage of 8 tokens is shared if two pages of the host have it, whatever the size of the host and wherever the pages lie.
+
+    1. Pages are parsed, and their blocks of text dealt into blocks of pages by the hash of the row, one shuffle that all passes use again.
+    2. Of each passage the least hash of 5 neighbouring tokens is sent, half of its bits, once per block of pages (twice if two pages
+       have it); those sent twice come back. 3. Passages whose hash came back are verified: hashes of all 8 tokens are exchanged the
+       same way. 4. What comes back is shared.
+
+    A block of pages has about `BLOCK_BYTES` and 1/`heavy_share` of all pages at most (512 at least), so memory is bounded and no host
+    meets in one task. Null html is empty and gives an empty text; pages without url are one host; repeated rows share all their
+    passages; an empty table gives an empty one.
     """
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html", host.alias("host"))
-    each = max(rows.count() // heavy_share, 2 * PAGES)
-    heavy = rows.groupBy("host").count().where(F.col("count") > each).select("host", F.ceil(F.col("count") / each).alias("tasks"))
-    rows = rows.join(F.broadcast(heavy), "host", "left").withColumn("order", F.xxhash64("page_id", "url"))
-    part = F.coalesce(F.pmod("order", F.col("tasks")), F.lit(0)).cast("int")
-    rows = rows.withColumn("part", part).drop("tasks").repartition("host", "part").sortWithinPartitions("host", "part", "order", "page_id")
-    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long, n_tokens long, n_shared long")
+    name = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    rows = pages.select(F.col("page_id").cast("long"), "url", "html")
+    total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("bytes")).first()
+    parts = max(total.bytes // BLOCK_BYTES, total.n // max(total.n // heavy_share, 2 * PAGES)) + 1
+    block = F.pmod(F.xxhash64("page_id", "url", F.crc32(F.coalesce("html", F.lit("")).cast("binary"))), F.lit(parts))
+    rows = rows.select("page_id", "url", "html", F.xxhash64(name).alias("host"), block.cast("long").alias("block"))
+    dealt = rows.mapInArrow(_parse, "page_id long, url string, host long, block long, times long, roles string, text string")
+    grams = _sent_twice(dealt.groupBy("block").applyInArrow(_send_grams(parts), _SENT), np.uint32)
+    passages = dealt.groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(_send_passages(parts), _SENT)
+    shared = _sent_twice(passages, np.uint64)
+    judged = dealt.groupBy("block").cogroup(shared.groupBy("block"))
+    return judged.applyInArrow(_judge(parts), "page_id long, url string, text string, n_chars long, n_tokens long, n_shared long")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

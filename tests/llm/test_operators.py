@@ -221,6 +221,27 @@ def test_shared_passages_go_from_pages_without_article():
     assert [t for t, _, _ in boilerplate.main_texts(pages)] == [f"unique text of page {i} {i} {i} and its own words {i}" for i in range(3)]
 
 
+def test_a_passage_is_shared_however_many_pages_the_host_has(spark):
+    rng = random.Random(4)
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(3000)]
+    rare = "a passage that only two of the pages of this host have"
+    rows = [(i, f"http://{'big' if i % 3 else 'small'}.example/{i}", f"<div>{t}</div>") for i, t in enumerate(own)]
+    holders = {1, 2999, 3, 500}  # 1 and 2999 are on the big host together with 500, 3 alone on the small one
+    rows = [(i, u, h + (f"<div>{rare}</div>" if i in holders else "")) for i, u, h in rows]
+    rows += [rows[7], rows[7], (None, None, None)]
+    got = boilerplate.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    shared = {r.page_id: (r.n_shared, rare in r.text) for r in got}
+    assert len(got) == len(rows) and sum(r.page_id == 7 for r in got) == 3
+    assert {i: s for i, s in shared.items() if s != (0, False)} == {1: (12, False), 2999: (12, False), 500: (12, False), 3: (0, True), 7: (20, False)}
+    hosts = defaultdict(list)
+    for r in rows:
+        hosts[(r[1] or "//").split("/")[2]].append(r)
+    wanted = Counter()
+    for some in hosts.values():
+        wanted.update((r[0], *found) for r, found in zip(some, boilerplate.main_texts([r[2] or "" for r in some]), strict=True))
+    assert Counter((r.page_id, r.text, r.n_tokens, r.n_shared) for r in got) == wanted
+
+
 def test_shared_tokens_by_brute_force():
     rng = random.Random(1)
     pages = [[rng.choice("ab") for _ in range(rng.randint(0, 60))] for _ in range(6)]
