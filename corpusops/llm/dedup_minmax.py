@@ -16,7 +16,8 @@ from corpusops.llm.components import components
 from corpusops.llm.store import Workspace
 
 PERMUTATIONS = 64
-BANDS = 32  # of two permutations each, so of four values: a link at 0.75 is missed once in 200,000
+BANDS = 32  # of two permutations each, so of four values: a link at 0.75 is missed once in 200,000 if sets are large (150,000 from 43 shingles)
+SMALL = 42  # least and greatest value of a small set depend on each other; up to so many shingles, links are found by an exact join
 SHINGLE = 5
 PERCENT = 75
 MEMBERS_A_TASK = 128
@@ -142,32 +143,57 @@ def _mixed(apart: DataFrame) -> DataFrame:
     return apart.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key", "least")
 
 
-def _sharing_rare(undecided: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (leader, member) of classes in different components that can reach the likeness, by the prefix principle.
+def _rare(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(gram, rep, n, component, rest): the shingles at which classes of different components can meet, by the prefix principle.
 
     All shingles are put in one order: first those that one component alone holds, then by rising count. Two sets with the likeness
     share a shingle among the first n - ceil(percent * n / 100) + 1 of each. So classes that have only a frequent passage in common do
-    not meet. At the first shingle that two sets share, what follows it bounds the intersection; pairs whose bound is too low are skipped.
-    No pair that could be linked is lost.
+    not meet. `rest` is the number of shingles from this one on.
     """
-    grams = undecided.join(sets, "rep").select("rep", "n", "component", "grams").mapInArrow(_explode, "rep long, n long, component long, gram long")
+    grams = classes.join(sets, "rep").select("rep", "n", "component", "grams").mapInArrow(_explode, "rep long, n long, component long, gram long")
     counts = grams.groupBy("gram").agg(F.count("*").alias("count"), F.min("component").alias("least"), F.max("component").alias("most"))
     across = grams.join(counts.where("least < most").select("gram", "count"), "gram")
     own = Window.partitionBy("rep")
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("count", "gram"))
-    rare = across.withColumn("place", place).where(f"place <= n - ceil({percent} * n / 100) + 1").select("gram", "rep", "n", "component", (F.col("n") - F.col("place") + 1).alias("rest"))
+    return across.withColumn("place", place).where(f"place <= n - ceil({percent} * n / 100) + 1").select("gram", "rep", "n", "component", (F.col("n") - F.col("place") + 1).alias("rest"))
+
+
+def _sharing_rare(undecided: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (leader, member) of classes in different components that can reach the likeness and share a rare shingle.
+
+    At the first shingle that two sets share, what follows it bounds the intersection; pairs whose bound is too low are skipped.
+    No pair that could be linked is lost.
+    """
+    rare = _rare(undecided, sets, percent)
     other = rare.select("gram", F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("component").alias("other"), F.col("rest").alias("leader_rest"))
     fits = f"{100 + percent} * least(rest, leader_rest) >= {percent} * (n + leader_n)"
     return rare.join(other, "gram").where(f"other < component and {fits}").select("leader", F.col("rep").alias("member")).distinct()
 
 
+def _sharing_small(small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """As `_sharing_rare`, for classes of few shingles, of which there are many that share some: they meet by shingle and size.
+
+    What follows a shingle bounds the size of the other set, so each row is sent to the few sizes that it can be linked with. Components
+    meet first, and their members only where two of them do, so the members of one component are not compared with each other.
+    """
+    rare = _rare(small, sets, percent)
+    cells = rare.groupBy("gram", "n", "component").agg(F.max("rest").alias("rest"))
+    sizes = cells.withColumn("low", F.expr(f"ceil({percent} * n / 100)")).withColumn("high", F.expr(f"least(floor({100 + percent} * rest / {percent}) - n, floor(100 * n / {percent}))"))
+    sizes = sizes.where("low <= high").withColumn("size", F.explode(F.sequence("low", "high"))).drop("low", "high")
+    other = cells.select("gram", F.col("n").alias("size"), F.col("component").alias("other"), F.col("rest").alias("other_rest"))
+    meet = sizes.join(other, ["gram", "size"]).where(f"other < component and {100 + percent} * other_rest >= {percent} * (n + size)").drop("rest", "other_rest")
+    members = rare.select("gram", "n", "component", F.col("rep").alias("member"))
+    leaders = rare.select("gram", F.col("n").alias("size"), F.col("component").alias("other"), F.col("rep").alias("leader"))
+    return meet.join(members, ["gram", "n", "component"]).join(leaders, ["gram", "size", "other"]).select("leader", "member").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, permutations: int = PERMUTATIONS, bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs` (doc_id long, text; other columns are not read).
 
     Words are compared with A-Z in lower case. Texts with the same set of shingles form a class, named by its least doc_id. Classes that
     share a band key meet in a bucket; every member is compared, on whole sets, with the bucket's least class. Where a bucket then holds
     several components, its members are compared with the least class of another component, and what is still apart is joined across
-    components on its rarest shingles (`_sharing_rare`). So no pair that shares a bucket stays undecided, and a group of many copies
+    components on its rarest shingles (`_sharing_rare`). Classes of at most `SMALL` shingles are joined so whatever their buckets. So no pair that shares a bucket stays undecided, and a group of many copies
     costs one or two comparisons per copy and not one per pair. Pairs whose sizes alone rule out the likeness are skipped.
 
     Null or blank texts have no shingles and are linked with nothing. Rows without doc_id are linked with nothing: their component is
@@ -186,7 +212,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
 
     fits = F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
     first = work.keep(buckets.where(fits & (F.col("rep") != F.col("leader"))).select("leader", F.col("rep").alias("member")).distinct(), "pairs")
-    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = buckets.select(F.col("rep").alias("doc_id")).union(classes.where(F.col("n") <= SMALL).select("rep")).distinct()
     sets = work.keep(docs.join(wanted, "doc_id").mapInArrow(_sets(shingle), "rep long, grams binary"), "sets")
     links = work.keep(confirmed(first, sets, percent), "links")
     found = components(links, work, "components")
@@ -203,7 +229,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
 
     apart = _with_components(buckets.where("members > 2").select("key", "rep", "n"), found)
     undecided = work.keep(apart.join(_mixed(apart).select("key"), "key").select("rep", "n", "component").distinct(), "undecided")
-    third = work.keep(_sharing_rare(undecided, sets, percent), "third-pairs")
+    small = work.keep(_with_components(classes.where(F.col("n") <= SMALL).select("rep", "n"), found), "small")
+    third = work.keep(_sharing_rare(undecided, sets, percent).union(_sharing_small(small, sets, percent)).distinct(), "third-pairs")
     more = work.keep(confirmed(third, sets, percent), "third-links")
     if not more.isEmpty():
         found = components(links.union(more), work, "third-components")

@@ -123,6 +123,25 @@ def test_rare_shingle_join_finds_what_the_leaders_miss(spark):
     assert {r.doc_id: r.component_id for r in got} == {d: find(d) for d, _ in rows}
 
 
+def test_small_sets_are_linked_without_a_common_band(spark):
+    rng = random.Random(6)
+    rows, common = [], "one two three four five six seven eight"
+    for i in range(60):  # 3 of 4 and 6 of 8 shingles
+        words = [f"w{rng.randrange(10**6)}" for _ in range(12)]
+        rows += [(4 * i, " ".join(words[:8])), (4 * i + 1, " ".join(words[:7])), (4 * i + 2, " ".join([*words[2:], "x", "y"])), (4 * i + 3, " ".join([*words[4:], "x", "y"]))]
+    rows += [(1000 + i, f"{common} {i}") for i in range(40)]  # 4 of 6 shingles in common: not linked
+    got = near_duplicates_of(spark, rows)
+    _, find = near_groups(rows)
+    assert got == {i: find(i) for i, _ in rows}
+    assert sum(i != c for i, c in got.items()) >= 120
+
+
+def near_duplicates_of(spark, rows):
+    """Components with one band, which misses most links."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.component_id for r in dedup_minmax.near_duplicates(docs, permutations=2, bands=1).collect()}
+
+
 def test_fingerprints(docs, none):
     got = parsing.fingerprints(docs.where("doc_id is not null and doc_id <> 3")).collect()
     order = sorted(((d, t or "") for d, t in ROWS if d is not None and d != 3), reverse=True)
