@@ -83,8 +83,8 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     return df.agg(unique.alias("unique_instructions"), (F.count("*") - unique).alias("duplicate_instructions"))
 
 
-def issue_report(df: DataFrame, cap: int = ISSUE_CAP, structural: DataFrame | None = None) -> DataFrame:
-    """The first ``cap`` structural issues by id and field, and every empty output.
+def issue_report(df: DataFrame, cap: int | None = ISSUE_CAP, structural: DataFrame | None = None) -> DataFrame:
+    """The first ``cap`` structural issues by id and field (all without a cap), and every empty output.
 
     Without ``structural`` (see ``structure_issues`` of the readers) a null field is an issue.
     """
@@ -93,7 +93,8 @@ def issue_report(df: DataFrame, cap: int = ISSUE_CAP, structural: DataFrame | No
     empty = df.where(is_blank("output")).select(
         "id", F.lit("output").alias("field"), F.lit("empty output").alias("issue")
     )
-    return structural.orderBy("id", "field").limit(cap).union(empty)
+    stored = structural if cap is None else structural.orderBy("id", "field").limit(cap)
+    return stored.union(empty)
 
 
 def _looks_sql(whole_word: bool = False) -> Column:
@@ -192,11 +193,11 @@ def quality_score(report: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP,
+def validate(df: DataFrame, gate: float = GOOD, cap: int | None = ISSUE_CAP,
              structural: DataFrame | None = None) -> DataFrame:
     """The whole report as one row: counts, averages, SQL and diversity totals, score, verdict, gate.
 
-    Sums take one row per task; digests are counted on their own, so that only they are shuffled. Stored issues are at most ``cap`` structural ones plus
+    Sums take one row per task; digests are counted on their own, so that only they are shuffled. Stored issues are at most ``cap`` structural ones (all without a cap) plus
     every empty output, and an empty output therefore costs points twice. Without ``structural`` a
     null field is a structural issue.
     """
@@ -220,10 +221,11 @@ def validate(df: DataFrame, gate: float = GOOD, cap: int = ISSUE_CAP,
     totals = df.agg(*aggs).withColumn("unique_instructions", df.agg(unique).scalar())
     if structural is not None:
         totals = totals.withColumn("structural_issues", structural.agg(F.count("*")).scalar())
+    stored = F.col("structural_issues") if cap is None else F.least(F.col("structural_issues"), F.lit(cap))
     report = (
         totals
         .withColumn("duplicate_instructions", F.col("total_examples") - F.col("unique_instructions"))
-        .withColumn("issues", F.least(F.col("structural_issues"), F.lit(cap)) + F.col("empty_outputs"))
+        .withColumn("issues", stored + F.col("empty_outputs"))
         .withColumn("valid_examples", F.col("total_examples") - F.col("empty_outputs"))
     )
     scored = quality_score(report)

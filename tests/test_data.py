@@ -61,6 +61,12 @@ def test_issue_cap(spark):
     assert report.where("issue = 'empty output'").count() == 30
 
 
+def test_all_issues_without_a_cap(spark):
+    rows = spark.createDataFrame([(i, None, "a", "") for i in range(30)], SCHEMA)
+    assert validate.issue_report(rows, cap=None).where("issue = 'missing'").count() == 30
+    assert (validate.validate(rows, cap=None).first()["issues"], validate.validate(rows).first()["issues"]) == (60, 40)
+
+
 def test_strict_sql(spark):
     texts = ["SELECT (a) FROM t", "SELECT (a FROM t", "SELECT 'a FROM t", "please SELECT", "  with x as (select 1) select 2"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
