@@ -247,11 +247,16 @@ def test_a_passage_is_shared_however_many_pages_the_host_has(spark):
     rows = [(i, f"http://{'big' if i % 3 else 'small'}.example/{i}", f"<div>{t}</div>") for i, t in enumerate(own)]
     holders = {1, 2999, 3, 500}  # 1 and 2999 are on the big host together with 500, 3 alone on the small one
     rows = [(i, u, h + (f"<div>{rare}</div>" if i in holders else "")) for i, u, h in rows]
+    for j in range(100, 140):  # and each of these on two pages of the big host
+        twin = f"<div>{' '.join(f'twin{j}x{k}' for k in range(12))}</div>"
+        for i in (3 * j + 1, 3 * (j + 700) + 2):
+            rows[i] = (*rows[i][:2], rows[i][2] + twin)
     rows += [rows[7], rows[7], (None, None, None)]
     got = boilerplate.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
     shared = {r.page_id: (r.n_shared, rare in r.text) for r in got}
     assert len(got) == len(rows) and sum(r.page_id == 7 for r in got) == 3
-    assert {i: s for i, s in shared.items() if s != (0, False)} == {1: (12, False), 2999: (12, False), 500: (12, False), 3: (0, True), 7: (20, False)}
+    twins = {i: (12, False) for j in range(100, 140) for i in (3 * j + 1, 3 * (j + 700) + 2)}
+    assert {i: s for i, s in shared.items() if s != (0, False)} == twins | {1: (12, False), 2999: (12, False), 500: (12, False), 3: (0, True), 7: (20, False)}
     hosts = defaultdict(list)
     for r in rows:
         hosts[(r[1] or "//").split("/")[2]].append(r)
