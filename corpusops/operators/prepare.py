@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusops.functions.text import SPACE, is_blank, join_text, present, py_words, word_count
 from corpusops.plans.scale import dense_positions, first_by_hash
+from corpusops.plans.scale import head as first_positions
 
 # fixed values: prompt texts and templates the formats are defined by
 SCHEMA_PREFIX = "Table Schema: "
@@ -185,11 +186,9 @@ def eval_prompt(df: DataFrame) -> DataFrame:
 def head(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """First ``n`` rows in order; 0 or None keeps all.
 
-    Rows are kept by their distributed position, so no task gathers them, however large ``n`` is.
+    Rows are cut into runs by key, and only runs up to the one that holds row ``n`` are shuffled and ranked.
     """
-    if not n:
-        return df
-    return dense_positions(df, order, "__position").where(F.col("__position") < n).drop("__position")
+    return df if not n else first_positions(df, order, n, "__position").drop("__position")
 
 
 def chat_parts(df: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:

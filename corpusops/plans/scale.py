@@ -12,8 +12,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for cut lineage: ``spark.checkpoint.dir``; in local mode a scratch folder if unset."""
@@ -45,31 +43,82 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def dense_positions(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
-    """0-based position of every row in the order of ``order`` (which should be unique).
+SAMPLED_A_BUCKET = 32
+
+
+def _named(order: Sequence[Column | str]) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)]
+
+
+def splitters(df: DataFrame, order: Sequence[Column | str], buckets: int | None = None, seed: int = 42) -> Column:
+    """At most ``buckets`` - 1 keys that cut ``df`` into runs of similar size, as one literal: a sorted array of structs.
+
+    One job over the key columns alone. The sample has ``SAMPLED_A_BUCKET`` rows per bucket, however large the table is. The keys
+    are literals from then on, so a run after an executor loss cuts at the same places. By default there are four buckets per
+    shuffle partition, since buckets are dealt to partitions by hash.
+    """
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*_named(order))
+    sample = df.select(key.alias("key")).orderBy(F.rand(seed)).limit(buckets * SAMPLED_A_BUCKET)
+    held = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda i: F.expr("keys")[(i * F.size("keys") / buckets).cast("int")])
+    picked = F.when(F.size("keys") > 0, F.array_distinct(at) if buckets > 1 else F.slice("keys", 1, 0)).otherwise(F.slice("keys", 1, 0))
+    kind = held.schema["keys"].dataType.simpleString()
+    found = held.select(F.to_json(picked, {"ignoreNullFields": "false"})).first()[0]
+    return F.from_json(F.lit(found), kind)
+
+
+def bucket_of(order: Sequence[Column | str], cuts: Column, buckets: int) -> Column:
+    """How many of the sorted ``cuts`` are at or below a row's key, by binary search; ``buckets`` bounds their number."""
+    key, n = F.struct(*_named(order)), F.size(cuts)
+    steps = [1 << b for b in reversed(range(max(1, buckets.bit_length())))]
+
+    def step(low: Column, jump: Column) -> Column:
+        return F.when((low + jump <= n) & (F.get(cuts, F.least(low + jump, n) - 1) <= key), low + jump).otherwise(low)
 
-    One range shuffle, then one offset per partition. The ranged rows are checkpointed because
-    partition numbers must not change between counting them and using the counts.
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
+def _bucketed(df: DataFrame, order: Sequence[Column | str], buckets: int | None) -> DataFrame:
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("__bucket", bucket_of(order, splitters(df, order, buckets), buckets))
+
+
+def positions(df: DataFrame, order: Sequence[Column | str], out: str, within: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """0-based position of every row in ascending ``order`` (which should be unique; nulls come first), counted ``within`` groups.
+
+    A sample sort whose boundaries are literals: buckets are counted on the key columns, rows are ranked inside a bucket, and the
+    count of earlier buckets is added. A hot group is spread over as many buckets as its share. Nothing but one row per bucket and
+    group is carried on, and no payload column is stored. Negate numbers for a descending order. The groups come before ``order``.
     """
+    within = list(within)
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("__at", F.monotonically_increasing_id())
-    )
-    fixed = checkpointed(ranged).withColumn("__part", F.shiftright("__at", _ROW_BITS))
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        fixed.groupBy("__part").agg(F.count("*").alias("__n"))
-        .select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    )
-    # one row per partition, so the broadcast is bounded by the partition count
-    row = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        fixed.join(F.broadcast(offsets), "__part")
-        .withColumn(out, F.col("__offset") + row)
-        .drop("__at", "__part", "__offset")
-    )
+    tagged = _bucketed(df, [*map(F.col, within), *order], buckets)
+    cells = tagged.groupBy("__bucket", *within).agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select("__bucket", *within, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy("__bucket", *within).orderBy(*order)
+    ranked = tagged.withColumn("__row", F.row_number().over(inside) - 1)
+    # without groups there is one row per bucket, so the broadcast has a bound
+    placed = join_same(ranked, offsets, ["__bucket", *within]) if within else ranked.join(F.broadcast(offsets), "__bucket")
+    return placed.withColumn(out, F.col("__offset") + F.col("__row")).drop("__bucket", "__row", "__offset")
+
+
+def head(df: DataFrame, order: Sequence[Column | str], n: int, out: str, buckets: int | None = None) -> DataFrame:
+    """The first ``n`` rows in ``order`` with their position; only the bucket that holds row ``n`` and those before it are ranked."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    tagged = _bucketed(df, order, buckets)
+    upto = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = tagged.groupBy("__bucket").agg(F.count("*").alias("__n")).select("__bucket", "__n", F.sum("__n").over(upto).alias("__upto"))
+    wanted = cells.select("__bucket", (F.col("__upto") - F.col("__n")).alias("__offset")).where(F.col("__offset") < n)
+    inside = Window.partitionBy("__bucket").orderBy(*order)
+    ranked = tagged.join(F.broadcast(wanted), "__bucket").withColumn(out, F.col("__offset") + F.row_number().over(inside) - 1)
+    return ranked.where(F.col(out) < n).drop("__bucket", "__offset")
+
+
+def dense_positions(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """0-based position of every row in ascending ``order``, which should be unique."""
+    return positions(df, order, out)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, out: str) -> DataFrame:
@@ -78,7 +127,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, out: s
     Rank = position of the value's first row minus position of the key's first row, plus one;
     both firsts are plain ``min`` aggregates over the distributed positions.
     """
-    placed = dense_positions(df, [*[F.col(k) for k in keys], F.desc(value), F.col(tie)], "__pos")
+    placed = dense_positions(df, [*[F.col(k) for k in keys], -F.col(value), F.col(tie)], "__pos")
     starts = placed.groupBy(*keys).agg(F.min("__pos").alias("__key_at"))
     # only values held by several rows need a lookup; every other row is its value's first
     shared = (
@@ -184,14 +233,12 @@ def first_by_hash(
     place = F.struct("__hash", key)
     keys_only = tagged.select(*groups, "__hash", "__prefix", key)
     if not groups:
-        edge = edges.first()
-        if edge is None:
-            return df.withColumn(out, F.lit(False))
-        at_edge = keys_only.where(F.col("__prefix") == edge["__edge"])
-        last = at_edge.orderBy("__hash", key).limit(edge["__rest"]).agg(F.max(place).alias("__cutoff")).first()[0]
-        same = (F.col("__hash") == last["__hash"]) & (F.col(key) <= last[key])
-        selected = (F.col("__hash") < last["__hash"]) | same
-        return tagged.withColumn(out, selected).drop("__hash", "__prefix")
+        edge = edges.agg(F.max(F.struct("__edge", "__rest")).alias("e")).scalar()
+        at_edge = keys_only.withColumn("__rest", edge["__rest"]).where(F.col("__prefix") == edge["__edge"])
+        # one of 2^20 prefixes goes to one task
+        ranked = at_edge.withColumn("__rank", F.row_number().over(Window.orderBy("__hash", key)))
+        last = ranked.where("__rank <= __rest").agg(F.max(place).alias("last")).scalar()
+        return tagged.withColumn(out, F.coalesce(place <= last, F.lit(False))).drop("__hash", "__prefix")
     at_edge = join_same(keys_only, edges, groups).where("__prefix = __edge")
     cutoffs = (
         at_edge.withColumn("__rank", F.row_number().over(whole.orderBy("__hash", key)))

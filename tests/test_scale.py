@@ -101,3 +101,40 @@ def test_null_keys_are_keys(spark):
 def test_checkpoint_folder_comes_from_the_session(spark):
     folder = scale.shared_folder(spark)
     assert spark.conf.get("spark.checkpoint.dir") == folder
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 200])
+def test_positions_within_groups_with_nulls(spark, buckets):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, "a", "ü", "b"]), rng.choice([None, *range(6)]), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, v bigint, id bigint").repartition(5)
+    low = lambda x: (x is not None, x if x is not None else 0)
+    for within in ([], ["g"]):
+        got = {r["id"]: r["at"] for r in scale.positions(df, ["v", "id"], "at", within=within, buckets=buckets).collect()}
+        expected, seen = {}, {}
+        for g, _, i in sorted(rows, key=lambda r: (low(r[1]), r[2])):
+            group = g if within else 0
+            expected[i] = seen.get(group, 0)
+            seen[group] = expected[i] + 1
+        assert got == expected
+    assert {r["id"]: r["at"] for r in scale.head(df, ["v", "id"], 55, "at", buckets).collect()} == {
+        r[2]: i for i, r in enumerate(sorted(rows, key=lambda r: (low(r[1]), r[2]))) if i < 55}
+    none = df.where("id < 0")
+    assert scale.positions(none, ["id"], "at", buckets=buckets).collect() == scale.head(none, ["id"], 5, "at", buckets).collect() == []
+
+
+def test_order_operators_run_one_job_before_the_action(spark, df):
+    """The sample of keys is the only job; nothing is checkpointed."""
+    def jobs(build):
+        spark.sparkContext.setJobGroup("before", "")
+        made = build()
+        found = len(spark.sparkContext.statusTracker().getJobIdsForGroup("before"))
+        spark.sparkContext.setJobGroup("after", "")
+        return found, made
+
+    for build, most in (
+        (lambda: scale.dense_positions(df, ["ts", "id"], "at"), 1), (lambda: scale.head(df, ["id"], 9, "at"), 1),
+        (lambda: scale.rank_within(df, ["k"], "v", "id", "rk"), 1), (lambda: scale.first_by_hash(df, "id", lambda n: F.lit(7)), 0),
+    ):
+        found, made = jobs(build)
+        assert found <= most and made.count()
