@@ -123,18 +123,16 @@ def test_positions_within_groups_with_nulls(spark, buckets):
     assert scale.positions(none, ["id"], "at", buckets=buckets).collect() == scale.head(none, ["id"], 5, "at", buckets).collect() == []
 
 
-def test_order_operators_run_one_job_before_the_action(spark, df):
+def test_order_operators_run_one_job_before_the_action(spark, rows):
     """The sample of keys is the only job; nothing is checkpointed."""
-    def jobs(build):
-        spark.sparkContext.setJobGroup("before", "")
-        made = build()
-        found = len(spark.sparkContext.statusTracker().getJobIdsForGroup("before"))
-        spark.sparkContext.setJobGroup("after", "")
-        return found, made
+    df = spark.createDataFrame(rows, "id bigint, k string, ts timestamp, v bigint")
 
-    for build, most in (
+    for i, (build, most) in enumerate((
         (lambda: scale.dense_positions(df, ["ts", "id"], "at"), 1), (lambda: scale.head(df, ["id"], 9, "at"), 1),
         (lambda: scale.rank_within(df, ["k"], "v", "id", "rk"), 1), (lambda: scale.first_by_hash(df, "id", lambda n: F.lit(7)), 0),
-    ):
-        found, made = jobs(build)
-        assert found <= most and made.count()
+    )):
+        spark.sparkContext.setJobGroup(f"before {i}", "")
+        made = build()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"before {i}")) <= most
+        spark.sparkContext.setJobGroup("after", "")
+        assert made.count()
