@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from corpusops.llm import boilerplate, dedup_minmax, mixing, parsing, quality, recompress, secrets, sentencepieces, sharding, toxicity
+from corpusops.llm import (
+    boilerplate, byte_bpe, dedup_minmax, merkle, mixing, parsing, quality, recompress, secrets, sentencepieces, sharding, toxicity, whitening,
+)
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
@@ -15,5 +17,8 @@ QUERIES = {
     "op8_sentencepiece": sentencepieces.op8,
     "op9_mixing": mixing.op9,
     "op10_quality_rules": quality.op10,
+    "op11_embedding_whitening": whitening.op11,
+    "op12_merkle_manifest": merkle.op12,
+    "op13_byte_bpe": byte_bpe.op13,
 }
-SQL = {"op1_secret_scans": secrets.SQL, "op10_quality_rules": quality.SQL}
+SQL = {"op1_secret_scans": secrets.SQL, "op10_quality_rules": quality.SQL, "op12_merkle_manifest": merkle.SQL}
