@@ -12,7 +12,6 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +22,11 @@ from corpusops.llm import words as W
 
 SLICE_BYTES = 1 << 20
 SEGMENT = 1 << 16  # code points that are split into pre-tokens at once
+TOGETHER = 1 << 20  # code points whose unknown pre-tokens are merged in one list
 REMEMBERED = 200_000  # pre-tokens of up to REMEMBERED_BYTES whose ids a worker keeps
 REMEMBERED_BYTES = 64
 BITS = 6
+BIT = [1 << i for i in range(64)]
 
 
 def ranks_path() -> str:
@@ -55,49 +56,46 @@ def newer() -> dict[int, int]:
 
 
 class RankQueue:
-    """Places by merge rank. `levels` are the bitmaps, bottom first, in words of 64 bits; `take` gives the least rank's least place.
+    """Places by merge rank, and bitmaps of three levels in words of 64 bits that say which ranks have any; `take` gives all places of the least rank.
 
-    It is empty after each pre-token and then serves the next one, so the words are laid out once.
+    It is empty after each use and then serves the next one, so the words are laid out once.
     """
 
     def __init__(self, ranks: int) -> None:
         self.buckets: list[list[int]] = [[] for _ in range(ranks)]
-        self.levels = [[0] * ((ranks >> BITS * k) + 1) for k in (1, 2, 3)]
+        self.bottom, self.middle = [0] * ((ranks >> BITS) + 1), [0] * ((ranks >> 2 * BITS) + 1)
+        self.top = 0
 
     def put(self, rank: int, place: int) -> None:
         bucket = self.buckets[rank]
-        if bucket:
-            heappush(bucket, place)
-            return
-        bucket.append(place)
-        for level in self.levels:
+        if not bucket:
             word = rank >> BITS
-            before = level[word]
-            level[word] = before | 1 << (rank & 63)
-            if before:
-                return
-            rank = word
-
-    def take(self) -> tuple[int, int] | None:
-        bottom, middle, top = self.levels
-        bits = top[0]
-        if not bits:
+            bits = self.bottom[word]
+            self.bottom[word] = bits | BIT[rank & 63]
+            if not bits:
+                high = word >> BITS
+                self.middle[high] |= BIT[word & 63]
+                self.top |= BIT[high]
+        bucket.append(place)
+
+    def take(self) -> tuple[int, list[int]] | None:
+        """The least rank, found by the lowest set bit of each level, and its places in rising order."""
+        if not self.top:
             return None
-        high = (bits & -bits).bit_length() - 1
-        bits = middle[high]
+        high = (self.top & -self.top).bit_length() - 1
+        bits = self.middle[high]
         word = high << BITS | (bits & -bits).bit_length() - 1
-        bits = bottom[word]
+        bits = self.bottom[word]
         lowest = bits & -bits
         rank = word << BITS | lowest.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        bottom[word] = bits ^ lowest
+        self.bottom[word] = bits ^ lowest
         if bits == lowest:
-            middle[high] ^= 1 << (word & 63)
-            if not middle[high]:
-                top[0] ^= 1 << high
-        return rank, bucket.pop()
+            self.middle[high] ^= BIT[word & 63]
+            if not self.middle[high]:
+                self.top ^= BIT[high]
+        places, self.buckets[rank] = self.buckets[rank], []
+        places.sort()
+        return rank, places
 
 
 class Vocabulary:
@@ -124,51 +122,80 @@ class Vocabulary:
         self.tokens = pa.array(tokens, pa.binary())
         self.decimals = pa.array([b"%d," % i for i in range(size)], pa.binary())
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Ids of the parts that are left when no neighbours have a rank; the least rank first, the leftmost of equal ones first."""
-        rank, queue, n = self.rank, self.queue, len(piece)
-        end = list(range(1, n + 1))  # end[i]: where the part that starts at i ends; 0 if none starts there
-        before = list(range(-1, n))  # before[i]: where the part before the one that starts at i starts
-        for i in range(n - 1):
-            found = rank.get(piece[i : i + 2])
-            if found is not None:
-                queue.put(found, i)
-        while (least := queue.take()) is not None:
-            found, i = least
-            middle = end[i]
-            if not middle or middle >= n or rank.get(piece[i : end[middle]]) != found:
-                continue  # stale
-            stop = end[i] = end[middle]
-            end[middle] = 0
-            if stop < n:
-                before[stop] = i
-                pair = rank.get(piece[i : end[stop]])
-                if pair is not None:
-                    queue.put(pair, i)
-            if i:
-                left = before[i]
-                pair = rank.get(piece[left:stop])
-                if pair is not None:
-                    queue.put(pair, left)
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """For each pre-token the ids of the parts that are left when no neighbours have a rank; the least rank first, the leftmost of equal ones first.
+
+        All pre-tokens lie in one list with fences between them, so the bitmaps are searched once for all places of a rank.
+        """
+        text, rank = b"".join(pieces), self.rank
+        n, get, put, take = len(text), rank.get, self.queue.put, self.queue.take
+        fence = bytearray(n + 1)  # 1 where a pre-token starts
+        at = 0
+        for piece in pieces:
+            fence[at] = 1
+            at += len(piece)
+        fence[n] = 1
+        end = list(range(1, n + 1))  # where the part that starts here ends
+        before = list(range(-1, n))  # where the part before the one that starts here starts
+        now = [-1 if fence[i + 1] else get(text[i : i + 2], -1) for i in range(n)]  # the rank of the part that starts here with the next one
+        for i, found in enumerate(now):
+            if found >= 0:
+                put(found, i)
+        while (least := take()) is not None:
+            current, places = least
+            for done, i in enumerate(places, 1):
+                if now[i] != current:
+                    continue  # stale
+                middle = end[i]
+                stop = end[i] = end[middle]
+                now[middle] = now[i] = -1
+                lower = False
+                if not fence[stop]:
+                    before[stop] = i
+                    found = now[i] = get(text[i : end[stop]], -1)
+                    if found >= 0:
+                        put(found, i)
+                        lower = found < current
+                if not fence[i]:
+                    left = before[i]
+                    found = now[left] = get(text[left:stop], -1)
+                    if found >= 0:
+                        put(found, left)
+                        lower |= found < current
+                if lower:  # that goes first
+                    for rest in places[done:]:
+                        put(current, rest)
+                    break
         out, i = [], 0
         while i < n:
-            out.append(rank[piece[i : end[i]]])
+            ids = [rank[text[i : end[i]]]]
             i = end[i]
+            while not fence[i]:
+                ids.append(rank[text[i : end[i]]])
+                i = end[i]
+            out.append(tuple(ids))
         return out
 
-    def ids(self, word: str) -> tuple[int, ...]:
-        found = self.older.get(word)
-        if found is None:
-            piece = word.encode()
-            whole = self.rank.get(piece)
-            found = tuple(self.merged(piece)) if whole is None else (whole,)
-            if len(piece) > REMEMBERED_BYTES:
-                return found
+    def learn(self, words: set[str]) -> list[str]:
+        """Afterwards `known` has all these pre-tokens; returns those too long to be kept."""
         if len(self.known) >= REMEMBERED:
-            self.older = self.known.copy()
-            self.known.clear()
-        self.known[word] = found
-        return found
+            self.older, self.known = self.known, {}
+        known, older, pieces, new = self.known, self.older, [], []
+        for word in words:
+            if word in known:
+                continue
+            found = older.get(word)
+            if found is None:
+                piece = word.encode()
+                whole = self.rank.get(piece)
+                if whole is None:
+                    pieces.append(piece)
+                    new.append(word)
+                    continue
+                found = (whole,)
+            known[word] = found
+        known.update(zip(new, self.merged(pieces), strict=True))
+        return [w for w, piece in zip(new, pieces, strict=True) if len(piece) > REMEMBERED_BYTES]
 
     def segments(self, text: str) -> Iterator[str]:
         """The text in runs of about SEGMENT code points. Pre-tokens never go across the start of a white space, so no run cuts one."""
@@ -187,12 +214,30 @@ class Vocabulary:
             return self.split.findall(run)
         return [run[m.start() : m.end()] for m in self.split.finditer(run.translate(self.newer))]
 
-    def encode(self, text: str) -> np.ndarray:
-        ids, known = self.ids, self.known.get
-        parts = [np.zeros(0, np.int32)]
-        for run in self.segments(text):
-            parts.append(np.array([i for word in self.words(run) for i in known(word) or ids(word)], np.int32))
-        return np.concatenate(parts)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int32)] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+
+        def finish() -> None:
+            long = self.learn({word for _, words in held for word in words})
+            known = self.known
+            for i, words in held:
+                out[i].append(np.array([x for word in words for x in known[word]], np.int32))
+            for word in long:
+                del known[word]
+            held.clear()
+
+        size = 0
+        for i, text in enumerate(texts):
+            for run in self.segments(text):
+                held.append((i, self.words(run)))
+                size += len(run)
+                if size >= TOGETHER:
+                    finish()
+                    size = 0
+        finish()
+        return [np.concatenate(parts) for parts in out]
 
     def joined(self, table: pa.Array, ids: pa.Array) -> memoryview:
         """The entries of `table` at `ids`, one after the other."""
@@ -216,7 +261,7 @@ def _encode(ranks: bytes, split: str):
         for batch in batches:
             for part in W.slices(batch, size=SLICE_BYTES):
                 at = part.schema.get_field_index("text")
-                ids = [known.encode(x.as_py() or "") for x in part.column(at)]
+                ids = known.encode([x or "" for x in part.column(at).to_pylist()])
                 offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
                 column = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
                 keep = [i for i in range(part.num_columns) if i != at]

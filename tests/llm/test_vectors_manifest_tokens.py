@@ -180,14 +180,41 @@ def test_byte_bpe_query(spark, library):
         assert rows[r.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
-def test_rank_queue_gives_least_rank_then_least_place():
+def test_rank_queue_gives_the_least_rank_and_its_places():
     queue, rng, held = byte_bpe.RankQueue(1 << 18), random.Random(1), []
     for _ in range(4000):
-        if held and rng.random() < 0.4:
-            assert queue.take() == min(held)
-            held.remove(min(held))
+        if held and rng.random() < 0.3:
+            least = min(held)[0]
+            assert queue.take() == (least, sorted(p for r, p in held if r == least))
+            held = [h for h in held if h[0] != least]
         else:
             item = (rng.choice([rng.randrange(1 << 18), rng.randrange(90), 0, (1 << 18) - 1]), rng.randrange(10**6))
             queue.put(*item)
             held.append(item)
-    assert [queue.take() for _ in range(len(held))] == sorted(held) and queue.take() is None
+    while held:
+        least = min(held)[0]
+        assert queue.take()[0] == least
+        held = [h for h in held if h[0] != least]
+    assert queue.take() is None
+
+
+def test_a_merge_may_open_a_lower_rank():
+    """Ranks need not rise along merges: what a merge opens with a lower rank goes before what is left of its own rank."""
+    tokens = [b"a", b"b", b"c", b"d", b"abc", b"cab", b"ab", b"abcab", b"bc", b"ca"]
+    lines = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens))
+    table = {t: i for i, t in enumerate(tokens)}
+    library = tiktoken.Encoding("own", pat_str=r"\w+", mergeable_ranks=table, special_tokens={})
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 12))) for _ in range(40)) for _ in range(40)]
+    got = byte_bpe.Vocabulary(lines, r"\w+").encode(texts)
+    assert [g.tolist() for g in got] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_what_is_remembered_is_bounded_and_changes_nothing(ranks, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 50)
+    monkeypatch.setattr(byte_bpe, "TOGETHER", 300)
+    monkeypatch.setattr(byte_bpe, "SEGMENT", 200)
+    known, rng = byte_bpe.Vocabulary(ranks, byte_bpe.pattern()), random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefé") for _ in range(rng.choice([2, 3, 90]))) for _ in range(300)) for _ in range(20)]
+    assert [g.tolist() for g in known.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert len(known.known) < 400 and max(map(len, known.known)) < 90
