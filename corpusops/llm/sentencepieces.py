@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from corpusops.llm import words as W
 from corpusops.llm.store import Workspace
 
-CHUNK = 32_768  # code points
+CHUNK = 16_384  # code points; from here on a text is split and scanned
+SLICE_BYTES = 1 << 20  # of texts that are encoded together; memory depends on this and not on CHUNK
 ROWS_AT_ONCE = 64
 BLOCK = 64  # chunks whose matrices are multiplied in one task
-CACHED_WORDS = 50_000
 MARK = "▁"
 UNKNOWN = -1
 START = -2
@@ -53,7 +53,10 @@ class Codec:
         self.mark = [self.sp.piece_to_id(f"<0x{b:02X}>") for b in MARK.encode()]
         self.fits = lru_cache(1 << 18)(self._fits)
         self.stable = lru_cache(1 << 16)(lambda i: self.raw(self.text[i]) == [i])
-        self.words: dict[str, list[int]] = {}
+        bytes_of = {i: bytes([int(self.sp.id_to_piece(i)[3:-1], 16)]) if self.sp.is_byte(i) else self.text.get(i, "").encode() for i in n}
+        self.table = pa.array([bytes_of[i] for i in n], pa.binary())
+        self.spaced = np.array([self.text.get(i, "").startswith(" ") for i in n])
+        self.plain = np.array([i in self.text or self.sp.is_byte(i) for i in n])
 
     def raw(self, text: str) -> list[int]:
         """The pieces of a text, without the space that encoding puts first. A line feed is a byte that merges with nothing."""
@@ -65,25 +68,26 @@ class Codec:
                 out += self.sp.encode("\n" + part)[2:]
         return out
 
-    def encode(self, text: str) -> list[int]:
-        """The pieces of a whole text. Pieces have spaces only in front, so words between single spaces are encoded once and remembered."""
-        if not text:
-            return []
-        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
-            return self.raw(" " + text)
-        out: list[int] = []
-        known = self.words
-        for word in text.split(" "):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                ids = known[word] = self.sp.encode(word)
-            out += ids
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        return self.sp.decode(ids)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The pieces of whole texts, encoded together unless they hold U+2581."""
+        plain = iter(self.sp.encode([t for t in texts if MARK not in t], num_threads=1))
+        return [np.array(self.raw(" " + t) if MARK in t else next(plain), np.int32) for t in texts]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The text of pieces, as UTF-8. Ids of this encoder are joined from the table of pieces; others go to the library."""
+        if not len(ids):
+            return b""
+        if self.plain[ids].all():
+            taken = self.table.take(pa.array(ids, pa.int32()))
+            _, offsets, data = taken.buffers()
+            at = np.frombuffer(offsets, np.int32)
+            joined = memoryview(data)[int(at[0]) + bool(self.spaced[ids[0]]) : int(at[len(ids)])]
+            try:
+                str(joined, "utf-8")
+                return bytes(joined)
+            except UnicodeDecodeError:
+                pass
+        return self.sp.decode(ids.tolist()).encode()
 
     def _fits(self, a: int, b: int) -> bool:
         return a < 0 or b < 0 or self.raw(self.text[a] + self.text[b]) == [a, b]
@@ -219,15 +223,34 @@ def _short(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
         for batch in batches:
-            for part in W.slices(batch, size=2 << 20):
-                ids = [codec.encode(t or "") for t in part.column("text").to_pylist()]
+            for part in W.slices(batch, size=SLICE_BYTES):
+                ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
                 offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
+                flat = np.concatenate([np.zeros(0, np.int32), *ids])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*part.schema.names, "ids"])
 
     return run
 
 
+def _cut(chunk: int, longest: int):
+    """Texts (row, text) as chunks with some characters around them; a text is cut in one pass."""
+    schema = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("around", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("final", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in _rows(batch):
+                text, rows = " " + r["text"], []
+                for i, first in enumerate(range(0, len(text), chunk)):
+                    begin, end = max(first - 2 * longest, 0), min(first + chunk, len(text))
+                    rows.append({"row": r["row"], "chunk": i, "around": text[begin : end + 2 * longest], "start": first - begin, "end": end - begin, "final": end == len(text)})
+                    if len(rows) == ROWS_AT_ONCE:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows = []
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return run
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """The rows, one at a time: chunks are long."""
     for i in range(batch.num_rows):
@@ -276,14 +299,9 @@ def _traced(model: bytes):
 
 def _giants(giants: DataFrame, model: bytes, longest: int, chunk: int, block: int, work: Workspace) -> DataFrame:
     """`giants` (row, text) with ids. Chunks are rows of their own; one text's matrices meet in blocks, then one product per block."""
-    whole = giants.select("row", F.concat(F.lit(" "), "text").alias("t"))
-    chunks = whole.select("row", "t", F.length("t").alias("n"), F.explode(F.expr(f"sequence(0, cast((length(t) - 1) div {chunk} as int))")).alias("chunk"))
-    first = F.col("chunk") * chunk
-    begin = F.greatest(first - 2 * longest, F.lit(0))
-    end = F.least(first + chunk, F.col("n"))
-    chunks = chunks.select("row", "chunk", F.substr("t", begin + 1, end + 2 * longest - begin).alias("around"), (first - begin).alias("start"), (end - begin).alias("end"), (end == F.col("n")).alias("final"))
-    chunks = work.keep(chunks.repartition("row", "chunk"), "chunks")
-    matrices = work.keep(chunks.mapInArrow(_transfers(model), f"row long, chunk int, matrix {_MATRIX_SQL}").withColumn("block", F.floor(F.col("chunk") / block).cast("int")), "matrices")
+    chunks = giants.select("row", "text").mapInArrow(_cut(chunk, longest), "row long, chunk int, around string, start int, end int, final boolean")
+    dealt = chunks.repartition("row", "chunk")
+    matrices = work.keep(dealt.mapInArrow(_transfers(model), f"row long, chunk int, matrix {_MATRIX_SQL}").withColumn("block", F.floor(F.col("chunk") / block).cast("int")), "matrices")
     products = matrices.groupBy("row", "block").applyInArrow(_product, f"row long, block int, matrix {_MATRIX_SQL}")
     blocks = products.groupBy("row").applyInArrow(lambda t: _through_rows("block", t), "row long, block int, entry int, leave int")
     states = matrices.join(blocks, ["row", "block"]).groupBy("row", "block").applyInArrow(lambda t: _through_rows("chunk", t), "row long, chunk int, entry int, leave int")
@@ -316,13 +334,14 @@ def _decode(model: bytes, digest: bool):
         codec = Codec(model)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
-            texts = [codec.decode(x.as_py()) if x.is_valid and len(x) else "" for x in batch.column("ids")]  # one row as Python numbers at a time
+            rows = [np.asarray(x.values, np.int32) if x.is_valid else np.zeros(0, np.int32) for x in batch.column("ids")]
             keep = [i for i in range(batch.num_columns) if i != at]
             if digest:
-                ids = [hashlib.sha256(np.asarray(x.values, "<i4").tobytes() if x.is_valid else b"").hexdigest() for x in batch.column("ids")]
-                new = {"n_pieces": pa.array([len(x) if x.is_valid else 0 for x in batch.column("ids")], pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())}
+                ids = [hashlib.sha256(np.asarray(x, "<i4").tobytes()).hexdigest() for x in rows]
+                texts = [hashlib.sha256(codec.decode(x)).hexdigest() for x in rows]
+                new = {"n_pieces": pa.array([len(x) for x in rows], pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(texts, pa.string())}
             else:
-                new = {"decoded": pa.array(texts, pa.string())}
+                new = {"decoded": pa.array([codec.decode(x).decode() for x in rows], pa.string())}
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *new.values()], names=[*(batch.schema.names[i] for i in keep), *new])
 
     return run
@@ -342,16 +361,18 @@ def _model() -> bytes:
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_chars, n_pieces, ids_sha256 (of little-endian 32-bit ids), text_sha256, decoded_sha256, round_trip of every row."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"), text.alias("text"))
     model = _model()
-    pieces = encoded(docs, model).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"), "ids")
+    pieces = encoded(docs, model).drop("text")
     return decoded(pieces, model, digest=True).withColumn("round_trip", F.col("text_sha256") == F.col("decoded_sha256"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_pieces, ids, round_trip): the documents as pieces, and whether decoding gives the text back."""
     model = _model()
-    named = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    pieces = encoded(named, model).select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), "ids", F.col("ids").alias("kept"))
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select("doc_id", "lang", "source", F.sha2(text, 256).alias("text_sha256"), text.alias("text"))
+    pieces = encoded(named, model).drop("text").withColumn("kept", F.col("ids"))
     back = decoded(pieces, model, digest=True)
     return back.select("doc_id", "lang", "source", "n_pieces", F.col("kept").alias("ids"), (F.col("text_sha256") == F.col("decoded_sha256")).alias("round_trip"))
