@@ -33,5 +33,7 @@ def components(links: DataFrame, work: Workspace, name: str) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise ArithmeticError("components have not settled after 63 rounds")
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(nodes.select(F.col("component").alias("node"), "component").distinct())
