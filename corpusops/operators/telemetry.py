@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusops.plans.scale import exact_quantiles, lag_by_time, running_max_by_time, running_sum_by_time
+from corpusops.plans.scale import exact_quantiles, join_same, lag_by_time, running_sum_by_time
 
 # fixed values: histogram bounds of the public metrics client, and the alert rules
 BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -218,17 +218,32 @@ def sampled_gauges(samples: DataFrame, by: Sequence[str], values: Sequence[str],
 def sustained(evaluated: DataFrame, condition: Column, by: Sequence[str], for_seconds: int, step: int = 15) -> DataFrame:
     """Evaluations where the condition holds, with the start of the unbroken run and the state.
 
-    A false or missing evaluation ends a run. A series is worked on per day, and each day hands on its last evaluation and the start of
-    the run it is in, so no task holds a whole history.
+    A false or missing evaluation ends a run. A series is worked on per day in one pass; of each day only a summary goes on: its first and
+    last evaluation and where its last run starts, if inside the day. Summaries are combined in time order, so a run's start
+    passes over any number of days, and no task holds a whole history. Rows and summaries come from the same exchange.
     """
-    held = lag_by_time(evaluated.where(condition), list(by), "ts", [], "ts", "__before", DAY_SECONDS)
-    gap = F.unix_timestamp("ts") - F.unix_timestamp("__before")
-    begun = held.withColumn("__begin", F.when(F.coalesce(gap, F.lit(step + 1)) > step, F.col("ts")))
+    held = evaluated.where(condition).withColumn("__day", F.floor(F.unix_timestamp("ts") / F.lit(DAY_SECONDS)))
+    late = lambda at, before: F.unix_timestamp(at) - F.unix_timestamp(before) > step
+    inside = Window.partitionBy(*by, "__day").orderBy("ts")
+    begun = held.withColumn("__begin", F.when(late(F.col("ts"), F.lag("ts").over(inside)), F.col("ts")))
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = begun.withColumn("__since", F.max("__begin").over(upto)).drop("__begin")
+
+    whole = F.struct("ts", *[c for c in rows.columns if c not in ("ts", "__day", *by)])
+    days = rows.groupBy(*by, "__day").agg(F.min("ts").alias("__first"), F.max(whole).alias("__last"))
+    series = Window.partitionBy(*by).orderBy("__day")
+    fresh = F.coalesce(late(F.col("__first"), F.lag("__last.ts").over(series)), F.lit(True))
+    days = days.withColumn("__new", F.when(fresh, F.col("__first")))
+    marks = days.withColumn("__mark", F.coalesce("__last.__since", "__new"))
+    earlier = series.rowsBetween(Window.unboundedPreceding, -1)
+    carried = marks.select(*by, "__day", F.coalesce("__new", F.max("__mark").over(earlier)).alias("__carry"))
+
     lasted = F.unix_timestamp("ts") - F.unix_timestamp("since")
     return (
-        running_max_by_time(begun, list(by), "ts", "__begin", "since", DAY_SECONDS)
+        join_same(rows, carried, [*by, "__day"])
+        .withColumn("since", F.coalesce("__since", "__carry"))
         .withColumn("state", F.when(lasted >= for_seconds, "firing").otherwise("pending"))
-        .drop("__before", "__begin")
+        .drop("__day", "__since", "__carry")
     )
 
 

@@ -194,20 +194,6 @@ def running_sum_by_time(
     )
 
 
-def running_max_by_time(df: DataFrame, keys: Sequence[str], ts: str, value: str, out: str, chunk_seconds: int) -> DataFrame:
-    """Running maximum of ``value`` per key, nulls left out: inside the chunk, and of earlier chunks."""
-    chunked = df.withColumn("__chunk", _chunk(ts, chunk_seconds))
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunked.groupBy(*keys, "__chunk").agg(F.max(value).alias("__top")).select(
-        *keys, "__chunk", F.max("__top").over(before).alias("__carry"))
-    return (
-        join_same(chunked.withColumn("__in", F.max(value).over(inside)), carried, [*keys, "__chunk"], "left")
-        .withColumn(out, F.greatest("__in", "__carry"))
-        .drop("__chunk", "__in", "__carry")
-    )
-
-
 def first_by_hash(
     df: DataFrame, key: str, quota: Callable[[Column], Column], by: Sequence[str] = (), seed: int = 42,
     out: str = "selected",
