@@ -7,6 +7,7 @@ Runs come long, one row per run and metric: ``model_name, dataset_name, run_ts,
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,22 +53,21 @@ def melt_metrics(runs: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def pick_run(runs: DataFrame, pick: str = "newest") -> DataFrame:
-    """The rows of each model's newest (or oldest) run. A max per model, then a join back."""
-    best = F.max if pick == "newest" else F.min
-    chosen = runs.groupBy("model_name").agg(best("run_ts").alias("run_ts"))
-    return runs.join(chosen, ["model_name", "run_ts"], "left_semi")
-
+    """The rows of each model's newest (or oldest) run: one model, time and, where there is one, dataset.
 
-def metric_names(runs: DataFrame) -> list[str]:
-    """Distinct metric names, read for use as column names."""
-    return sorted(r[0] for r in runs.select("metric").distinct().collect())
+    Of runs at one time on several datasets the last (or first) by name counts. One row per model is joined back.
+    """
+    best = F.max if pick == "newest" else F.min
+    of_run = ["run_ts", *[c for c in ("dataset_name",) if c in runs.columns]]
+    chosen = runs.groupBy("model_name").agg(best(F.struct(*of_run)).alias("run")).select("model_name", "run.*")
+    same = [runs[c].eqNullSafe(chosen[c]) for c in ("model_name", *of_run)]
+    return runs.join(chosen, reduce(Column.__and__, same), "left_semi")
 
 
-def metric_matrix(runs: DataFrame, models: Sequence[str], pick: str = "newest") -> DataFrame:
-    """Model by metric over the union of the chosen models' metrics, missing as 0."""
+def metric_matrix(runs: DataFrame, models: Sequence[str], names: Sequence[str], pick: str = "newest") -> DataFrame:
+    """Model by metric ``names``, missing as 0. ``melt_metrics`` of ``pick_run`` is the long form, for names that are not known."""
     chosen = pick_run(runs.where(F.col("model_name").isin(list(models))), pick)
-    names = metric_names(chosen)
-    return chosen.groupBy("model_name").pivot("metric", names).agg(F.first("value")).fillna(0.0, names)
+    return chosen.groupBy("model_name").pivot("metric", list(names)).agg(F.max("value")).fillna(0.0, list(names))
 
 
 def timeline(runs: DataFrame) -> DataFrame:

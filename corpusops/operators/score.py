@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from corpusops.functions.text import contains_any, pieces, present, py_strip, py_words
 from corpusops.operators.validate import is_valid_sql
+from corpusops.plans.scale import dense_positions
 
 # fixed values: keyword lists and metric parameters
 SQL_TEST_KEYWORDS = ("SELECT", "FROM", "WHERE", "JOIN", "INSERT", "UPDATE", "DELETE")
@@ -372,25 +373,29 @@ def _as_rows(row: DataFrame) -> DataFrame:
     return row.select(F.inline(cells)).where("value IS NOT NULL")
 
 
-def metric_rows(pairs: DataFrame) -> DataFrame:
-    """All metrics of a pair set as ``name, value``; SQL metrics only if the references look like SQL.
+def metric_rows(pairs: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+    """All metrics of a pair set as ``name, value``, and ``is_sql_dataset`` (1 or 0), by which readers choose whether SQL metrics count.
 
-    The text metrics share one shuffle of the texts.
+    The text metrics share one shuffle of the texts. With ``vectors`` (see ``embedding_f1``) the mean precision, recall and F1
+    of the token embeddings are metrics too.
     """
-    whole = _as_rows(pairs.agg(_match_share(), *_sql_shares()))
-    rows = whole.where(~F.col("name").startswith("sql_") | is_sql_dataset(pairs).scalar())
+    rows = _as_rows(pairs.agg(_match_share(), *_sql_shares()))
+    rows = rows.union(is_sql_dataset(pairs).select(F.lit("is_sql_dataset").alias("name"), F.col("is_sql").cast("double").alias("value")))
+    if vectors is not None:
+        means = [F.avg(c).alias(f"embedding_{c}") for c in ("precision", "recall", "f1")]
+        rows = rows.union(_as_rows(embedding_f1(vectors).agg(*means)))
     for part in (bleu(pairs), rouge(pairs), rouge_l(pairs), meteor(pairs)):
         rows = rows.union(_as_rows(part))
     return rows
 
 
-def evaluate(pairs: DataFrame, model: str, dataset: str = "test_dataset", timestamp=None) -> DataFrame:
+def evaluate(pairs: DataFrame, model: str, dataset: str = "test_dataset", timestamp=None, vectors: DataFrame | None = None) -> DataFrame:
     """One result row: model, dataset, time, metrics map, performance map, number of examples.
 
     The examples themselves stay a frame (``run_examples``): a run may have any number of them.
     """
     hits = pairs.where(F.col("prediction").isNotNull())
-    rows = metric_rows(pairs).select(F.lit("metric").alias("kind"), "name", "value")
+    rows = metric_rows(pairs, vectors).select(F.lit("metric").alias("kind"), "name", "value")
     if "response_time_ms" in pairs.columns:
         perf = _as_rows(perf_summary(throughput(hits)))
         rows = rows.union(perf.select(F.lit("perf").alias("kind"), "name", "value"))
@@ -411,9 +416,11 @@ def evaluate(pairs: DataFrame, model: str, dataset: str = "test_dataset", timest
     )
 
 
-def run_examples(pairs: DataFrame, keep: Sequence[str] = ("id", "instruction", "input")) -> DataFrame:
-    """The examples of a run that got a prediction."""
-    return pairs.where(F.col("prediction").isNotNull()).select(
-        *[c for c in keep if c in pairs.columns],
+def run_examples(pairs: DataFrame, keep: Sequence[str] = ("id", "instruction", "input"), position: str | None = None) -> DataFrame:
+    """The examples of a run that got a prediction; ``position`` names a column with their place by id, as ``compare_examples`` needs it."""
+    held = pairs.where(F.col("prediction").isNotNull())
+    held = dense_positions(held, ["id"], position) if position else held
+    return held.select(
+        *[c for c in keep if c in pairs.columns], *([position] if position else []),
         F.col("reference").alias("expected_output"), F.col("prediction").alias("predicted_output"),
     )

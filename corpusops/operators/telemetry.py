@@ -389,10 +389,16 @@ def threshold_breaches(metrics: DataFrame, thresholds: dict[str, float] = SYSTEM
     return metrics.select(*keep, F.inline(F.array(*cells))).where("value > threshold")
 
 
-def retain(df: DataFrame, ts: str, days: int = 30) -> DataFrame:
-    """Rows not older than ``days`` before the newest row."""
-    newest = df.agg(F.max(ts) - F.make_interval(days=F.lit(days)))
-    return df.where(F.col(ts) >= newest.scalar())
+def retain(df: DataFrame, ts: str, days: int = 30, day: str | None = None) -> DataFrame:
+    """Rows not older than ``days`` before the newest row.
+
+    ``day`` names the column a table is partitioned by, the date of ``ts``: the newest row is then looked for in the newest partition
+    only, partitions before the limit are not read, and ``ts`` decides in the first one that is.
+    """
+    rows = df.where(F.col(day) == df.agg(F.max(day)).scalar()) if day else df
+    limit = rows.agg((F.max(ts) - F.make_interval(days=F.lit(days))).alias("limit"))
+    kept = df.where(F.col(day) >= limit.select(F.to_date("limit")).scalar()) if day else df
+    return kept.where(F.col(ts) >= limit.scalar())
 
 
 def cache_hit_rate(log: DataFrame, by: Column | None = None) -> DataFrame:

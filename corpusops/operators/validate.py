@@ -83,8 +83,8 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     return df.agg(unique.alias("unique_instructions"), (F.count("*") - unique).alias("duplicate_instructions"))
 
 
-def issue_report(df: DataFrame, cap: int | None = ISSUE_CAP, structural: DataFrame | None = None) -> DataFrame:
-    """The first ``cap`` structural issues by id and field (all without a cap), and every empty output.
+def issue_report(df: DataFrame, cap: int | None = None, structural: DataFrame | None = None) -> DataFrame:
+    """All structural issues (with a ``cap``, such as ``ISSUE_CAP``, the first ones by id and field), and every empty output.
 
     Without ``structural`` (see ``structure_issues`` of the readers) a null field is an issue.
     """
@@ -193,11 +193,11 @@ def quality_score(report: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, gate: float = GOOD, cap: int | None = ISSUE_CAP,
+def validate(df: DataFrame, gate: float = GOOD, cap: int | None = None,
              structural: DataFrame | None = None) -> DataFrame:
     """The whole report as one row: counts, averages, SQL and diversity totals, score, verdict, gate.
 
-    Sums take one row per task; digests are counted on their own, so that only they are shuffled. Stored issues are at most ``cap`` structural ones (all without a cap) plus
+    Sums take one row per task; digests are counted on their own, so that only they are shuffled. Issues are all structural ones (at most ``cap``, if given) plus
     every empty output, and an empty output therefore costs points twice. Without ``structural`` a
     null field is a structural issue.
     """

@@ -31,12 +31,26 @@ def register(q: Registry) -> None:
     for pick, best in (("newest", "max"), ("oldest", "min")):
         q.add(
             f"c03_metric_matrix_{pick}",
-            lambda t, pick=pick: c.metric_matrix(t("runs"), ["model-en", "model-fr", "model-de"], pick),
+            lambda t, pick=pick: c.metric_matrix(t("runs"), ["model-en", "model-fr", "model-de"], ["bleu", "exact_match", "rouge1"], pick),
             "SELECT model_name, " + ", ".join(f"coalesce(max(CASE WHEN metric = '{m}' THEN value END), 0) AS {m}" for m in ("bleu", "exact_match", "rouge1"))
             + f""" FROM runs r WHERE model_name IN ('model-en', 'model-fr', 'model-de')
                   AND run_ts = (SELECT {best}(run_ts) FROM runs n WHERE n.model_name = r.model_name) GROUP BY model_name""",
             runs,
         )
+    # the newest run of a model is one dataset's, also where two have the same time
+    two = ("two_dataset_runs",)
+    of_run = lambda m: f"(SELECT * FROM two_dataset_runs WHERE model_name = '{m}' AND (run_ts, dataset_name) = (SELECT (run_ts, dataset_name) FROM two_dataset_runs WHERE model_name = '{m}' ORDER BY run_ts DESC, dataset_name DESC LIMIT 1))"
+    q.add(
+        "c03_metric_matrix_two_datasets", lambda t: c.metric_matrix(t("two_dataset_runs"), ["model-en", "model-fr"], ["bleu", "exact_match", "rouge1"]),
+        " UNION ALL ".join("SELECT model_name, " + ", ".join(f"coalesce(max(CASE WHEN metric = '{m}' THEN value END), 0) AS {m}" for m in ("bleu", "exact_match", "rouge1")) + f" FROM {of_run(model)} GROUP BY model_name" for model in ("model-en", "model-fr")),
+        two,
+    )
+    q.add(
+        "c05_compare_two_datasets", lambda t: rounded(c.compare(t("two_dataset_runs"), "model-en", "model-fr")),
+        f"""SELECT {LABEL.replace('CASE metric', 'CASE a.metric')} AS metric, a.value AS value_a, b.value AS value_b, round(a.value - b.value, 6) AS difference
+            FROM {of_run('model-en')} a JOIN {of_run('model-fr')} b ON a.metric = b.metric""".replace("string_split(metric", "string_split(a.metric"),
+        two,
+    )
     q.add(
         "c04_timeline", lambda t: rounded(c.timeline(t("runs"))),
         """SELECT model_name, dataset_name, run_ts, round(avg(value), 6) AS score, count(*) AS metrics_count FROM runs

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusops.operators import cost, prepare, telemetry
 from corpusops.plans.registry import SPACE, WORD, Registry, blank, words
-from corpusops.sources import files
+from corpusops.sources import arrays, files
 from corpusops.sources import telemetry as metrics
 from corpusops.streaming.telemetry import new_folder
 
@@ -70,10 +70,57 @@ def _ingest(t):
     return spark.read.parquet(f"{folder}/index").select("service", "day", "message")
 
 
+def _by_day(t):
+    """The request log as a table of daily partitions."""
+    rows = t("requests").withColumn("day", F.to_date("ts"))
+    path = f"{new_folder(rows.sparkSession, 'days')}/requests"
+    rows.write.partitionBy("day").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _sliced(t):
+    """The first rows of a written table, by its order column."""
+    rows = t("foreign_examples")
+    path = f"{new_folder(rows.sparkSession, 'slice')}/rows.parquet"
+    rows.write.parquet(path)
+    return files.read_examples(rows.sparkSession, path, head=files.PRESET_SIZES["medium"], ordinal="ordinal")
+
+
+def _array(t):
+    """Examples written as array documents and read element by element."""
+    rows = t("examples").select("id", "instruction", "input", "output")
+    path = f"{new_folder(rows.sparkSession, 'array')}/examples.json"
+    arrays.write_array(rows, path, "id")
+    return files.read_examples(rows.sparkSession, path, "id bigint, " + files.ALPACA_SCHEMA).drop(files.CORRUPT)
+
+
+def _training_source(t):
+    rows = t("examples").select("instruction", "input", "output")
+    path = f"{new_folder(rows.sparkSession, 'training')}/train.jsonl"
+    rows.write.json(path)
+    return files.read_training(rows.sparkSession, {"type": "json", "path": path, "file_format": "jsonl"}).drop(files.CORRUPT)
+
+
+def _runs_read(t):
+    """Result files as they are stored, one per run, and the metrics in them."""
+    runs = t("runs")
+    folder = new_folder(runs.sparkSession, "runs")
+    entry = F.struct("metric", "value")
+    made = runs.groupBy("model_name", "dataset_name", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("metrics"))
+    text = F.to_json(F.struct("model_name", "dataset_name", "timestamp", "metrics"))
+    name = F.concat_ws("_", "model_name", F.replace(F.substring("timestamp", 1, 10), F.lit("-"), F.lit("")))
+    made.select(text.alias("value"), name.alias("run")).write.partitionBy("run").text(f"{folder}/evaluation_results_all.json")
+    read = files.read_runs(runs.sparkSession, folder)
+    return read.select("model_name", "dataset_name", F.col("timestamp").alias("run_ts"), F.explode("metrics").alias("metric", "value"))
+
+
 def register(q: Registry) -> None:
+    q.add("s01_json_array", _array, "SELECT id, instruction, input, output FROM examples", ("examples",))
+    q.add("s05_read_runs", _runs_read, "SELECT model_name, dataset_name, run_ts, metric, value FROM runs", ("runs",))
+    q.add("s06_training_source", _training_source, "SELECT instruction, input, output FROM examples", ("examples",))
     q.add(
-        "s04_head_slice",
-        lambda t: t("foreign_examples").orderBy("ordinal").limit(files.PRESET_SIZES["medium"]),
+        "s04_head_slice", _sliced,
         "SELECT * FROM foreign_examples ORDER BY ordinal LIMIT 1000", ("foreign_examples",),
     )
     q.add(
@@ -129,6 +176,11 @@ def register(q: Registry) -> None:
         "s12_ingest_logs", _ingest,
         "SELECT 'application' AS service, day, value AS message FROM log_lines", ("log_lines",),
     )
+    q.add(
+        "s13_retain_partitions", lambda t: telemetry.retain(_by_day(t), "ts", 7, day="day").select("request_id", "ts"),
+        "SELECT request_id, ts FROM requests WHERE ts >= (SELECT max(ts) FROM requests) - INTERVAL 7 DAYS",
+        ("requests",),
+    )
     q.add(
         "s13_retain", lambda t: telemetry.retain(t("requests"), "ts", 7).select("request_id", "ts"),
         "SELECT request_id, ts FROM requests WHERE ts >= (SELECT max(ts) FROM requests) - INTERVAL 7 DAYS",

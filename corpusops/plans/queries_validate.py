@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from corpusops.operators import validate as v
 from corpusops.plans.registry import Registry, any_of, blank, rounded, strip, words
-from corpusops.sources import files
+from corpusops.sources import arrays, files
+from corpusops.streaming.telemetry import new_folder
 
 INS, INP, OUT = (f"coalesce({f}, '')" for f in v.FIELDS)
 LOOKS_SQL = any_of(f"upper({OUT})", v.SQL_KEYWORDS)
@@ -18,7 +19,8 @@ STRICT = (f"(NOT {blank(OUT)} AND len(regexp_extract_all({OUT}, '\\(')) = len(re
 MISSING = " + ".join(f"CASE WHEN {f} IS NULL THEN 1 ELSE 0 END" for f in v.FIELDS)
 
 
-def _report_sql(view: str) -> str:
+def _report_sql(view: str, cap: int | None = None) -> str:
+    least = "structural_issues" if cap is None else f"least(structural_issues, {cap})"
     domains = ", ".join(f"count(*) FILTER ({any_of(f'lower({INS})', w)}) AS domain_{d}" for d, w in v.DOMAINS.items())
     levels = ", ".join(f"count(*) FILTER ({LEVEL} = '{c}') AS complexity_{c}" for c in v.COMPLEXITY)
     lengths = ", ".join(f"round(avg(length(coalesce({f}, ''))), 6) AS avg_{f}_length" for f in v.FIELDS)
@@ -30,7 +32,7 @@ def _report_sql(view: str) -> str:
                    count(DISTINCT {INS}) AS unique_instructions, count(*) FILTER ({LOOKS_SQL}) AS total_sql_examples,
                    count(*) FILTER ({LOOKS_SQL} AND NOT {blank('output')}) AS valid_sql, {levels}, {domains} FROM {view}),
         d AS (SELECT *, total_examples - unique_instructions AS duplicate_instructions,
-                     least(structural_issues, 10) + empty_outputs AS issues, total_examples - empty_outputs AS valid_examples FROM s),
+                     {least} + empty_outputs AS issues, total_examples - empty_outputs AS valid_examples FROM s),
         e AS (SELECT *, greatest(0.0::DOUBLE, least(100.0::DOUBLE, 100.0::DOUBLE - issues * 2 - empty_outputs::DOUBLE / total_examples * 30
                      - very_short_instructions::DOUBLE / total_examples * 10 - duplicate_instructions::DOUBLE / total_examples * 15
                      + CASE WHEN unique_instructions::DOUBLE / total_examples > 0.9::DOUBLE THEN 5 ELSE 0 END)) AS score FROM d)
@@ -47,6 +49,22 @@ def _raw_lines(t):
     return r.select("id", F.when(F.col("id") % 101 == 0, F.lit("[1, 2]")).when(odd, as_number).otherwise(as_text).alias("line"))
 
 
+def _array_issues(t):
+    """The same rows as elements of array documents, judged from their text."""
+    lines = _raw_lines(t)
+    path = f"{new_folder(lines.sparkSession, 'raw')}/raw.json"
+    arrays.write_array(lines, path, "id", line="line")
+    return files.structure_issues(files.read_raw_examples(lines.sparkSession, path))
+
+
+def _report_read(t):
+    """A report written as JSON and read back."""
+    report = rounded(v.length_stats(t("raw_examples")))
+    path = f"{new_folder(report.sparkSession, 'report')}/report.json"
+    files.write_report(report, path)
+    return report.sparkSession.read.schema(report.schema).json(path)
+
+
 def register(q: Registry) -> None:
     raw = ("raw_examples",)
     listed = "(id % 101 = 0)"
@@ -59,12 +77,24 @@ def register(q: Registry) -> None:
             UNION ALL SELECT id, 'instruction', 'not a string' FROM raw_examples WHERE id % 89 = 0 AND NOT {listed}""",
         raw,
     )
+    q.add(
+        "v01_v03_array_issues", lambda t: _array_issues(t).groupBy("field", "issue").agg(F.count("*").alias("n")),
+        f"""SELECT '' AS field, 'not an object' AS issue, count(*) AS n FROM raw_examples WHERE {listed}
+            UNION ALL SELECT gone, 'missing', count(*) FROM (SELECT concat_ws(',',
+                CASE WHEN instruction IS NULL AND id % 89 <> 0 THEN 'instruction' END, CASE WHEN input IS NULL THEN 'input' END,
+                CASE WHEN output IS NULL THEN 'output' END) AS gone FROM raw_examples WHERE NOT {listed}) WHERE gone <> '' GROUP BY gone
+            UNION ALL SELECT 'instruction', 'not a string', count(*) FROM raw_examples WHERE id % 89 = 0 AND NOT {listed}""",
+        raw,
+    )
+    q.add("v04_all_issues", lambda t: v.issue_report(t("raw_examples")), " UNION ALL ".join(
+        f"SELECT id, '{f}' AS field, 'missing' AS issue FROM raw_examples WHERE {f} IS NULL" for f in v.FIELDS)
+        + f" UNION ALL SELECT id, 'output', 'empty output' FROM raw_examples WHERE {blank('output')}", raw)
     q.add(
         "v02_missing_fields", lambda t: v.missing_fields(t("raw_examples")),
         " UNION ALL ".join(f"SELECT id, '{f}' AS field FROM raw_examples WHERE {f} IS NULL" for f in v.FIELDS), raw,
     )
     q.add(
-        "v04_issue_report", lambda t: v.issue_report(t("raw_examples")),
+        "v04_issue_report", lambda t: v.issue_report(t("raw_examples"), cap=v.ISSUE_CAP),
         "SELECT * FROM (" + " UNION ALL ".join(
             f"SELECT id, '{f}' AS field, 'missing' AS issue FROM raw_examples WHERE {f} IS NULL" for f in v.FIELDS)
         + f" ORDER BY id, field LIMIT 10) UNION ALL SELECT id, 'output', 'empty output' FROM raw_examples WHERE {blank('output')}",
@@ -78,6 +108,7 @@ def register(q: Registry) -> None:
                 f"max(length(coalesce({f}, '')))::INTEGER AS max_{f}_length" for f in v.FIELDS) + f" FROM {view}",
             (view,),
         )
+    q.add("s07_report_round_trip", _report_read, q.queries["v05_length_stats"].sql)
     for name, view in (("v06_v07_v08_content_flags", "raw_examples"), ("v06_v07_v08_content_flags_prose", "examples")):
         q.add(
             name, lambda t, view=view: v.content_flags(t(view)),
@@ -144,3 +175,4 @@ def register(q: Registry) -> None:
     )
     for name, view in (("v16_v17_v18_report", "examples"), ("v16_v17_v18_report_sql", "raw_examples")):
         q.add(name, lambda t, view=view: rounded(v.validate(t(view))), _report_sql(view), (view,))
+    q.add("v16_v17_v18_report_ten_issues", lambda t: rounded(v.validate(t("raw_examples"), cap=v.ISSUE_CAP)), _report_sql("raw_examples", v.ISSUE_CAP), raw)

@@ -7,6 +7,7 @@ partitions or from time chunks, and only one summary row per partition or chunk
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +35,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that later passes read only the columns they need and see the same rows."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null equals null. Whether a side is broadcast is left to adaptive execution."""
     renamed = right.select(*[F.col(k).alias(f"__right_{k}") for k in keys], *[c for c in right.columns if c not in keys])

@@ -131,6 +131,10 @@ VIEWS = {
         SELECT model_name, dataset_name, run_ts, 'avg_response_time_ms' AS metric, avg_response_time_ms AS value FROM {run_scores}
         UNION ALL SELECT model_name, dataset_name, run_ts, 'max_response_time_ms', max_response_time_ms FROM {run_scores}
         UNION ALL SELECT model_name, dataset_name, run_ts, 'avg_tokens_per_second', avg_tokens_per_second FROM {run_scores}""",
+    # every run twice, on two datasets at one time
+    "two_dataset_runs": """
+        SELECT model_name, dataset_name, run_ts, metric, value FROM {runs}
+        UNION ALL SELECT model_name, 'another_dataset', run_ts, metric, value / 2 FROM {runs}""",
     # examples kept by two models' runs
     "run_outputs": """
         SELECT concat('model-', CASE WHEN id % 2 = 0 THEN 'en' ELSE 'fr' END) AS model_name,

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from corpusops.functions.text import present
 from corpusops.operators.prepare import head as first_rows
+from corpusops.plans.scale import dense_positions, shared_table
+from corpusops.sources.arrays import CORRUPT, array_elements, read_array
 
 REQUIRED_FIELDS = ("instruction", "input", "output")
-CORRUPT = "_corrupt_record"
 
 ALPACA_SCHEMA = "instruction string, input string, output string"
 RUN_SCHEMA = """
@@ -34,29 +35,35 @@ def read_examples(
 ) -> DataFrame:
     """Instruction rows from ``.json`` (documents holding one array), ``.jsonl`` or ``.parquet``.
 
-    A ``.json`` document is parsed by one task, so large sets belong in ``.jsonl``. Rows that are not objects keep their text in ``_corrupt_record``. ``head`` keeps the first
-    rows by ``ordinal``; without an ordinal it is a plain limit.
+    Rows that are not objects keep their text in ``_corrupt_record``. ``head`` keeps the first rows by ``ordinal``; elements of array
+    documents have an order of their own, other formats need the column named.
     """
     kind = file_format or _suffix(path).lstrip(".")
-    with_corrupt = f"{schema}, {CORRUPT} string"
+    order = [ordinal] if ordinal else []
     if kind == "json":
-        df = spark.read.schema(with_corrupt).json(path, multiLine=True)
+        df, order = read_array(spark, path, schema), order or ["file", "ordinal"]
     elif kind == "jsonl":
-        df = spark.read.schema(with_corrupt).json(path)
+        df = spark.read.schema(f"{schema}, {CORRUPT} string").json(path)
     elif kind == "parquet":
         df = spark.read.parquet(path)
     else:
         raise ValueError(f"Unsupported file format: {kind or path}")
-    if head:
-        return first_rows(df, head, [ordinal]) if ordinal else df.limit(head)
-    return df
+    if head and not order:
+        raise ValueError("the first rows of this format need an ordinal column")
+    df = first_rows(df, head, order) if head else df
+    return df.drop("file", "ordinal") if kind == "json" else df
 
 
 def read_raw_examples(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines with the text of every row kept, so that absent and null fields differ."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("id"), F.col("value").alias("line")
-    )
+    """(id, line): the text of every row of JSON Lines, or of every element of ``.json`` array documents, so that absent and null fields differ.
+
+    ``id`` counts from 0 in the order of files and places, whatever reads them.
+    """
+    if _suffix(path) == ".json":
+        return dense_positions(array_elements(spark, path), ["file", "ordinal"], "id").select("id", "line")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), F.monotonically_increasing_id().alias("at")]
+    lines = shared_table(spark.read.text(path).select(*place, F.col("value").alias("line")), "lines")
+    return dense_positions(lines, ["file", "range", "at"], "id").select("id", "line")
 
 
 def read_training(spark: SparkSession, config: Mapping[str, object]) -> DataFrame:
@@ -119,12 +126,11 @@ def structure_issues(raw: DataFrame, fields: Sequence[str] = REQUIRED_FIELDS) ->
     A row that is not an object gives one issue, all its missing fields together give one, and every
     field that is present but not a string (null included) gives one.
     """
-    parsed = raw.withColumn("doc", F.try_parse_json("line"))
-    is_object = F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False))
-    # a JSON null keeps its key in the document but yields no value
-    keys = F.coalesce(F.json_object_keys("line"), F.array().cast("array<string>"))
-    has = lambda f: F.array_contains(keys, f)
-    kind = lambda f: F.coalesce(F.schema_of_variant(F.try_variant_get("doc", f"$.{f}", "variant")), F.lit("VOID"))
+    # one parse; a JSON null keeps its key
+    parsed = raw.withColumn("doc", F.try_variant_get(F.try_parse_json("line"), "$", "map<string,variant>"))
+    is_object = F.col("doc").isNotNull()
+    has = lambda f: F.map_contains_key("doc", f)
+    kind = lambda f: F.coalesce(F.schema_of_variant(F.col("doc")[f]), F.lit("VOID"))
     missing = F.array_join(present([(f, ~has(f)) for f in fields]), ",")
     wrong = present([(f, has(f) & (kind(f) != "STRING")) for f in fields])
     issue = lambda field, text: F.struct(field.alias("field"), F.lit(text).alias("issue"))

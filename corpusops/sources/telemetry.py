@@ -40,20 +40,6 @@ def parse_exposition(lines: DataFrame, ts: str = "ts", line: str = "line") -> Da
     )
 
 
-def at_scrape_interval(samples: DataFrame, job: str = "job") -> DataFrame:
-    """Keep each job's latest sample per scrape interval."""
-    seconds = F.lit(DEFAULT_SCRAPE_SECONDS)
-    for name, every in SCRAPE_SECONDS.items():
-        seconds = F.when(F.col(job) == name, every).otherwise(seconds)
-    slot = F.floor(F.unix_timestamp("ts") / seconds)
-    return (
-        samples.withColumn("labels", F.to_json("labels"))
-        .groupBy(job, "metric", "labels", slot.alias("slot"))
-        .agg(F.max(F.struct("ts", "value")).alias("s"))
-        .select(job, "metric", F.from_json("labels", "map<string,string>").alias("labels"), "s.ts", "s.value")
-    )
-
-
 def service_of(path: Column, services: Mapping[str, str] = LOG_SERVICES) -> Column:
     tag = F.lit(None).cast("string")
     for folder, service in services.items():

@@ -1,12 +1,13 @@
 """Sources, preparation and validation on small hand-made data."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusops.operators import prepare, validate
-from corpusops.sources import files, telemetry
+from corpusops.sources import arrays, files, telemetry
 
 ROWS = [
     # id, instruction, input, output
@@ -56,7 +57,7 @@ def test_score_stays_between_0_and_100(spark, examples):
 
 def test_issue_cap(spark):
     rows = spark.createDataFrame([(i, None, "a", "") for i in range(30)], SCHEMA)
-    report = validate.issue_report(rows)
+    report = validate.issue_report(rows, cap=validate.ISSUE_CAP)
     assert report.where("issue = 'missing'").count() == 10
     assert report.where("issue = 'empty output'").count() == 30
 
@@ -64,7 +65,7 @@ def test_issue_cap(spark):
 def test_all_issues_without_a_cap(spark):
     rows = spark.createDataFrame([(i, None, "a", "") for i in range(30)], SCHEMA)
     assert validate.issue_report(rows, cap=None).where("issue = 'missing'").count() == 30
-    assert (validate.validate(rows, cap=None).first()["issues"], validate.validate(rows).first()["issues"]) == (60, 40)
+    assert (validate.validate(rows).first()["issues"], validate.validate(rows, cap=validate.ISSUE_CAP).first()["issues"]) == (60, 40)
 
 
 def test_strict_sql(spark):
@@ -92,6 +93,47 @@ def test_json_array_lines_and_rejected_suffix(spark, tmp_path):
         files.read_examples(spark, str(tmp_path / "c.yaml"))
 
 
+def test_array_documents_are_read_by_byte_ranges(spark, tmp_path):
+    """Ranges of 200 bytes begin anywhere: in strings, after escapes, at any depth."""
+    rng = random.Random(1)
+
+    def value(depth=0):
+        r = rng.random()
+        if r < 0.5 or depth > 3:
+            return rng.choice(["a,b", 'x"y,', "\\\\,", "[", "]}", "{,", "\n,", "é", '\\",[', "", "tail\\"])
+        if r < 0.6:
+            return rng.choice([1, 2.5, None, True])
+        if r < 0.8:
+            return [value(depth + 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(["k", "[", "a,"]): value(depth + 1) for _ in range(rng.randrange(3))}
+
+    docs = {f"f{k}.json": [value() for _ in range(n)] for k, n in enumerate((0, 1, 3, 150, 150))}
+    for k, (name, rows) in enumerate(docs.items()):
+        (tmp_path / name).write_text(("\n " if k % 2 else "") + json.dumps(rows, indent=[None, 1][k % 2], ensure_ascii=bool(k % 3)) + "\n")
+    (tmp_path / "object.json").write_text('{"a": [1, 2], "b": "x"}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        found = {}
+        for r in arrays.array_elements(spark, str(tmp_path)).collect():
+            found.setdefault(r["file"].rsplit("/", 1)[-1], {})[r["ordinal"]] = r["line"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found.pop("object.json") == {0: '{"a": [1, 2], "b": "x"}'}
+    for name, rows in docs.items():
+        got = found.get(name, {})
+        assert sorted(got) == list(range(len(rows))) and [json.loads(got[i]) for i in sorted(got)] == rows
+
+
+def test_scalar_elements_are_corrupt_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"instruction": "i", "input": "", "output": "o"}, 5, "x", null, [1, {"a": 2}]]')
+    rows = files.read_examples(spark, str(tmp_path / "a.json")).collect()
+    assert sorted((r["instruction"], r[files.CORRUPT]) for r in rows if r["instruction"]) == [("i", None)]
+    assert len(rows) == 5
+    with pytest.raises(ValueError):
+        files.read_examples(spark, str(tmp_path / "a.json"), head=3, file_format="jsonl")
+
+
 def test_structure_issues_of_raw_lines(spark, tmp_path):
     path = tmp_path / "d.jsonl"
     path.write_text("\n".join([
@@ -162,13 +204,6 @@ def test_samples_read_alike_as_table_and_stream(spark, tmp_path):
     assert run_available(telemetry.read_samples(spark, str(folder), streaming=True)).collect() == table
 
 
-def test_scrape_interval_keeps_the_latest_sample(spark):
-    rows = [("llm-api", "up", {"a": "b"}, float(s), float(s)) for s in (0, 4, 9, 10)] + [("node", "up", {}, 14.0, 1.0)]
-    df = spark.createDataFrame(rows, "job string, metric string, labels map<string,string>, at double, value double")
-    kept = telemetry.at_scrape_interval(df.withColumn("ts", F.timestamp_seconds("at")).drop("at"))
-    assert sorted((r["job"], r["value"]) for r in kept.collect()) == [("llm-api", 9.0), ("llm-api", 10.0), ("node", 1.0)]
-
-
 def test_log_ingestion(spark, tmp_path):
     folder = tmp_path / "app" / "logs"
     folder.mkdir(parents=True)

@@ -22,11 +22,14 @@ def runs(spark):
     return spark.createDataFrame(rows, "model_name string, dataset_name string, run_ts timestamp, metric string, value double")
 
 
+METRICS = ["bleu", "new_metric"]
+
+
 def test_metric_matrix_picks_newest_or_oldest(runs):
-    rows = {r["model_name"]: r.asDict() for r in compare.metric_matrix(runs, ["a", "b"]).collect()}
+    rows = {r["model_name"]: r.asDict() for r in compare.metric_matrix(runs, ["a", "b"], METRICS).collect()}
     assert (rows["a"]["bleu"], rows["a"]["new_metric"], rows["b"]["new_metric"]) == (0.3, 0.9, 0.0)
-    oldest = {r["model_name"]: r.asDict() for r in compare.metric_matrix(runs, ["a", "b"], "oldest").collect()}
-    assert oldest["a"] == {"model_name": "a", "bleu": 0.5}
+    oldest = {r["model_name"]: r.asDict() for r in compare.metric_matrix(runs, ["a", "b"], METRICS, "oldest").collect()}
+    assert oldest["a"] == {"model_name": "a", "bleu": 0.5, "new_metric": 0.0}
 
 
 def test_compare_and_labels(runs):

@@ -125,7 +125,9 @@ def test_sql_metrics_and_gate(spark):
     assert row["sql_keyword_accuracy"] == 1 / 4
     assert score.is_sql_dataset(pairs).first()[0] is True
     prose = pairs_of(spark, ("hello there", "hello"))
-    assert {r["name"] for r in score.metric_rows(prose).collect()} == {"exact_match", "bleu", "rouge1", "rouge2", "rougeL", "meteor"}
+    rows = {r["name"]: r["value"] for r in score.metric_rows(prose).collect()}
+    assert set(rows) == {"exact_match", "bleu", "rouge1", "rouge2", "rougeL", "meteor", "sql_syntax_validity", "sql_keyword_accuracy", "is_sql_dataset"}
+    assert rows["is_sql_dataset"] == 0.0
 
 
 def test_evaluate_row(spark):
