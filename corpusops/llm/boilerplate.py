@@ -190,22 +190,33 @@ def main_texts(pages: list[str]) -> list[tuple[str, int, int]]:
 
 # --- passages shared across a host, by exchange of hashes between blocks of pages ---------------
 
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.int64()), ("block", pa.int64()), ("times", pa.int64()), ("roles", pa.string()), ("text", pa.string())])
+_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.int64()), ("times", pa.int64()), ("roles", pa.string()), ("text", pa.string())])
 _SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_tokens", pa.int64()), ("n_shared", pa.int64())])
 _SENT = "part long, block long, data binary"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages as their blocks, one a line. Equal rows of a batch become one, so that a group of them does not fill one block of pages."""
+    """(block, data): pages as their blocks, one a line. The pages of a batch that go to one block of pages are packed and compressed together.
+
+    Equal rows of a batch become one, so that a group of them does not fill one block of pages.
+    """
     for batch in batches:
         rows: dict[tuple, int] = {}
         for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "block", "html")), strict=True):
             rows[row] = rows.get(row, 0) + 1
-        out = []
+        out: dict[int, list[tuple]] = {}
         for (page_id, url, host, block, page), times in rows.items():
             found = blocks(page or "")
-            out.append((page_id, url, host, block, times, "".join(str(r) for r, _ in found), "\n".join(b for _, b in found)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_PARSED)], schema=_PARSED)
+            out.setdefault(block, []).append((page_id, url, host, times, "".join(str(r) for r, _ in found), "\n".join(b for _, b in found)))
+        packed = [_packed(pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], f.type) for i, f in enumerate(_PARSED)], schema=_PARSED)) for found in out.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(packed, pa.binary())], names=["block", "data"])
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _PARSED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _passages(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -280,8 +291,10 @@ def _known(values: np.ndarray, back: pa.Table, parts: int, kind: type) -> np.nda
 
 
 def _slices(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    for batch in table.combine_chunks().to_batches():
-        yield from W.slices(batch)
+    """The packed pages of a block in runs of bounded size."""
+    for data in table.column("data"):
+        for batch in pa.ipc.open_stream(data.as_buffer()):
+            yield from W.slices(batch)
 
 
 def _send_grams(parts: int) -> Callable:
@@ -348,7 +361,7 @@ def extracted(pages: DataFrame, heavy_share: int = HEAVY_SHARE) -> DataFrame:
     parts = max(total.bytes // BLOCK_BYTES, total.n // max(total.n // heavy_share, 2 * PAGES)) + 1
     block = F.pmod(F.xxhash64("page_id", "url", F.crc32(F.coalesce("html", F.lit("")).cast("binary"))), F.lit(parts))
     rows = rows.select("page_id", "url", "html", F.xxhash64(name).alias("host"), block.cast("long").alias("block"))
-    dealt = rows.mapInArrow(_parse, "page_id long, url string, host long, block long, times long, roles string, text string")
+    dealt = rows.mapInArrow(_parse, "block long, data binary")
     grams = _sent_twice(dealt.groupBy("block").applyInArrow(_send_grams(parts), _SENT), np.uint32)
     passages = dealt.groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(_send_passages(parts), _SENT)
     shared = _sent_twice(passages, np.uint64)
