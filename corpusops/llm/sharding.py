@@ -12,13 +12,23 @@ from corpusops.llm.store import Workspace
 VIRTUAL_SLOTS = 4096
 SHARDS = 24
 ROW_BYTES = 8
+REPEATS = 4096
 
 
 def slotted(docs: DataFrame, slots: int = VIRTUAL_SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot): the slot is fixed by the record, never by shards. Null text: size 8, CRC of nothing."""
+    """(doc_id, size, text_crc32, virtual_slot): the slot is fixed by the record, never by shards. Null text: size 8, CRC of nothing.
+
+    Equal records are numbered and hashed with their number, so that a hot one is dealt over all slots. They are counted before the shuffle
+    and made again from the count, in two steps so that no task makes more than `REPEATS` at once.
+    """
     text = F.coalesce("text", F.lit("")).cast("binary")
+    record = ["doc_id", "size", "text_crc32"]
     rows = docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    return rows.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(slots)).cast("int"))
+    counted = rows.groupBy(*record).agg(F.count("*").alias("n"))
+    runs = counted.select(*record, "n", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1) - F.pmod(F.col("n") - 1, F.lit(REPEATS)), F.lit(REPEATS).cast("long"))).alias("from"))
+    each = runs.repartition(*record, "from").select(*record, F.explode(F.sequence("from", F.least(F.col("from") + REPEATS, "n") - 1)).alias("nth"))
+    own = F.when(F.col("nth") == 0, F.xxhash64(*record)).otherwise(F.xxhash64(*record, "nth"))
+    return each.select(*record, F.pmod(own, F.lit(slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_loads(rows: DataFrame) -> dict[int, tuple[int, int]]:
@@ -94,8 +104,8 @@ def assigned(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
 def shard(docs: DataFrame, shards: int = SHARDS, slots: int = VIRTUAL_SLOTS, previous: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows with shard and slot, map). Law: bytes; shards have near equal sizes. With a `previous` map only the slots that must move do.
 
-    Only doc_id, size and checksum are shuffled, not texts. Rows with null doc_id are dealt by size and checksum; equal rows take
-    neighbouring places; an empty table gives an empty one and a map all the same.
+    Only doc_id, size and checksum are shuffled, not texts. Rows with null doc_id are dealt by size and checksum; equal rows are dealt by
+    their number; an empty table gives an empty one and a map all the same.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "shards")
