@@ -1,6 +1,7 @@
 """Each training-data operator against a plain version, and on nulls, empty texts, ties, repeated rows, extra columns and empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -191,6 +192,23 @@ def test_shards(docs, none):
     assert sharding.shard(none)[0].count() == 0
 
 
+def test_shards_of_a_hot_row_are_near_equal(spark, monkeypatch):
+    """A third of the rows equal, without a doc_id: shards differ by a row's size at most, and no slot holds more than its share."""
+    monkeypatch.setattr(sharding, "REPEATS", 64)
+    rows = [(None, "the same text " * 12)] * 2000 + [(i, "x" * (i % 90)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sharding.shard(df, shards=24, slots=1024)[0].collect()
+    assert len(got) == len(rows)
+    size, slots = Counter(), Counter()
+    for r in got:
+        size[r.shard] += r.size
+        slots[r.virtual_slot] += 1
+    assert max(size.values()) - min(size.values()) <= max(r.size for r in got)
+    assert max(slots.values()) < 30
+    again = sharding.shard(df.repartition(7), shards=24, slots=1024)[0].collect()
+    assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in got)
+
+
 def test_edited_map_moves_few_slots_and_balances():
     loads = {v: (100 + v % 7, 1) for v in range(400)}
     owner = sharding.first_map(loads, 400, 4)
@@ -278,6 +296,34 @@ def test_shared_tokens_by_brute_force():
         assert set(np.flatnonzero(mask)) == wanted
 
 
+def test_ftrl_by_plain_form():
+    """Per coordinate: z and n of each feature, weights from them, gradients of the logistic loss."""
+    rng = random.Random(6)
+    examples = []
+    for _ in range(150):
+        y = rng.random() < 0.3
+        examples.append(([0, *sorted(rng.sample(range(1, 40), 6) + ([45] if y else []))], int(y)))
+    alpha, beta, l1, l2 = 0.7, 1.0, 0.5, 0.1
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(3):
+        for at, y in examples:
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in at:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    got = toxicity.fit([(np.array(at), y) for at, y in examples], 6, 3, alpha, beta, l1, l2)
+    assert got == pytest.approx([weight(i) for i in range(64)], abs=1e-12)
+    assert np.count_nonzero(got) < 45 and got[45] > 0
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(2)
     plain, bad = [f"w{i}" for i in range(300)], ["vile", "scum", "rot"]
