@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from types import MappingProxyType
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusops.functions.text import SPACE, is_blank, join_text, present, py_words, word_count
-from corpusops.plans.scale import dense_positions, first_by_hash
+from corpusops.functions.text import SPACE, is_blank, join_text, pieces, present, py_words, word_count
+from corpusops.plans.scale import dense_positions, first_by_hash, join_same
 from corpusops.plans.scale import head as first_positions
 
 # fixed values: prompt texts and templates the formats are defined by
@@ -252,31 +253,42 @@ def request_violations(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return check_requests(df).select(*keep, F.explode("violations").alias("field"))
 
 
-def _literal(text: str) -> str:
-    return "".join(c if c.isalnum() or c in " _" else f"\\x{{{ord(c):x}}}" for c in text)
+def phrase_table(spark: SparkSession, phrases: Mapping[str, str]) -> DataFrame:
+    """A dictionary as rows ``old, new``."""
+    return spark.createDataFrame(list(phrases.items()), "old string, new string")
 
 
-def augment(df: DataFrame, synonyms: Mapping[str, str], periods: Mapping[str, str],
+def _phrase_key(phrase: str) -> Column:
+    """What every text with the phrase holds as a whole run of word characters: the phrase's first run; of phrases without one, their first character."""
+    run = F.regexp_extract(phrase, r"\w+", 0)
+    return F.when(run != "", run).otherwise(F.substring(phrase, 1, 1))
+
+
+def augment(df: DataFrame, synonyms: Mapping[str, str] | DataFrame, periods: Mapping[str, str] | DataFrame = MappingProxyType({}),
             key: str = "id") -> DataFrame:
     """Originals plus one variant per replacement that occurs, applied to all three fields alike.
 
-    Replacements are whole words: no letter, digit or underscore touches them. Both sides are taken literally.
+    Replacements are whole words: no letter, digit or underscore touches them. Both sides are taken literally. Dictionaries are tables
+    ``old, new`` (or small mappings) of any size: the word runs of a row are joined with the first runs of the phrases, which touches ids
+    and words only, and a row meets the few phrases found so for the exact test. The plan does not grow with the dictionary.
     """
     fields = ("instruction", "input", "output")
-    original = F.struct(F.lit("original").alias("variant"), *[F.col(f) for f in fields])
-    variants = [original]
-    for old, new in {**synonyms, **periods}.items():
-        pattern = r"(?<!\w)" + _literal(old) + r"(?!\w)"
-        found = F.lit(False)
-        for f in fields:
-            found = found | F.col(f).rlike(pattern)
-        changed = F.struct(
-            F.lit(f"{old}->{new}").alias("variant"),
-            *[F.regexp_replace(f, pattern, re.sub(r"([\\$])", r"\\\1", new)).alias(f) for f in fields],
-        )
-        variants.append(F.when(found, changed))
-    rows = df.select(key, F.explode(F.array_compact(F.array(*variants))).alias("row"))
-    return rows.select(key, "row.*").where("instruction IS NOT NULL")
+    spark = df.sparkSession
+    tables = [t if isinstance(t, DataFrame) else phrase_table(spark, t) for t in (synonyms, periods)]
+    phrases = tables[0].select("old", "new").union(tables[1].select("old", "new")).where("old <> ''").distinct()
+    text = F.concat_ws("\n", *fields)
+    held = F.concat(pieces(text, r"\W+"), F.split(F.regexp_replace(text, r"\w", ""), ""))
+    runs = df.select(key, F.explode(F.array_distinct(held)).alias("__run"))
+    candidates = runs.join(phrases.withColumn("__run", _phrase_key("old")), "__run").select(key, "old", "new").distinct()
+
+    pattern = F.concat(F.lit(r"(?<!\w)\Q"), F.replace("old", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?!\w)"))
+    into = F.regexp_replace("new", r"([\\$])", r"\\$1")
+    met = join_same(df.select(key, *fields), candidates.select(key, pattern.alias("__pattern"), into.alias("__into"), F.concat("old", F.lit("->"), "new").alias("variant")), [key])
+    found = reduce(Column.__or__, [F.coalesce(F.regexp_like(f, F.col("__pattern")), F.lit(False)) for f in fields])
+    changed = [F.regexp_replace(f, F.col("__pattern"), F.col("__into")).alias(f) for f in fields]
+    variants = met.where(found).select(key, "variant", *changed)
+    original = df.select(key, F.lit("original").alias("variant"), *fields)
+    return original.union(variants).where("instruction IS NOT NULL")
 
 
 def class_shares(df: DataFrame, by: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -269,6 +270,30 @@ def test_replacements_are_literal(spark):
     assert [r["instruction"] for r in got] == ["$1 Rust\\ costs 5"]
 
 
+def test_replacements_by_a_table_of_phrases(spark):
+    rng = random.Random(4)
+    letters = ["a", "b", "ab", "c_d", "é", "++", "#", "a-b"]
+    make = lambda n: rng.choice(["", " "]).join(rng.choice(letters) for _ in range(n))
+    rows = [(i, make(6), rng.choice([None, make(3)]), make(4)) for i in range(60)] + [(None, "a b", "", "x"), (7, "again a", "", "")]
+    phrases = {make(rng.randint(1, 3)).strip(): f"<{i}$\\>" for i in range(80)} | {"\\E": "q", ".*": "z"}
+    phrases.pop("", None)
+    df = spark.createDataFrame(rows, "id int, instruction string, input string, output string").repartition(3)
+    got = sorted((str(r["id"]), r["variant"], r["instruction"], str(r["input"]), r["output"]) for r in prepare.augment(df, prepare.phrase_table(spark, phrases)).collect())
+    wanted = [(str(r[0]), "original", r[1], str(r[2]), r[3]) for r in rows]
+    for old, new in phrases.items():
+        pattern = re.compile(rf"(?<!\w){re.escape(old)}(?!\w)", re.ASCII)
+        for r in rows:
+            if any(pattern.search(t or "") for t in r[1:]):
+                wanted.append((str(r[0]), f"{old}->{new}", *[str(t) if t is None else pattern.sub(lambda _: new, t) for t in r[1:]]))  # noqa: B023
+    assert got == sorted(wanted) and len(got) > 100
+
+    def nodes(words):
+        plan = prepare.augment(df, words)._jdf.queryExecution().optimizedPlan().toString()
+        return [re.sub(r"[^A-Za-z].*", "", line.strip(" :+-")) for line in plan.splitlines()]
+
+    assert nodes({"a": "b", "c": "d"}) == nodes({f"w{i}": "x" for i in range(5000)})
+
+
 def test_request_constraints(spark):
     rows = [(1, None, 0, 0.5), (2, "p", None, None), (3, "p", 2049, 2.5), (4, "p", 2048, 2.0)]
     df = spark.createDataFrame(rows, "id bigint, prompt string, max_tokens bigint, temperature double")
