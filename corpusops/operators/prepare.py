@@ -259,27 +259,27 @@ def phrase_table(spark: SparkSession, phrases: Mapping[str, str]) -> DataFrame:
 
 
 def _phrase_key(phrase: str) -> Column:
-    """What every text with the phrase holds as a whole run of word characters: the phrase's first run; of phrases without one, their first character."""
+    """What every text with the phrase holds: the phrase's first run of word characters, which is a whole run there too; of phrases without one, their first mark."""
     run = F.regexp_extract(phrase, r"\w+", 0)
-    return F.when(run != "", run).otherwise(F.substring(phrase, 1, 1))
+    return F.when(run != "", run).otherwise(F.regexp_extract(phrase, r"[^\w\s]", 0))
 
 
 def augment(df: DataFrame, synonyms: Mapping[str, str] | DataFrame, periods: Mapping[str, str] | DataFrame = MappingProxyType({}),
             key: str = "id") -> DataFrame:
     """Originals plus one variant per replacement that occurs, applied to all three fields alike.
 
-    Replacements are whole words: no letter, digit or underscore touches them. Both sides are taken literally. Dictionaries are tables
+    Replacements are whole words: no letter, digit or underscore touches them. Both sides are taken literally; phrases of white space are left out. Dictionaries are tables
     ``old, new`` (or small mappings) of any size: the word runs of a row are joined with the first runs of the phrases, which touches ids
     and words only, and a row meets the few phrases found so for the exact test. The plan does not grow with the dictionary.
     """
     fields = ("instruction", "input", "output")
     spark = df.sparkSession
     tables = [t if isinstance(t, DataFrame) else phrase_table(spark, t) for t in (synonyms, periods)]
-    phrases = tables[0].select("old", "new").union(tables[1].select("old", "new")).where("old <> ''").distinct()
+    phrases = tables[0].select("old", "new").union(tables[1].select("old", "new")).withColumn("__run", _phrase_key("old")).where("__run <> ''").distinct()
     text = F.concat_ws("\n", *fields)
-    held = F.concat(pieces(text, r"\W+"), F.split(F.regexp_replace(text, r"\w", ""), ""))
+    held = F.concat(pieces(text, r"\W+"), F.array_distinct(F.split(F.regexp_replace(text, r"[\w\s]+", ""), "")))
     runs = df.select(key, F.explode(F.array_distinct(held)).alias("__run"))
-    candidates = runs.join(phrases.withColumn("__run", _phrase_key("old")), "__run").select(key, "old", "new").distinct()
+    candidates = runs.join(phrases, "__run").select(key, "old", "new").distinct()
 
     pattern = F.concat(F.lit(r"(?<!\w)\Q"), F.replace("old", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?!\w)"))
     into = F.regexp_replace("new", r"([\\$])", r"\\$1")
