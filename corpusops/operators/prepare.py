@@ -97,13 +97,17 @@ def to_format(df: DataFrame, fmt: str, keep: Sequence[str] = ()) -> DataFrame:
     raise ValueError(f"unknown format: {fmt}")
 
 
-def convert_format(df: DataFrame, src: str, dst: str, keep: Sequence[str] = ()) -> DataFrame:
+def convert_format(df: DataFrame, src: str, dst: str, keep: Sequence[str] = (), position: str | None = None) -> DataFrame:
     """Convert between the three formats.
 
     ``chat`` and ``completion`` join instruction and input with a blank line, so going back splits
     at the first blank line followed by ``Table Schema:``; without one, at the first blank line. A
     chat gives one row per answer.
+
+    ``position`` names a column with the length of the instruction. It is added to chats and completions and used on the way back, so
+    that no text is lost or moved whatever blank lines it has; where a source has no such column, or no blank line there, the rule above holds.
     """
+    carried = [position] if position and src != "alpaca" and position in df.columns else []
     if src == "alpaca":
         flat = df
     elif src in ("chat", "completion"):
@@ -112,13 +116,15 @@ def convert_format(df: DataFrame, src: str, dst: str, keep: Sequence[str] = ())
             asked = lambda i: F.filter(F.slice("messages", 1, i), lambda m: m["role"] == "user")
             answered = F.transform("messages", lambda m, i: F.when(m["role"] == "assistant", F.struct(
                 F.try_element_at(asked(i), F.lit(-1))["content"].alias("ask"), m["content"].alias("answer"))))
-            df = df.select(*keep, F.inline(F.array_compact(answered)))
+            df = df.select(*keep, *carried, F.inline(F.array_compact(answered)))
             ask, answer = F.col("ask"), F.col("answer")
         else:
             inside = F.length("prompt") - len(COMPLETION_HEAD) - len(COMPLETION_TAIL)
             ask, answer = F.substring("prompt", F.lit(len(COMPLETION_HEAD) + 1), inside), F.col("completion")
-        split = df.select(*keep, ask.alias("ask"), answer.alias("output"))
+        split = df.select(*keep, *carried, ask.alias("ask"), answer.alias("output"))
+        known = [F.when(F.substring("ask", F.col(c) + 1, F.lit(2)) == "\n\n", F.col(c) + 1) for c in carried]
         at = F.coalesce(
+            *known,
             F.nullif(F.locate("\n\n" + SCHEMA_PREFIX, F.col("ask")), F.lit(0)),
             F.locate("\n\n", F.col("ask")),
         )
@@ -132,6 +138,8 @@ def convert_format(df: DataFrame, src: str, dst: str, keep: Sequence[str] = ())
         )
     else:
         raise ValueError(f"unknown format: {src}")
+    if position and dst != "alpaca":
+        return to_format(flat.withColumn(position, F.length("instruction")), dst, [*keep, position])
     return to_format(flat, dst, keep)
 
 

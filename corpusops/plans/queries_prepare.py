@@ -241,6 +241,15 @@ def register(q: Registry) -> None:
                 prepare.convert_format(t("sql_examples"), "alpaca", fmt, ["id"]), fmt, "alpaca", ["id"]),
             "SELECT id, instruction, input, output FROM sql_examples", ("sql_examples",),
         )
+        blank_lines = lambda t: t("sql_examples").select(
+            "id", F.concat("instruction", F.lit("\n\nTable Schema: none\n\n")).alias("instruction"), F.lit("plain\n\ninput").alias("input"), "output")
+        q.add(
+            f"p08_{fmt}_round_trip_blank_lines",
+            lambda t, fmt=fmt, rows=blank_lines: prepare.convert_format(
+                prepare.convert_format(rows(t), "alpaca", fmt, ["id"], "split_at"), fmt, "alpaca", ["id"], "split_at"),
+            """SELECT id, instruction || chr(10) || chr(10) || 'Table Schema: none' || chr(10) || chr(10) AS instruction,
+                      'plain' || chr(10) || chr(10) || 'input' AS input, output FROM sql_examples""", ("sql_examples",),
+        )
     q.add(
         "p08_chat_to_completion",
         lambda t: prepare.convert_format(prepare.to_format(t("sql_examples"), "chat", ["id"]), "chat", "completion", ["id"]),

@@ -231,6 +231,15 @@ def test_format_round_trip(spark, fmt):
     assert [tuple(r) for r in prepare.convert_format(there, fmt, "alpaca").collect()] == rows
 
 
+@pytest.mark.parametrize("fmt", ["chat", "completion"])
+def test_format_round_trip_with_blank_lines(spark, fmt):
+    rows = [("p1\n\np2", "plain", "o"), ("\n\n", "\n\n", ""), ("", "Table Schema: x", "o"), ("a\n\nTable Schema: b", "", "o\n\n")]
+    there = prepare.convert_format(spark.createDataFrame(rows, files.ALPACA_SCHEMA), "alpaca", fmt, position="at")
+    assert [tuple(r) for r in prepare.convert_format(there, fmt, "alpaca", position="at").collect()] == rows
+    wrong = there.withColumn("at", F.lit(10_000))
+    assert prepare.convert_format(wrong, fmt, "alpaca", position="at").first()["instruction"] == "p1"
+
+
 def test_model_families():
     names = {"unsloth/Llama-3.1-8B": "llama-3", "Mistral-7B": "mistral", "mixtral": "mistral", "Phi-3-mini": "phi-3", "gpt": "generic"}
     assert {n: prepare.model_family(n) for n in names} == names
