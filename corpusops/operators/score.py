@@ -204,16 +204,20 @@ def _match_stage(tokens: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _mapped(word: Column, mapping: Mapping[str, str]) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(F.element_at(table, word), word)
+def _mapped(tokens: DataFrame, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
+    """The tokens with ``mapped``: what the table says of their word, or the word."""
+    if not isinstance(mapping, DataFrame):
+        mapping = tokens.sparkSession.createDataFrame(list(mapping.items()), "word string, mapped string")
+    table = mapping.select("word", "mapped").dropDuplicates(["word"])
+    return tokens.join(table, "word", "left").withColumn("mapped", F.coalesce("mapped", "word"))
 
 
-def meteor(pairs: DataFrame, stems: Mapping[str, str] | None = None,
-           synonyms: Mapping[str, str] | None = None) -> DataFrame:
+def meteor(pairs: DataFrame, stems: Mapping[str, str] | DataFrame | None = None,
+           synonyms: Mapping[str, str] | DataFrame | None = None) -> DataFrame:
     """Mean METEOR: unigrams matched exactly, then by stem, then by synonym class.
 
-    ``stems`` maps word -> stem and ``synonyms`` word -> class; both are small user tables.
+    ``stems`` says what the stem of a word is and ``synonyms`` its class: tables ``word, mapped`` of any size, with one row per word, or
+    small mappings. Whether a table is broadcast is left to adaptive execution.
     Alignment is by k-th occurrence, not by a search for the fewest crossings.
     """
     words = _tokenised(pairs, meteor_tokens)
@@ -221,13 +225,12 @@ def meteor(pairs: DataFrame, stems: Mapping[str, str] | None = None,
     tokens = _sides(words).select("id", "side", F.posexplode("words").alias("pos", "word"))
     matched = _match_stage(tokens, "word")
     for mapping in (stems, synonyms):
-        if mapping:
+        if mapping is not None:
             used = matched.select("id", F.lit(1).alias("side"), F.col("p_pos").alias("pos")).union(
                 matched.select("id", F.lit(0).alias("side"), F.col("r_pos").alias("pos"))
             )
             rest = tokens.join(used, ["id", "side", "pos"], "left_anti")
-            mapped = rest.withColumn("mapped", _mapped(F.col("word"), mapping))
-            matched = matched.union(_match_stage(mapped, "mapped"))
+            matched = matched.union(_match_stage(_mapped(rest, mapping), "mapped"))
     in_order = Window.partitionBy("id").orderBy("p_pos")
     follows = (F.col("p_pos") == F.lag("p_pos").over(in_order) + 1) & (
         F.col("r_pos") == F.lag("r_pos").over(in_order) + 1

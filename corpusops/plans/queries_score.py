@@ -99,6 +99,27 @@ def _evaluated(t):
     return rounded(rows[0].union(rows[1]).union(rows[2]))
 
 
+STEMS = {"form": "from", "chose": "select", "select": "select"}
+
+
+def _meteor_stems_sql(view: str) -> str:
+    """A second stage on the words that the first one leaves, by their stems."""
+    w = lambda x: f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+')"
+    stem = "CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in STEMS.items()) + " ELSE w END"
+    rows = lambda c: f"SELECT id, unnest({c}) AS w, generate_subscripts({c}, 1) AS i FROM tok"
+    left = lambda c, i: f"SELECT id, i, s, row_number() OVER (PARTITION BY id, s ORDER BY i) AS k FROM (SELECT id, i, {stem} AS s FROM ({rows(c)}) WHERE (id, i) NOT IN (SELECT (id, {i}) FROM m1))"
+    said = f"replace(replace({P}, 'FROM', 'FORM'), 'SELECT', 'CHOSE')"
+    return f"""WITH tok AS MATERIALIZED (SELECT id, {w(said)} AS p, {w(R)} AS r FROM {view}),
+        pw AS (SELECT id, w, i, row_number() OVER (PARTITION BY id, w ORDER BY i) AS k FROM ({rows('p')})),
+        rw AS (SELECT id, w, i, row_number() OVER (PARTITION BY id, w ORDER BY i) AS k FROM ({rows('r')})),
+        m1 AS MATERIALIZED (SELECT pw.id, pw.i AS pi, rw.i AS ri FROM pw JOIN rw ON pw.id = rw.id AND pw.w = rw.w AND pw.k = rw.k),
+        m AS (SELECT * FROM m1 UNION ALL SELECT a.id, a.i, b.i FROM ({left('p', 'pi')}) a JOIN ({left('r', 'ri')}) b ON a.id = b.id AND a.s = b.s AND a.k = b.k),
+        b AS (SELECT id, CASE WHEN pi = lag(pi) OVER o + 1 AND ri = lag(ri) OVER o + 1 THEN 0 ELSE 1 END AS brk FROM m WINDOW o AS (PARTITION BY id ORDER BY pi)),
+        a AS (SELECT id, count(*)::DOUBLE AS hits, sum(brk)::DOUBLE AS chunks FROM b GROUP BY id),
+        s AS (SELECT hits / len(p) AS pr, hits / len(r) AS rc, chunks / hits AS frag FROM tok LEFT JOIN a USING (id))
+        SELECT round(avg(coalesce(pr * rc / (0.9::DOUBLE * pr + (1 - 0.9::DOUBLE) * rc) * (1 - 0.5::DOUBLE * pow(frag, 3)), 0)), 6) AS meteor FROM s"""
+
+
 def _keywords(x: str) -> str:
     return "list_filter([" + ", ".join(f"CASE WHEN contains(upper({x}), '{k}') THEN '{k}' END" for k in s.SQL_KEYWORDS) + "], lambda k: k IS NOT NULL)"
 
@@ -150,6 +171,8 @@ def register(q: Registry) -> None:
         # in SQL the thresholds of whole documents take too long
         q.add(f"e05_rouge_l_{name}", lambda t, view=view: rounded(s.rouge_l(t(view))), _rouge_l_sql(view) if name == "sql" else None, (view,) if name == "sql" else ())
         q.add(f"e06_meteor_{name}", lambda t, view=view: rounded(s.meteor(t(view))), _meteor_sql(view), (view,))
+    said = F.replace(F.replace("prediction", F.lit("FROM"), F.lit("FORM")), F.lit("SELECT"), F.lit("CHOSE"))
+    q.add("e06_meteor_stems", lambda t: rounded(s.meteor(t("sql_pairs").withColumn("prediction", said), stems=STEMS)), _meteor_stems_sql("sql_pairs"), ("sql_pairs",))
     q.add(
         "e07_embedding_f1", lambda t: rounded(s.embedding_f1(t("token_vecs"))),
         """WITH c AS (SELECT p.pair_id, p.pos AS p, r.pos AS r,
