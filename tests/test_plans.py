@@ -1,6 +1,9 @@
 """Plans keep their shape: no cross products, no window over a whole table, pruned scans."""
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -64,3 +67,8 @@ def test_ngrams_are_counted_without_another_shuffle(plans):
     for name in ("e03_bleu_prose", "e04_rouge_prose"):
         assert plans[name].count("Exchange hashpartitioning") == 1, name
     assert "Sort " not in plans["e03_bleu_prose"]
+
+
+def test_registration_needs_no_session():
+    """Names and SQL are known before a session exists."""
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], check=True, cwd=Path(__file__).parents[1])
