@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusops.plans.scale import exact_quantiles, join_same, lag_by_time, running_sum_by_time
+from corpusops.plans.scale import exact_quantiles, join_same, lag_by_time, running_sum, running_sum_by_time
 
 # fixed values: histogram bounds of the public metrics client, and the alert rules
 BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -182,10 +182,12 @@ def _moves(log: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def concurrency(log: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFrame:
-    """Requests in flight after every start and end; a start counts before an end at the same time."""
-    moves = _moves(log, by)
-    order = [F.col("at"), F.desc("delta"), F.col("request_id")]
-    return running_sum_by_time(moves, list(by), "at", order, "delta", "in_flight", CHUNK_SECONDS)
+    """Requests in flight after every start and end; a start counts before an end at the same time.
+
+    The moves are cut into runs of similar size, wherever they lie in time, so a burst is spread over tasks like a quiet month.
+    """
+    order = [F.unix_micros("at"), -F.col("delta"), F.col("request_id")]
+    return running_sum(_moves(log, by), by, order, "delta", "in_flight")
 
 
 def queue_series(log: DataFrame, step: int = 15, by: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from corpusops.operators import cost, prepare, telemetry
 from corpusops.plans.registry import SPACE, WORD, Registry, blank, words
 from corpusops.sources import arrays, files
 from corpusops.sources import telemetry as metrics
-from corpusops.streaming.telemetry import new_folder
+from corpusops.streaming.telemetry import new_folder, run_available
 
 SYNONYMS = {"customer": "client", "orders": "purchases", "order": "purchase", "product": "article"}
 PERIODS = {"mean": "median"}
@@ -70,6 +70,20 @@ def _ingest(t):
     return spark.read.parquet(f"{folder}/index").select("service", "day", "message")
 
 
+def _scraped(t, streaming):
+    """The scrapes, written with their times as text files in a folder per job, read as a table or by a stream that takes a few files a batch."""
+    lines = t("scrapes")
+    folder = new_folder(lines.sparkSession, "scrapes")
+    timed = F.concat("line", F.lit(" "), F.unix_millis("ts").cast("string")).alias("line")
+    lines.select("job", timed).write.partitionBy("job").text(folder)
+    rows = metrics.read_scrapes(lines.sparkSession, folder, streaming, files_per_batch=4 if streaming else None)
+    return run_available(rows) if streaming else rows
+
+
+def _scrape_rows(t, streaming):
+    return _scraped(t, streaming).select("job", "ts", "metric", F.col("labels")["endpoint"].alias("endpoint"), "value")
+
+
 def _by_day(t):
     """The request log as a table of daily partitions."""
     rows = t("requests").withColumn("day", F.to_date("ts"))
@@ -172,6 +186,20 @@ def register(q: Registry) -> None:
                   sample_id::DOUBLE AS value FROM exposition WHERE NOT starts_with(line, '#')""",
         ("exposition",),
     )
+    scraped = """SELECT job, date_trunc('millisecond', ts) AS ts, 'http_requests_total' AS metric, regexp_extract(line, 'endpoint="([^"]*)"', 1) AS endpoint,
+                 sample_id::DOUBLE AS value FROM scrapes WHERE NOT starts_with(line, '#')"""
+    q.add("s11_scrape_table", lambda t: _scrape_rows(t, False), scraped, ("scrapes",))
+    q.add("s11_scrape_stream", lambda t: _scrape_rows(t, True), scraped, ("scrapes",))
+    q.add(
+        "s11_scrape_gaps", lambda t: metrics.scrape_gaps(_scraped(t, False)),
+        """WITH seen AS (SELECT DISTINCT job, date_trunc('millisecond', ts) AS ts FROM scrapes WHERE NOT starts_with(line, '#')),
+                gap AS (SELECT job, lag(ts) OVER (PARTITION BY job ORDER BY ts) AS since, ts AS until,
+                               CASE job WHEN 'llm-api' THEN 10 WHEN 'cadvisor' THEN 20 ELSE 15 END AS usual FROM seen)
+           SELECT job, 'http_requests_total' AS metric, since, until,
+                  CAST(ceil((epoch_us(until) - epoch_us(since)) / 1000000 / usual) - 1 AS BIGINT) AS missed
+           FROM gap WHERE (epoch_us(until) - epoch_us(since)) / 1000000 > usual * 1.5""",
+        ("scrapes",),
+    )
     q.add(
         "s12_ingest_logs", _ingest,
         "SELECT 'application' AS service, day, value AS message FROM log_lines", ("log_lines",),

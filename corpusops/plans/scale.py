@@ -112,6 +112,26 @@ def positions(df: DataFrame, order: Sequence[Column | str], out: str, within: Se
     return placed.withColumn(out, F.col("__offset") + F.col("__row")).drop("__bucket", "__row", "__offset")
 
 
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, out: str, buckets: int | None = None) -> DataFrame:
+    """Running sum of ``value`` per key in ascending ``order`` (which should be unique): the sum inside a bucket plus the total of earlier ones.
+
+    Buckets are runs of similar size in the order of key, then ``order``, so a key, a minute or one instant that holds many rows is cut
+    into as many buckets as its share, and quiet keys share one. What is carried on is one total per bucket and key. Null values count
+    as nothing; negate numbers for a descending order.
+    """
+    keys = list(keys)
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    tagged = _bucketed(df, [*map(F.col, keys), *order], buckets)
+    totals = tagged.groupBy("__bucket", *keys).agg(F.sum(value).alias("__total"))
+    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select("__bucket", *keys, F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__carry"))
+    inside = Window.partitionBy("__bucket", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = tagged.withColumn("__in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    # without keys there is one row per bucket, so the broadcast has a bound
+    placed = join_same(summed, carried, ["__bucket", *keys]) if keys else summed.join(F.broadcast(carried), "__bucket")
+    return placed.withColumn(out, F.col("__in") + F.col("__carry")).drop("__bucket", "__in", "__carry")
+
+
 def head(df: DataFrame, order: Sequence[Column | str], n: int, out: str, buckets: int | None = None) -> DataFrame:
     """The first ``n`` rows in ``order`` with their position; only the bucket that holds row ``n`` and those before it are ranked."""
     order = [F.col(c) if isinstance(c, str) else c for c in order]

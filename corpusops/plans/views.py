@@ -147,6 +147,12 @@ VIEWS = {
                CASE WHEN event_id % 10 = 0 THEN '# TYPE http_requests_total counter'
                     ELSE concat('http_requests_total{{method="GET",endpoint="/api/', event_type, '"}} ', event_id) END AS line
         FROM {events}""",
+    # the same of three jobs
+    "scrapes": """
+        SELECT event_id AS sample_id, CAST(ts AS timestamp) AS ts, CASE event_id % 3 WHEN 0 THEN 'llm-api' WHEN 1 THEN 'cadvisor' ELSE 'node' END AS job,
+               CASE WHEN event_id % 10 = 0 THEN '# TYPE http_requests_total counter'
+                    ELSE concat('http_requests_total{{method="GET",endpoint="/api/', event_type, '"}} ', event_id) END AS line
+        FROM {events}""",
     "log_lines": """
         SELECT event_id AS line_id, concat(CAST(CAST(ts AS date) AS varchar(10)), ' 00:00:00 user ', user_id, ' ', event_type) AS value,
                CAST(ts AS date) AS day FROM {events}""",

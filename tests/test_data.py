@@ -194,6 +194,37 @@ def test_exposition(spark):
                        ("d_bucket", {"le": "+Inf"}, float("inf"))]
 
 
+def test_exposition_lines_with_their_own_time(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS ts, line FROM VALUES ('up 1'), ('up 0 1700000000123'), ('up 1 -5'), ('up 1 x') AS v(line)")
+    got = [(str(r["ts"]), r["value"]) for r in telemetry.parse_exposition(df).collect()]
+    assert got == [("2024-01-01 00:00:00", 1.0), ("2023-11-14 22:13:20.123000", 0.0), ("1969-12-31 23:59:59.995000", 1.0), ("2024-01-01 00:00:00", 1.0)]
+
+
+def test_scrapes_as_table_and_as_stream_in_steps(spark, tmp_path):
+    from corpusops.streaming.telemetry import run_available
+
+    for job in ("llm-api", "a b"):
+        for i in range(4):
+            folder = tmp_path / "scrapes" / f"job={job}" / f"day={i}"
+            folder.mkdir(parents=True)
+            (folder / "scrape.txt").write_text("" if i == 3 else f'# HELP up x\nup{{n="{i}"}} {i} {1000 * i}\n\nno sample here\n')
+    (tmp_path / "scrapes" / "loose.txt").write_text("up 7\n")
+    path = str(tmp_path / "scrapes")
+    rows = sorted(map(str, telemetry.read_scrapes(spark, path).select("job", "metric", "labels", "value").collect()))
+    assert len(rows) == 7 and sum("'a b'" in r for r in rows) == 3 and sum("job=None" in r for r in rows) == 1
+    stream = telemetry.read_scrapes(spark, path, streaming=True, files_per_batch=2)
+    assert sorted(map(str, run_available(stream).select("job", "metric", "labels", "value").collect())) == rows
+    assert telemetry.read_scrapes(spark, path, streaming=True, bytes_per_batch="1k").isStreaming
+
+
+def test_scrape_gaps(spark):
+    df = spark.sql("""SELECT job, 'up' AS metric, timestamp_seconds(s) AS ts FROM VALUES ('llm-api', 0), ('llm-api', 10), ('llm-api', 10), ('llm-api', 25),
+        ('llm-api', 55), ('node', 0), ('node', 20), ('node', 4000), (NULL, 0), (NULL, 31), ('llm-api', NULL) AS v(job, s)""")
+    got = sorted((str(r["job"]), int(r["since"].timestamp()), int(r["until"].timestamp()), r["missed"]) for r in telemetry.scrape_gaps(df).collect())
+    assert got == [("None", 0, 31, 2), ("llm-api", 25, 55, 2), ("node", 20, 4000, 265)]
+    assert telemetry.scrape_gaps(df.limit(0)).count() == 0
+
+
 def test_samples_read_alike_as_table_and_stream(spark, tmp_path):
     folder = tmp_path / "samples"
     folder.mkdir()

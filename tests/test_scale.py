@@ -59,6 +59,32 @@ def test_running_sum_by_time(df, rows, chunk):
     assert got == expected
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_running_sum(df, rows, keys, buckets):
+    got = {r["id"]: r["s"] for r in scale.running_sum(df, keys, ["ts", "id"], "v", "s", buckets).collect()}
+    total, expected = {}, {}
+    for i, k, _, v in sorted(rows, key=lambda r: (r[2], r[0])):
+        k = k if keys else None
+        total[k] = total.get(k, 0) + v
+        expected[i] = total[k]
+    assert got == expected
+
+
+def test_running_sum_of_nothing_and_of_nulls(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, None, None), (3, "a", None), (4, None, 1)], "id int, k string, v bigint")
+    assert {r["id"]: r["s"] for r in scale.running_sum(df, ["k"], ["id"], "v", "s").collect()} == {1: 5, 2: 5, 3: 0, 4: 6}
+    assert scale.running_sum(df.limit(0), ["k"], ["id"], "v", "s").count() == 0
+
+
+def test_running_sum_spreads_one_hot_instant(spark):
+    hot = spark.range(20_000).select("id", F.lit("a").alias("k"), F.lit(0).alias("at"), F.lit(1).alias("v"))
+    tagged = scale._bucketed(hot, ["k", "at", "id"], 16)
+    assert max(r["count"] for r in tagged.groupBy("__bucket").count().collect()) < 20_000 / 16 * 2
+    out = scale.running_sum(hot, ["k"], ["at", "id"], "v", "s", 16)
+    assert out.where("s <> id + 1").isEmpty() and out.count() == 20_000
+
+
 @pytest.mark.parametrize("share", [0.0, 0.1, 0.333, 1.0])
 def test_first_by_hash_is_exact_and_independent_of_partitions(df, share):
     import math
