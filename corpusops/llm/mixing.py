@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusops.llm.store import Workspace
 
@@ -13,7 +14,8 @@ WEIGHTS = (3, 1, 2)
 PERCENT = 150
 MOST = 2
 SEED = 20
-RANK_BUCKETS = 1024
+RANK_BITS = 10
+TIED = 1 << 16
 KNAPSACK = 1 << 16
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -159,29 +161,72 @@ def _fit_source(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source_key": frame["source_key"], "size": lengths, "whole": whole, "quota": take})
 
 
+def _parts(column: Column, kind: T.DataType) -> list[Column]:
+    """What tells two values apart, for a hash: hashing leaves out nulls and takes no maps."""
+    if isinstance(kind, T.StructType):
+        return [p for f in kind.fields for p in _parts(column.getField(f.name), f.dataType)]
+    if isinstance(kind, T.ArrayType | T.MapType):
+        column = F.to_json(column, {"ignoreNullFields": "false"})
+    return [column, column.isNull()]
+
+
+def _cuts(rows: DataFrame, counts: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source_key, size, cut, more, ties): of each length, rows with a hash below `cut` and `more` of the `ties` rows at it make up the quota.
+
+    The counts say which part of the hash range the cut lies in. Only that part is looked at, equal hashes as one.
+    """
+    by = Window.partitionBy("source_key", "size")
+    reach = counts.join(plan, ["source_key", "size"]).withColumn("upto", F.sum("n").over(by.orderBy("bucket")))
+    edge = reach.where("upto >= quota and upto - n < quota").select("source_key", "size", "bucket", (F.col("quota") - F.col("upto") + F.col("n")).alias("need"))
+    near = rows.select("source_key", "size", "bucket", "hash").join(edge, ["source_key", "size", "bucket"])
+    same = near.groupBy("source_key", "size", "need", "hash").agg(F.count("*").alias("ties"))
+    same = same.withColumn("upto", F.sum("ties").over(by.orderBy("hash")))
+    found = same.where("upto >= need and upto - ties < need")
+    return found.select("source_key", "size", F.col("hash").alias("cut"), (F.col("need") - F.col("upto") + F.col("ties")).alias("more"), "ties")
+
+
+def _dealt(tied: DataFrame) -> DataFrame:
+    """The equal rows at a cut of which the mix takes only some: counted into one row, then dealt out again in bounded chunks by number."""
+    names = [c for c in tied.columns if c != "hash"]
+    groups = tied.groupBy("source_key", "size", "hash").agg(*[F.first(c).alias(c) for c in names if c not in ("source_key", "size")])
+    chunks = groups.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr("(ties - 1) div %d" % TIED))))
+    rows = chunks.repartition("source_key", "size", "chunk")
+    first = F.col("chunk") * TIED
+    return rows.withColumn("number", F.explode(F.sequence(first + 1, F.least(first + TIED, F.col("ties")))))
+
+
 def mixed(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, percent: int = PERCENT, most: int = MOST, seed: int = SEED) -> DataFrame:
     """`docs` (doc_id, source, size; all columns stay) with source_size, target, copies: how often the mix takes the row.
 
     Every source is taken whole as often as its target allows. What is left is met by `fit` on the source's histogram of lengths, which
-    has one row per distinct length, and the chosen number of each length is taken in the order of a seeded hash. Ranks are counted per
-    1/1024 of the hash range, so a length that a third of all rows share is not ranked in one task. Rows of size 0 are taken 0 times.
-    Null sources are one source, the last; null doc_id and repeated rows are dealt by hash like others. An empty table gives an empty one.
+    has one row per distinct length, and the chosen number of each length is taken in the order of a seeded hash of the whole row. So a
+    row is judged by one threshold for its source and length, and rows are neither shuffled nor ranked for it, however many share a
+    length. Equal rows, a third of the table or more, take part as one with their number. Rows of size 0 or null are taken 0 times. Null
+    sources are one source, the last; null doc_ids are dealt by hash like others. Columns of any name are kept, except that `source_size`,
+    `target` and `copies` of `docs` give way to those of the result. An empty table gives an empty one.
     """
     work = Workspace(docs.sparkSession, "mix")
-    rows = docs.withColumn("source_key", _source_key()).withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id", "source", "size"))
-    rows = rows.withColumn("_bucket", F.pmod("_hash", F.lit(RANK_BUCKETS)).cast("int"))
-    counts = work.keep(rows.groupBy("source_key", "size", "_bucket").agg(F.count("*").alias("n")), "counts")
-    aims = work.keep(targets(counts.select("source_key", (F.col("size") * F.col("n")).alias("size"))), "targets")
-    lengths = counts.where("size > 0").groupBy("source_key", "size").agg(F.sum("n").alias("n"))
-    plan = lengths.join(aims.select("source_key", "target"), "source_key").groupBy("source_key").applyInPandas(_fit_source, "source_key string, size long, whole long, quota long")
-    plan = work.keep(plan, "plan")
-    before = F.sum("n").over(Window.partitionBy("source_key", "size").orderBy("_bucket")) - F.col("n")
-    cells = counts.withColumn("before", before).join(plan, ["source_key", "size"], "left").join(aims, "source_key")
-    cells = cells.select("source_key", "size", "_bucket", "before", "whole", "quota", "source_size", "target")
-    inside = Window.partitionBy("source_key", "size", "_bucket").orderBy("_hash", "doc_id")
-    ranked = rows.withColumn("_rank", F.row_number().over(inside)).join(cells, ["source_key", "size", "_bucket"])
-    copies = F.coalesce(F.col("whole") + (F.col("before") + F.col("_rank") <= F.col("quota")).cast("long"), F.lit(0)).cast("long")
-    return ranked.withColumn("copies", copies).select(*docs.columns, "source_size", "target", "copies")
+    held = [f.name for f in docs.schema.fields if f.name not in ("source_size", "target", "copies")]
+    value = F.xxhash64(F.lit(seed), *[p for f in docs.schema.fields for p in _parts(F.col(f"`{f.name}`"), f.dataType)])
+    size = F.coalesce(F.col("size").cast("long"), F.lit(0))
+    rows = docs.select(F.struct(*[f"`{c}`" for c in held]).alias("row"), _source_key().alias("source_key"), size.alias("size"), value.alias("hash"))
+    rows = rows.withColumn("bucket", F.shiftright("hash", 64 - RANK_BITS))
+    counts = work.keep(rows.groupBy("source_key", "size", "bucket").agg(F.count("*").alias("n")), "counts")
+    aims = work.keep(targets(counts.select("source_key", (F.col("size") * F.col("n")).alias("size")), weights, percent, most), "targets")
+    lengths = counts.groupBy("source_key", "size").agg(F.sum("n").alias("n"))
+    aimed = lengths.where("size > 0").join(aims.select("source_key", "target"), "source_key")
+    plan = work.keep(aimed.groupBy("source_key").applyInPandas(_fit_source, "source_key string, size long, whole long, quota long"), "plan")
+    told = lengths.select("source_key", "size").join(aims, "source_key").join(plan.select("source_key", "size", "whole"), ["source_key", "size"], "left")
+    told = work.keep(told.join(_cuts(rows, counts, plan), ["source_key", "size"], "left"), "cuts")
+    placed = rows.drop("bucket").join(told, ["source_key", "size"])
+    some = F.coalesce((F.col("hash") == F.col("cut")) & (F.col("more") < F.col("ties")), F.lit(False))
+    extra = F.coalesce(F.col("hash") <= F.col("cut"), F.lit(False))
+    copies = lambda taken: (F.coalesce("whole", F.lit(0)) + taken.cast("long")).alias("copies")
+    out = lambda frame, taken: frame.select("row.*", "source_size", "target", copies(taken))
+    chosen = out(placed.where(~some), extra)
+    if told.where("more < ties").isEmpty():
+        return chosen
+    return chosen.unionByName(out(_dealt(placed.where(some)), F.col("number") <= F.col("more")))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +235,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document is there as often as the mix takes it."""
+    """Each document is there as often as the mix takes it, with all its columns, whatever their names.
+
+    Documents with null or empty texts, or texts without words, have size 0 and go. Repeated rows and rows with equal sizes are told apart by a hash of
+    the whole row; of equal rows the chosen number stays. An empty table gives an empty one.
+    """
     marked = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count().alias("size"))
     chosen = mixed(marked).where("copies > 0")
     return chosen.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

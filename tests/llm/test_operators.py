@@ -425,6 +425,32 @@ def test_mix(spark, docs, none):
     assert mixing.stage(spark, docs, SF).columns == docs.columns
 
 
+def test_mix_of_hot_equal_rows_and_clashing_columns(spark):
+    hot = [(None, "a", 7)] * 700 + [(i, "a", 3) for i in range(100)] + [(i, "b", 5) for i in range(400)] + [(9, None, 0), (9, None, None)]
+    names = "doc_id long, source string, size long"
+    docs = spark.createDataFrame(hot, names).selectExpr(
+        "*", "'t' AS target", "1 AS quota", "'c' AS copies", "2 AS bucket", "3 AS hash", "'r' AS row", "4 AS cut", "map('k', doc_id) AS tags", "5 AS source_key")
+    rows = mixing.mixed(docs).collect()
+    assert rows[0].asDict().keys() == {*docs.columns, "source_size"} and isinstance(rows[0].target, float)
+    assert Counter((r.doc_id, r.source, r["size"]) for r in rows) == Counter(hot)
+    assert all(r.quota == 1 and r.hash == 3 and r.row == "r" and r.tags == {"k": r.doc_id} for r in rows)
+    for source, least in (("a", 3), ("b", 5)):
+        mine = [r for r in rows if r.source == source]
+        assert 0 <= mine[0].target - sum(r.copies * r["size"] for r in mine) < least + 1 and {r.copies for r in mine} <= {0, 1, 2}
+    assert {r.copies for r in rows if r.source is None} == {0}
+    some = Counter(r.copies for r in rows if r["size"] == 7)
+    assert len(some) == 2 and sorted(map(str, rows)) == sorted(map(str, mixing.mixed(docs.repartition(7)).collect()))
+    staged = mixing.stage(spark, docs.select("*").withColumn("text", F.expr("repeat('w ', cast(coalesce(size, 0) AS int))")), SF)
+    assert staged.columns == [*docs.columns, "text"] and staged.where("size = 7").count() == sum(k * n for k, n in some.items())
+
+
+def test_mix_deals_equal_rows_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TIED", 16)
+    docs = spark.createDataFrame([(1, "a", 2)] * 100 + [(1, "b", 2)] * 300, "doc_id long, source string, size long")
+    rows = mixing.mixed(docs, weights=(1, 1), percent=75).collect()
+    assert Counter((r.source, r.copies) for r in rows) == {("a", 1): 50, ("a", 2): 50, ("b", 0): 150, ("b", 1): 150}
+
+
 def test_quality_counts_by_brute_force(spark, docs, none):
     def plain(t):
         w, lines = words(t), [x for x in (t or "").split("\n") if words(x)]
