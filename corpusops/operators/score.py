@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -204,6 +205,67 @@ def _match_stage(tokens: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _chosen(few: np.ndarray, many: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each place in ``few`` one in ``many``, in order, so that the pairs cross the fewest of the pairs (a, b).
+
+    Equal choices: the one with more neighbours among (a, b), then the earliest. Both sides ascend.
+    """
+    m, n = len(few), len(many)
+    below = np.zeros((m + 1, n + 1), np.int64)
+    np.add.at(below, (np.searchsorted(few, a), np.searchsorted(many, b)), 1)
+    below = below.cumsum(0).cumsum(1)
+    crossed = below[:m, n][:, None] + below[m, :n][None, :] - 2 * below[:m, :n]
+    beside = np.zeros((m, n), np.int64)
+    for step in (-1, 1):
+        i, j = np.searchsorted(few, a + step), np.searchsorted(many, b + step)
+        inside = (i < m) & (j < n)
+        i, j, at, to = i[inside], j[inside], (a + step)[inside], (b + step)[inside]
+        here = (few[i] == at) & (many[j] == to)
+        beside[i[here], j[here]] += 1
+    cost = crossed * (2 * m + 1) - beside
+    best, ends = np.zeros(n + 1), []
+    for i in range(m):
+        ends.append(best[:-1] + cost[i])
+        best = np.concatenate([[np.inf], np.minimum.accumulate(ends[-1])])
+    chosen, j = np.zeros(m, np.int64), n
+    for i in reversed(range(m)):
+        j = int(np.argmin(ends[i][:j]))
+        chosen[i] = many[j]
+    return chosen
+
+
+_PLACES = T.ArrayType(T.StructType([T.StructField("p_pos", T.IntegerType()), T.StructField("r_pos", T.IntegerType())]))
+
+
+@F.pandas_udf(_PLACES)
+def _least_crossing(groups: pd.Series) -> pd.Series:
+    """The pairs of one text: words as often on both sides pair in order, the others so that they cross the fewest of those and of earlier stages."""
+    def paired(words) -> list[tuple[int, int]]:
+        sides = [(np.asarray(w["p"], np.int64), np.asarray(w["r"], np.int64)) for w in words]
+        even = [s for s in sides if len(s[0]) == len(s[1])]
+        a, b = (np.concatenate([np.zeros(0, np.int64), *[s[k] for s in even]]) for k in (0, 1))
+        found = list(zip(a.tolist(), b.tolist(), strict=True))
+        for p, r in sides:
+            if len(p) < len(r):
+                found += zip(p.tolist(), _chosen(p, r, a, b).tolist(), strict=True)
+            elif len(p) > len(r):
+                found += zip(_chosen(r, p, b, a).tolist(), r.tolist(), strict=True)
+        return found
+
+    return pd.Series([paired(g) for g in groups])
+
+
+def _uncrossed_stage(tokens: DataFrame, key: str, earlier: DataFrame | None) -> DataFrame:
+    """All pairs after this stage, those of ``earlier`` stages included; a text's places of a word, and a text's words, are one array."""
+    places = lambda side: F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("pos"))))
+    words = tokens.where(F.col(key).isNotNull()).groupBy("id", key).agg(places(1).alias("p"), places(0).alias("r"))
+    words = words.where((F.size("p") > 0) & (F.size("r") > 0)).select("id", "p", "r")
+    if earlier is not None:
+        words = words.unionByName(earlier.select("id", F.array("p_pos").alias("p"), F.array("r_pos").alias("r")))
+    groups = words.groupBy("id").agg(F.collect_list(F.struct("p", "r")).alias("groups"))
+    return groups.select("id", F.inline(_least_crossing("groups")))
+
+
 def _mapped(tokens: DataFrame, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
     """The tokens with ``mapped``: what the table says of their word, or the word."""
     if not isinstance(mapping, DataFrame):
@@ -213,24 +275,26 @@ def _mapped(tokens: DataFrame, mapping: Mapping[str, str] | DataFrame) -> DataFr
 
 
 def meteor(pairs: DataFrame, stems: Mapping[str, str] | DataFrame | None = None,
-           synonyms: Mapping[str, str] | DataFrame | None = None) -> DataFrame:
+           synonyms: Mapping[str, str] | DataFrame | None = None, uncross: bool = False) -> DataFrame:
     """Mean METEOR: unigrams matched exactly, then by stem, then by synonym class.
 
     ``stems`` says what the stem of a word is and ``synonyms`` its class: tables ``word, mapped`` of any size, with one row per word, or
     small mappings. Whether a table is broadcast is left to adaptive execution.
-    Alignment is by k-th occurrence, not by a search for the fewest crossings.
+    Alignment is by k-th occurrence. With ``uncross`` a word that one side has more often takes those places there that cross the fewest
+    pairs of the other words; the choice is exact for each such word, and does not weigh two such words against each other.
     """
     words = _tokenised(pairs, meteor_tokens)
     sizes = words.select("id", F.size("p").alias("p_size"), F.size("r").alias("r_size"))
     tokens = _sides(words).select("id", "side", F.posexplode("words").alias("pos", "word"))
-    matched = _match_stage(tokens, "word")
+    matched = _uncrossed_stage(tokens, "word", None) if uncross else _match_stage(tokens, "word")
     for mapping in (stems, synonyms):
         if mapping is not None:
             used = matched.select("id", F.lit(1).alias("side"), F.col("p_pos").alias("pos")).union(
                 matched.select("id", F.lit(0).alias("side"), F.col("r_pos").alias("pos"))
             )
             rest = tokens.join(used, ["id", "side", "pos"], "left_anti")
-            matched = matched.union(_match_stage(_mapped(rest, mapping), "mapped"))
+            rest = _mapped(rest, mapping)
+            matched = _uncrossed_stage(rest, "mapped", matched) if uncross else matched.union(_match_stage(rest, "mapped"))
     in_order = Window.partitionBy("id").orderBy("p_pos")
     follows = (F.col("p_pos") == F.lag("p_pos").over(in_order) + 1) & (
         F.col("r_pos") == F.lag("r_pos").over(in_order) + 1
@@ -257,7 +321,6 @@ _BEST = T.StructType([
 @F.pandas_udf(_BEST)
 def _best_cosines(p: pd.Series, r: pd.Series) -> pd.DataFrame:
     """Per block pair: best cosine of every row vector and of every column vector."""
-    import numpy as np
 
     def unit(block):
         matrix = np.stack([np.asarray(v, dtype="float64") for v in block])

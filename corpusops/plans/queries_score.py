@@ -172,6 +172,7 @@ def register(q: Registry) -> None:
         q.add(f"e05_rouge_l_{name}", lambda t, view=view: rounded(s.rouge_l(t(view))), _rouge_l_sql(view) if name == "sql" else None, (view,) if name == "sql" else ())
         q.add(f"e06_meteor_{name}", lambda t, view=view: rounded(s.meteor(t(view))), _meteor_sql(view), (view,))
     said = "replace(replace(prediction, 'FROM', 'FORM'), 'SELECT', 'CHOSE')"
+    q.add("e06_meteor_uncrossed", lambda t: rounded(s.meteor(t("text_pairs"), uncross=True)))
     q.add("e06_meteor_stems", lambda t: rounded(s.meteor(t("sql_pairs").withColumn("prediction", F.expr(said)), stems=STEMS)), _meteor_stems_sql("sql_pairs"), ("sql_pairs",))
     q.add(
         "e07_embedding_f1", lambda t: rounded(s.embedding_f1(t("token_vecs"))),

@@ -11,8 +11,8 @@ from corpusops.plans.queries import all_queries
 from tests.conftest import SF
 
 BATCH = {n: q for n, q in all_queries().items() if not n.startswith("st")}
-# per-pair LCS and per-block cosines are the only Python steps
-PYTHON = {"e05_rouge_l_sql", "e05_rouge_l_prose", "e07_embedding_f1", "e14_evaluate"}
+# per-pair LCS, per-block cosines and the choice of uncrossed pairs are the only Python steps
+PYTHON = {"e05_rouge_l_sql", "e05_rouge_l_prose", "e06_meteor_uncrossed", "e07_embedding_f1", "e14_evaluate"}
 
 
 def plan_of(df) -> str:

@@ -1,5 +1,6 @@
 """Metrics on hand-worked and brute-force cases."""
 
+import itertools
 import math
 import random
 from collections import Counter
@@ -146,3 +147,36 @@ def test_no_pairs(spark):
     assert score.exact_match(empty).first()[0] is None
     assert score.bleu(empty).first()[0] == 0
     assert score.is_sql_dataset(empty).first()[0] is None
+
+
+def test_uncrossed_choice_is_the_best_of_all():
+    draw = random.Random(5)
+    for _ in range(300):
+        a = np.array(draw.sample(range(0, 40, 2), 6))
+        b = np.array(draw.sample(range(0, 40, 2), 6))
+        many = np.array(sorted(draw.sample(range(1, 41, 2), draw.randint(1, 6))))
+        few = np.array(sorted(draw.sample(range(1, 41, 2), draw.randint(1, len(many)))))
+        anchors = set(zip(a.tolist(), b.tolist(), strict=True))
+
+        def cost(chosen):
+            pairs = list(zip(few.tolist(), chosen, strict=True))
+            crossed = sum((x < p) != (y < r) for p, r in pairs for x, y in anchors)
+            return crossed, -sum((p + d, r + d) in anchors for p, r in pairs for d in (-1, 1)), chosen
+
+        best = min(cost(list(c)) for c in itertools.combinations(many.tolist(), len(few)))
+        assert cost(score._chosen(few, many, a, b).tolist())[:2] == best[:2]
+
+
+def test_meteor_without_crossings(spark):
+    def value(prediction, reference, **options):
+        row = spark.createDataFrame([(1, prediction, reference)], "id int, prediction string, reference string")
+        return score.meteor(row, **options).first()["meteor"]
+
+    # the first "the" of the reference is not the one before "cat"
+    texts = ("a dog saw the cat", "the bird a dog saw the cat")
+    assert value(*texts, uncross=True) == pytest.approx(5 / 5 * 5 / 7 / (0.9 + 0.1 * 5 / 7) * (1 - 0.5 * (1 / 5) ** 3))
+    assert value(*texts) < value(*texts, uncross=True)
+    stems = {"cats": "cat", "cat": "cat"}
+    said = ("the cats run", "cat and the cat run")
+    assert value(*said, stems=stems, uncross=True) > value(*said, stems=stems)
+    assert value("x", "y", uncross=True) == 0.0 and value("one two", "one two", uncross=True) == value("one two", "one two")
