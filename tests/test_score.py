@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -180,3 +181,42 @@ def test_meteor_without_crossings(spark):
     said = ("the cats run", "cat and the cat run")
     assert value(*said, stems=stems, uncross=True) > value(*said, stems=stems)
     assert value("x", "y", uncross=True) == 0.0 and value("one two", "one two", uncross=True) == value("one two", "one two")
+
+
+def arrow_words(*rows):
+    """Each row: pairs (p, r) of word lists."""
+    sides = pa.struct([("p", pa.list_(pa.string())), ("r", pa.list_(pa.string()))])
+    return pa.array([[{"p": p, "r": r} for p, r in row] for row in rows], pa.list_(sides))
+
+
+@pytest.mark.parametrize("words_at_once", [1, 7, 1 << 15])
+def test_gram_counts_in_slices(spark, monkeypatch, words_at_once):
+    monkeypatch.setattr(score, "SLICE_WORDS", words_at_once)
+    draw = random.Random(9)
+    words = lambda: draw.choices("abc", k=draw.randrange(0, 12))
+    rows = [[(words(), words()) for _ in range(draw.choice((1, 1, 3)))] for _ in range(40)]
+    got = score._gram_counter((1, 2, 4)).func(arrow_words(*rows)).to_pylist()
+    for row, found in zip(rows, got, strict=True):
+        for n in (1, 2, 4):
+            p, r = (sum((Counter(tuple(pair[s][i:i + n]) for i in range(len(pair[s]) - n + 1)) for pair in row), Counter()) for s in (0, 1))
+            assert (found[f"h{n}"], found[f"p{n}"], found[f"r{n}"]) == ((p & r).total(), p.total(), r.total())
+
+
+@pytest.mark.parametrize("metric", [score.bleu, score.rouge])
+def test_tokens_stay_in_the_row_of_their_pair(spark, metric):
+    plan = metric(pairs_of(spark, ("a b", "a c")))._jdf.queryExecution().optimizedPlan().toString()
+    # only the two sizes of METEOR are made rows, of which a pair has one
+    assert "explode" not in plan
+    assert plan.count("Aggregate") == 2
+
+
+def test_pairs_of_one_id_are_scored_as_one(spark):
+    rows = [(1, "a b c d e", "a b c d"), (1, "x a b c d", "x y a b c d"), (None, "a b c d", "a b c d"), (None, "q", "a")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    logs = 0.0
+    for n in range(1, 5):
+        grams = lambda t: Counter(tuple(t.split()[i:i + n]) for i in range(len(t.split()) - n + 1))  # noqa: E731, B023
+        sides = [(grams(rows[i][2]) + grams(rows[i + 1][2]), grams(rows[i][1]) + grams(rows[i + 1][1])) for i in (0, 2)]
+        logs += math.log(sum((p & r).total() for p, r in sides) / sum(p.total() for p, _ in sides)) / 4
+    assert one(score.bleu(df), "bleu") == pytest.approx(math.exp(logs))
+    assert one(score.rouge(df), "rouge1") == pytest.approx((2 * 9 / 20 + 2 * 4 / 10) / 2)
