@@ -94,12 +94,6 @@ def _tokenised(pairs: DataFrame, tokens) -> DataFrame:
     return texts.repartition("id").select("id", tokens(F.col("p")).alias("p"), tokens(F.col("r")).alias("r"))
 
 
-def _sides(tokens: DataFrame) -> DataFrame:
-    """One row per side: ``id, side, words`` with side 1 for the prediction and 0 for the reference."""
-    side = lambda flag, c: F.struct(F.lit(flag).alias("side"), F.col(c).alias("words"))
-    return tokens.select("id", F.inline(F.array(side(1, "p"), side(0, "r"))))
-
-
 def _grouped(pairs: DataFrame, tokens) -> DataFrame:
     """``id, words``: one row per id, with the token arrays ``p`` and ``r`` of its pairs. Texts are shuffled and sorted, being smaller than their tokens."""
     texts = pairs.select("id", _prediction().alias("p"), F.coalesce("reference", F.lit("")).alias("r")).repartition("id")
@@ -239,89 +233,145 @@ def rouge_l(pairs: DataFrame) -> DataFrame:
 
 # --- METEOR ----------------------------------------------------------------------------------
 
-def _match_stage(tokens: DataFrame, key: str) -> DataFrame:
-    """Pair the k-th occurrence of a key in the prediction with the k-th in the reference."""
-    nth = Window.partitionBy("id", "side", key).orderBy("pos")
-    return (
-        tokens.where(F.col(key).isNotNull())
-        .withColumn("k", F.row_number().over(nth))
-        .groupBy("id", key, "k")
-        .agg(
-            F.max(F.when(F.col("side") == 1, F.col("pos"))).alias("p_pos"),
-            F.max(F.when(F.col("side") == 0, F.col("pos"))).alias("r_pos"),
-        )
-        .where("p_pos IS NOT NULL AND r_pos IS NOT NULL")
-        .select("id", "p_pos", "r_pos")
-    )
-
-
 def _chosen(few: np.ndarray, many: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each place in ``few`` one in ``many``, in order, so that the pairs cross the fewest of the pairs (a, b).
 
-    Equal choices: the one with more neighbours among (a, b), then the earliest. Both sides ascend.
+    Equal choices: the one with more neighbours among (a, b), then the earliest. Both sides ascend. Place i of ``few`` can take the
+    places i to i + len(many) - len(few); about ``SLICE_CELLS`` of the costs are held at a time, and made again on the way back.
     """
     m, n = len(few), len(many)
-    below = np.zeros((m + 1, n + 1), np.int64)
-    np.add.at(below, (np.searchsorted(few, a), np.searchsorted(many, b)), 1)
-    below = below.cumsum(0).cumsum(1)
-    crossed = below[:m, n][:, None] + below[m, :n][None, :] - 2 * below[:m, :n]
-    beside = np.zeros((m, n), np.int64)
+    width, block = n - m + 1, max(1, SLICE_CELLS // (n + 1))
+    at, to = np.searchsorted(few, a), np.searchsorted(many, b)
+    order = np.argsort(at, kind="stable")
+    at, to = at[order], to[order]
+    every = np.bincount(to, minlength=n + 1).cumsum()[:n]
+    neighbours = []
     for step in (-1, 1):
         i, j = np.searchsorted(few, a + step), np.searchsorted(many, b + step)
         inside = (i < m) & (j < n)
-        i, j, at, to = i[inside], j[inside], (a + step)[inside], (b + step)[inside]
-        here = (few[i] == at) & (many[j] == to)
-        beside[i[here], j[here]] += 1
-    cost = crossed * (2 * m + 1) - beside
-    best, ends = np.zeros(n + 1), []
-    for i in range(m):
-        ends.append(best[:-1] + cost[i])
-        best = np.concatenate([[np.inf], np.minimum.accumulate(ends[-1])])
-    chosen, j = np.zeros(m, np.int64), n
-    for i in reversed(range(m)):
-        j = int(np.argmin(ends[i][:j]))
-        chosen[i] = many[j]
+        i, j, x, y = i[inside], j[inside], (a + step)[inside], (b + step)[inside]
+        here = (few[i] == x) & (many[j] == y)
+        neighbours.append((i[here], j[here]))
+
+    def costs(first: int, last: int) -> np.ndarray:
+        low, high = np.searchsorted(at, (first, last))
+        below = np.zeros((last - first, n + 1), np.int64)
+        below[0] = np.bincount(to[:low], minlength=n + 1)
+        np.add.at(below, (at[low:high] - first, to[low:high]), 1)
+        below = below.cumsum(0).cumsum(1)
+        cost = (below[:, n:] + every - 2 * below[:, :n]) * (2 * m + 1)
+        for i, j in neighbours:
+            here = (i >= first) & (i < last)
+            # a cell counts once per step
+            cell = np.unique((i[here] - first) * n + j[here])
+            cost.reshape(-1)[cell] -= 1
+        return np.take_along_axis(cost, np.arange(first, last)[:, None] + np.arange(width), 1)
+
+    firsts = range(0, m, block)
+    best, began = np.zeros(width, np.int64), []
+    for first in firsts:
+        began.append(best)
+        if first + block < m:
+            for cost in costs(first, first + block):
+                best = np.minimum.accumulate(best + cost)
+    chosen, upto = np.zeros(m, np.int64), width
+    for first, best in zip(reversed(firsts), reversed(began), strict=True):
+        ends = costs(first, min(first + block, m))
+        for cost in ends:
+            cost += best
+            best = np.minimum.accumulate(cost)
+        for i in reversed(range(len(ends))):
+            place = int(np.argmin(ends[i][:upto]))
+            chosen[first + i], upto = many[first + i + place], place + 1
     return chosen
 
 
-_PLACES = T.ArrayType(T.StructType([T.StructField("p_pos", T.IntegerType()), T.StructField("r_pos", T.IntegerType())]))
+def _aligned(p: tuple[np.ndarray, ...], r: tuple[np.ndarray, ...], earlier: list[np.ndarray], uncross: bool) -> list[np.ndarray]:
+    """Row and both places of all pairs: the k-th occurrence of a key in p with the k-th in r, after the ``earlier`` ones.
 
-
-@F.pandas_udf(_PLACES)
-def _least_crossing(groups: pd.Series) -> pd.Series:
-    """The pairs of one text: words as often on both sides pair in order, the others so that they cross the fewest of those and of earlier stages."""
-    def paired(words) -> list[tuple[int, int]]:
-        sides = [(np.asarray(w["p"], np.int64), np.asarray(w["r"], np.int64)) for w in words]
-        even = [s for s in sides if len(s[0]) == len(s[1])]
-        a, b = (np.concatenate([np.zeros(0, np.int64), *[s[k] for s in even]]) for k in (0, 1))
-        found = list(zip(a.tolist(), b.tolist(), strict=True))
-        for p, r in sides:
-            if len(p) < len(r):
-                found += zip(p.tolist(), _chosen(p, r, a, b).tolist(), strict=True)
-            elif len(p) > len(r):
-                found += zip(_chosen(r, p, b, a).tolist(), r.tolist(), strict=True)
+    ``p`` and ``r`` are row, place and key of the words, by row and place; a key is of one row. With ``uncross`` only keys that occur as
+    often on both sides pair so, the others so that they cross the fewest of those and of the earlier pairs.
+    """
+    size = max(p[2].max(initial=-1), r[2].max(initial=-1)) + 1
+    counts = [np.bincount(side[2], minlength=size) for side in (p, r)]
+    least = np.minimum(*counts)
+    sides, starts = [], []
+    for (row, pos, key), count in zip((p, r), counts, strict=True):
+        by_key = np.argsort(key, kind="stable")
+        sides.append((row[by_key], pos[by_key], key[by_key]))
+        starts.append(count.cumsum() - count)
+    pairing = least * (counts[0] == counts[1]) if uncross else least
+    kept = [np.flatnonzero(np.arange(len(key)) - start[key] < pairing[key]) for (_, _, key), start in zip(sides, starts, strict=True)]
+    found = [sides[0][0][kept[0]], sides[0][1][kept[0]], sides[1][1][kept[1]]]
+    found = [np.concatenate(x) for x in zip(earlier, found, strict=True)]
+    if not uncross:
         return found
-
-    return pd.Series([paired(g) for g in groups])
-
-
-def _uncrossed_stage(tokens: DataFrame, key: str, earlier: DataFrame | None) -> DataFrame:
-    """All pairs after this stage, those of ``earlier`` stages included; a text's places of a word, and a text's words, are one array."""
-    places = lambda side: F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("pos"))))
-    words = tokens.where(F.col(key).isNotNull()).groupBy("id", key).agg(places(1).alias("p"), places(0).alias("r"))
-    words = words.where((F.size("p") > 0) & (F.size("r") > 0)).select("id", "p", "r")
-    if earlier is not None:
-        words = words.unionByName(earlier.select("id", F.array("p_pos").alias("p"), F.array("r_pos").alias("r")))
-    groups = words.groupBy("id").agg(F.collect_list(F.struct("p", "r")).alias("groups"))
-    return groups.select("id", F.inline(_least_crossing("groups")))
-
-
-def _mapped(tokens: DataFrame, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
-    """The tokens with ``mapped``: what the table says of their word, or the word."""
-    if not isinstance(mapping, DataFrame):
-        mapping = tokens.sparkSession.createDataFrame(list(mapping.items()), "word string, mapped string")
-    table = mapping.select("word", "mapped").dropDuplicates(["word"])
-    return tokens.join(table, "word", "left").withColumn("mapped", F.coalesce("mapped", "word"))
+    uneven = np.flatnonzero((least > 0) & (counts[0] != counts[1]))
+    by_row = np.argsort(found[0], kind="stable")
+    anchors = [x[by_row] for x in found]
+    added = [[x] for x in found]
+    for key in uneven.tolist():
+        row = sides[0][0][starts[0][key]]
+        low, high = np.searchsorted(anchors[0], (row, row + 1))
+        a, b = anchors[1][low:high], anchors[2][low:high]
+        places = [side[1][start[key]:start[key] + count[key]] for side, start, count in zip(sides, starts, counts, strict=True)]
+        if counts[0][key] < counts[1][key]:
+            places[1] = _chosen(places[0], places[1], a, b)
+        else:
+            places[0] = _chosen(places[1], places[0], b, a)
+        for held, x in zip(added, (np.full(least[key], row), *places), strict=True):
+            held.append(x)
+    return [np.concatenate(x) for x in added]
+
+
+def _aligner(uncross: bool):
+    """Per row the number of pairs, ``hits``, and of runs of neighbouring pairs, ``chunks``. ``mappings`` has for each further stage the words that it maps."""
+
+    def aligned(words: pa.Array, *mappings: pa.Array) -> pa.Array:
+        tables = [pc.struct_field(m.flatten(), c) for m in mappings for c in ("word", "mapped")]
+        row, text, side, code, *listed = _flat(words, *tables)
+        size = max([0, *[x.max(initial=0) for x in (code, *listed)]]) + 1
+        begins = np.flatnonzero(np.diff(text, prepend=-1))
+        pos = np.arange(len(text)) - np.repeat(begins, np.diff(np.append(begins, len(text))))
+        # by place, where pairs share an id
+        order = np.lexsort((pos, row, side))
+        row, side, code, pos = row[order], side[order], code[order], pos[order]
+        left, pairs = np.ones(len(row), bool), [np.zeros(0, np.int64)] * 3
+        for stage in range(len(mappings) + 1):
+            mapped = np.arange(size)
+            if stage:
+                mapped[listed[2 * stage - 2]] = listed[2 * stage - 1]
+                longest = pos.max(initial=0) + 1
+                for flag, places in ((0, pairs[1]), (1, pairs[2])):
+                    left &= (side != flag) | ~np.isin(row * longest + pos, pairs[0] * longest + places)
+            key = _dense(row[left] * size + mapped[code[left]])
+            of_p = side[left] == 0
+            pairs = _aligned(*[(row[left][one], pos[left][one], key[one]) for one in (of_p, ~of_p)], pairs, uncross)
+        order = np.lexsort((pairs[2], pairs[1], pairs[0]))
+        row, p, r = (x[order] for x in pairs)
+        breaks = np.ones(len(row), bool)
+        breaks[1:] = (np.diff(row) != 0) | (np.diff(p) != 1) | (np.diff(r) != 1)
+        counts = [np.bincount(x, minlength=len(words)) for x in (row, row[breaks])]
+        return pa.StructArray.from_arrays([pa.array(x) for x in counts], ["hits", "chunks"])
+
+    @F.arrow_udf(_longs("hits", "chunks"))
+    def aligner(*columns: pa.Array) -> pa.Array:
+        return _in_slices(aligned, *columns)
+
+    return aligner
+
+
+def _listed(words: DataFrame, mapping: Mapping[str, str] | DataFrame, name: str) -> DataFrame:
+    """``id, <name>``: of the words of each id those that the table maps, with what it says. A table is joined once per id and word."""
+    if isinstance(mapping, DataFrame):
+        table = mapping.select("word", "mapped").dropDuplicates(["word"])
+    else:
+        rows = words.sparkSession.createDataFrame(list(mapping.items()), "word string, mapped string")
+        # the caller holds the mapping in memory
+        table = F.broadcast(rows)
+    own = F.flatten(F.transform("words", lambda w: F.concat(w["p"], w["r"])))
+    met = words.select("id", F.explode(F.array_distinct(own)).alias("word")).join(table.where("mapped IS NOT NULL"), "word")
+    return met.groupBy("id").agg(F.collect_list(F.struct("word", "mapped")).alias(name))
 
 
 def meteor(pairs: DataFrame, stems: Mapping[str, str] | DataFrame | None = None,
@@ -333,27 +383,17 @@ def meteor(pairs: DataFrame, stems: Mapping[str, str] | DataFrame | None = None,
     Alignment is by k-th occurrence. With ``uncross`` a word that one side has more often takes those places there that cross the fewest
     pairs of the other words; the choice is exact for each such word, and does not weigh two such words against each other.
     """
-    words = _tokenised(pairs, meteor_tokens)
-    sizes = words.select("id", F.size("p").alias("p_size"), F.size("r").alias("r_size"))
-    tokens = _sides(words).select("id", "side", F.posexplode("words").alias("pos", "word"))
-    matched = _uncrossed_stage(tokens, "word", None) if uncross else _match_stage(tokens, "word")
-    for mapping in (stems, synonyms):
+    words = grouped = _grouped(pairs, meteor_tokens)
+    stages = []
+    for name, mapping in (("stems", stems), ("synonyms", synonyms)):
         if mapping is not None:
-            used = matched.select("id", F.lit(1).alias("side"), F.col("p_pos").alias("pos")).union(
-                matched.select("id", F.lit(0).alias("side"), F.col("r_pos").alias("pos"))
-            )
-            rest = tokens.join(used, ["id", "side", "pos"], "left_anti")
-            rest = _mapped(rest, mapping)
-            matched = _uncrossed_stage(rest, "mapped", matched) if uncross else matched.union(_match_stage(rest, "mapped"))
-    in_order = Window.partitionBy("id").orderBy("p_pos")
-    follows = (F.col("p_pos") == F.lag("p_pos").over(in_order) + 1) & (
-        F.col("r_pos") == F.lag("r_pos").over(in_order) + 1
-    )
-    aligned = (
-        matched.withColumn("breaks", F.when(follows, 0).otherwise(1))
-        .groupBy("id").agg(F.count("*").alias("hits"), F.sum("breaks").alias("chunks"))
-    )
-    scores = sizes.join(aligned, "id", "left")
+            words = words.join(_listed(grouped, mapping, name), "id", "left")
+            stages.append(F.coalesce(name, F.array().cast("array<struct<word:string,mapped:string>>")))
+    sizes = F.transform("words", lambda w: F.struct(F.size(w["p"]).alias("p_size"), F.size(w["r"]).alias("r_size")))
+    aligned = words.select("id", sizes.alias("sizes"), _aligner(uncross)("words", *stages).alias("a"))
+    # pairs without an id score 0
+    hits = F.when(F.col("id").isNotNull(), F.col("a.hits"))
+    scores = aligned.select(hits.alias("hits"), F.col("a.chunks").alias("chunks"), F.inline("sizes"))
     precision = F.col("hits") / F.col("p_size")
     recall = F.col("hits") / F.col("r_size")
     mean = precision * recall / (METEOR_ALPHA * precision + (1 - METEOR_ALPHA) * recall)

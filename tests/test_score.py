@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -202,7 +203,7 @@ def test_gram_counts_in_slices(spark, monkeypatch, words_at_once):
             assert (found[f"h{n}"], found[f"p{n}"], found[f"r{n}"]) == ((p & r).total(), p.total(), r.total())
 
 
-@pytest.mark.parametrize("metric", [score.bleu, score.rouge])
+@pytest.mark.parametrize("metric", [score.bleu, score.rouge, score.meteor])
 def test_tokens_stay_in_the_row_of_their_pair(spark, metric):
     plan = metric(pairs_of(spark, ("a b", "a c")))._jdf.queryExecution().optimizedPlan().toString()
     # only the two sizes of METEOR are made rows, of which a pair has one
@@ -220,3 +221,46 @@ def test_pairs_of_one_id_are_scored_as_one(spark):
         logs += math.log(sum((p & r).total() for p, r in sides) / sum(p.total() for p, _ in sides)) / 4
     assert one(score.bleu(df), "bleu") == pytest.approx(math.exp(logs))
     assert one(score.rouge(df), "rouge1") == pytest.approx((2 * 9 / 20 + 2 * 4 / 10) / 2)
+
+
+def test_stems_from_a_table(spark):
+    pairs = pairs_of(spark, ("dogs ran quickly", "dog ran fast"), ("", ""), ("dogs", "dog"))
+    table = spark.createDataFrame([("dogs", "dog"), ("none", "x"), ("ran", None)], "word string, mapped string")
+    mapped = one(score.meteor(pairs, stems=table, synonyms={"quickly": "fast"}), "meteor")
+    assert mapped == pytest.approx((1 - 0.5 * (1 / 3) ** 3 + 0 + 0.5) / 3)
+    assert mapped == one(score.meteor(pairs, stems={"dogs": "dog"}, synonyms={"quickly": "fast"}, uncross=True), "meteor")
+
+
+@pytest.mark.parametrize("words_at_once", [1, 30])
+def test_alignment_in_slices(spark, monkeypatch, words_at_once):
+    draw = random.Random(4)
+    words = lambda: draw.choices("abcdef", k=draw.randrange(0, 15))
+    rows = arrow_words(*[[(words(), words())] for _ in range(60)])
+    for uncross in (False, True):
+        monkeypatch.setattr(score, "SLICE_WORDS", 1 << 15)
+        whole = score._aligner(uncross).func(rows).to_pylist()
+        monkeypatch.setattr(score, "SLICE_WORDS", words_at_once)
+        assert score._aligner(uncross).func(rows).to_pylist() == whole
+        assert [w["hits"] for w in whole] == [(Counter(x[0]["p"]) & Counter(x[0]["r"])).total() for x in rows.to_pylist()]
+
+
+def test_uncrossed_choice_in_blocks(monkeypatch):
+    draw = np.random.default_rng(8)
+    for _ in range(50):
+        a, b = draw.permutation(np.arange(0, 200, 2))[:60], draw.permutation(np.arange(0, 200, 2))[:60]
+        few, many = (np.sort(draw.choice(np.arange(1, 201, 2), k, replace=False)) for k in (20, 45))
+        monkeypatch.setattr(score, "SLICE_CELLS", 1 << 20)
+        whole = score._chosen(few, many, a, b)
+        monkeypatch.setattr(score, "SLICE_CELLS", 150)
+        assert score._chosen(few, many, a, b).tolist() == whole.tolist()
+
+
+def test_uncrossed_choice_in_bounded_memory():
+    few, many = np.arange(0, 6000, 2), np.arange(0, 12000, 2)
+    at = np.arange(1, 6000, 2)
+    tracemalloc.start()
+    chosen = score._chosen(few, many, at, at[::-1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(chosen) == 3000 and (np.diff(chosen) > 0).all()
+    assert peak < 150e6
