@@ -37,7 +37,7 @@ def array_elements(spark: SparkSession, path: str) -> DataFrame:
     A document that is no array is one element with its whole text. An empty array, and a file of white space, have none. Elements of
     broken documents come as the text between commas at depth 1. A single element is put together in one task.
     """
-    pieces = shared_table(_pieces(spark, path), "pieces")
+    pieces = _pieces(spark, path)
     inside = Window.partitionBy("file", "range").orderBy("at")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -45,6 +45,8 @@ def array_elements(spark: SparkSession, path: str) -> DataFrame:
     began = pieces.withColumn("in", F.coalesce(F.sum("toggles").over(before), F.lit(0)) % 2)
     same, swapped = [F.when(F.col("in") == k, F.col("outside")).otherwise(F.col("inside")) for k in (0, 1)]
     lexed = began.withColumn("same", F.sum(same).over(upto)).withColumn("swapped", F.sum(swapped).over(upto)).withColumn("left", (F.col("in") + F.col("toggles")) % 2)
+    # three passes follow, of which two need no order
+    lexed = shared_table(lexed.select("file", "range", "at", "value", "same", "swapped", "left"), "lexed")
     last = F.max(F.struct("at", "same", "swapped", "left"))
     ranges = Window.partitionBy("file").orderBy("range")
     earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
@@ -53,13 +55,14 @@ def array_elements(spark: SparkSession, path: str) -> DataFrame:
     change = F.when(F.col("start") == 0, F.col("l.same")).otherwise(F.col("l.swapped"))
     array = F.first("first.col2").over(ranges)
     starts = maps.withColumn("depth", F.coalesce(F.sum(change).over(earlier), F.lit(0))).select("file", "range", "start", "depth", array.alias("array"))
-    states = lexed.join(starts, ["file", "range"])
+    # one row per byte range
+    states = lexed.join(F.broadcast(starts), ["file", "range"])
     depth = F.col("depth") + F.when(F.col("start") == 0, F.col("same")).otherwise(F.col("swapped"))
     states = states.select("file", "range", "at", "value", "array", F.when(F.col("array") & (depth == 1) & ((F.col("start") + F.col("left")) % 2 == 0), 1).otherwise(0).alias("ends"))
     ended = states.groupBy("file", "range").agg(F.sum("ends").alias("n"))
     whole = Window.partitionBy("file")
     offsets = ended.select("file", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"), F.sum("n").over(whole).alias("last"))
-    numbered = states.withColumn("own", F.coalesce(F.sum("ends").over(before), F.lit(0))).join(offsets, ["file", "range"])
+    numbered = states.withColumn("own", F.coalesce(F.sum("ends").over(before), F.lit(0))).join(F.broadcast(offsets), ["file", "range"])
     order = F.sort_array(F.collect_list(F.struct("range", "at", "value")))
     text = F.array_join(F.transform(order, lambda p: p["value"]), ",")
     lines = numbered.groupBy("file", (F.col("offset") + F.col("own")).alias("ordinal")).agg(text.alias("line"), F.any_value("last").alias("last"), F.any_value("array").alias("array"))

@@ -60,7 +60,7 @@ def read_raw_examples(spark: SparkSession, path: str) -> DataFrame:
     ``id`` counts from 0 in the order of files and places, whatever reads them.
     """
     if _suffix(path) == ".json":
-        return dense_positions(array_elements(spark, path), ["file", "ordinal"], "id").select("id", "line")
+        return dense_positions(shared_table(array_elements(spark, path), "elements"), ["file", "ordinal"], "id").select("id", "line")
     place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), F.monotonically_increasing_id().alias("at")]
     lines = shared_table(spark.read.text(path).select(*place, F.col("value").alias("line")), "lines")
     return dense_positions(lines, ["file", "range", "at"], "id").select("id", "line")

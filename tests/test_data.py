@@ -126,6 +126,14 @@ def test_array_documents_are_read_by_byte_ranges(spark, tmp_path):
         assert sorted(got) == list(range(len(rows))) and [json.loads(got[i]) for i in sorted(got)] == rows
 
 
+def test_elements_are_put_together_once(spark, tmp_path):
+    """Numbering the elements takes two passes; both read what is stored."""
+    (tmp_path / "a.json").write_text('[{"instruction": "i"}, 5, "x, y"]')
+    rows = files.read_raw_examples(spark, str(tmp_path / "a.json"))
+    assert [(r["id"], r["line"]) for r in rows.orderBy("id").collect()] == [(0, '{"instruction": "i"}'), (1, "5"), (2, '"x, y"')]
+    assert {f.rsplit("/", 2)[1].split("-")[0] for f in rows.inputFiles()} == {"elements"}
+
+
 def test_scalar_elements_are_corrupt_rows(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"instruction": "i", "input": "", "output": "o"}, 5, "x", null, [1, {"a": 2}]]')
     rows = files.read_examples(spark, str(tmp_path / "a.json")).collect()
