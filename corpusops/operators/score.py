@@ -88,16 +88,24 @@ def meteor_tokens(text: Column) -> Column:
     return pieces(F.lower(text), r"[^\p{L}\p{N}]+")
 
 
+def _texts(pairs: DataFrame) -> DataFrame:
+    """Texts ``p`` and ``r`` by id. The texts are shuffled, being smaller than their tokens.
+
+    The number of partitions is given, so that adaptive execution does not merge them: it goes by compressed sizes, and short texts that
+    are much alike would make partitions that their tasks cannot sort in memory.
+    """
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.select("id", _prediction().alias("p"), F.coalesce("reference", F.lit("")).alias("r")).repartition(parts, "id")
+
+
 def _tokenised(pairs: DataFrame, tokens) -> DataFrame:
-    """Token arrays ``p`` and ``r`` per pair. The texts are shuffled, being smaller than their tokens."""
-    texts = pairs.select("id", _prediction().alias("p"), F.coalesce("reference", F.lit("")).alias("r"))
-    return texts.repartition("id").select("id", tokens(F.col("p")).alias("p"), tokens(F.col("r")).alias("r"))
+    """Token arrays ``p`` and ``r`` per pair."""
+    return _texts(pairs).select("id", tokens(F.col("p")).alias("p"), tokens(F.col("r")).alias("r"))
 
 
 def _grouped(pairs: DataFrame, tokens) -> DataFrame:
-    """``id, words``: one row per id, with the token arrays ``p`` and ``r`` of its pairs. Texts are shuffled and sorted, being smaller than their tokens."""
-    texts = pairs.select("id", _prediction().alias("p"), F.coalesce("reference", F.lit("")).alias("r")).repartition("id")
-    grouped = texts.groupBy("id").agg(F.collect_list(F.struct("p", "r")).alias("texts"))
+    """``id, words``: one row per id, with the token arrays ``p`` and ``r`` of its pairs. Texts are sorted, being smaller than their tokens."""
+    grouped = _texts(pairs).groupBy("id").agg(F.collect_list(F.struct("p", "r")).alias("texts"))
     return grouped.select("id", F.transform("texts", lambda t: F.struct(tokens(t["p"]).alias("p"), tokens(t["r"]).alias("r"))).alias("words"))
 
 

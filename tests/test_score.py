@@ -211,6 +211,16 @@ def test_tokens_stay_in_the_row_of_their_pair(spark, metric):
     assert plan.count("Aggregate") == 2
 
 
+@pytest.mark.parametrize("texts_of", [score._grouped, score._tokenised])
+def test_texts_are_not_merged_by_their_compressed_size(spark, texts_of):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = F.repeat(F.lit("a b "), 100)
+    pairs = spark.range(8000).select("id", text.alias("reference"), text.alias("prediction"))
+    rows = [r["count"] for r in texts_of(pairs, score.rouge_tokens).groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert len(rows) == parts and sum(rows) == 8000
+    assert max(rows) < 2 * 8000 / parts
+
+
 def test_pairs_of_one_id_are_scored_as_one(spark):
     rows = [(1, "a b c d e", "a b c d"), (1, "x a b c d", "x y a b c d"), (None, "a b c d", "a b c d"), (None, "q", "a")]
     df = spark.createDataFrame(rows, SCHEMA)
